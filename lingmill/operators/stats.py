@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lingmill import fixed
 from lingmill.functions import messages
 from lingmill.operators import sampling
+from lingmill.session import settle
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -144,3 +145,33 @@ def audit_languages(
         (F.col("n_above") / F.sum("n_above").over(everything)).alias("share_above"),
         (F.col("n_below") / F.sum("n_below").over(everything)).alias("share_below"),
     )
+
+
+def grouped_histogram(df: DataFrame, group: str, value: Column, bins: int = 10) -> DataFrame:
+    """Equal-width histogram per group over its own range, empty bins included."""
+    values = df.select(group, value.cast("double").alias("x")).where(
+        F.col("x").isNotNull() & ~F.isnan("x")
+    )
+    ends = values.groupBy(group).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    flat = F.col("lo") == F.col("hi")
+    ranges = settle(
+        ends.select(
+            group,
+            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+            ((F.when(flat, F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))) / bins).alias("width"),
+        ),
+        "histogram-ranges",
+    )
+    bucket = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
+    counts = (
+        values.join(ranges, group)
+        .groupBy(group, bucket.cast("long").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
+    return frame.join(counts, [group, "bin"], "left").select(
+        group,
+        "bin",
+        (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
+        F.coalesce("n", F.lit(0)).alias("n"),
+    )
