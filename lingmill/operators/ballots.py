@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import text
+from lingmill.functions.binding import let
 from lingmill.operators import sampling
 
 
@@ -51,33 +52,40 @@ def parse_ballot(response: Column, lettered: Column) -> Column:
     The first problem from the left decides between the last two. ``levels`` is
     null unless the status is ok.
     """
-    parts = F.split(response, fixed.RANKING_MARKER, -1)
-    ranking = text.strip(F.element_at(parts, -1))
-    ids = F.transform(F.split(ranking, ">", -1), lambda level: F.split(level, "=", -1))
-    flat = F.flatten(ids)
-    at = F.sequence(F.lit(1), F.size(flat))
 
     def matches(one_id: Column) -> Column:
         return F.filter(lettered, lambda x: x["letter"] == text.strip(one_id))
 
-    repeat = F.get(F.filter(at, lambda i: F.array_position(flat, F.element_at(flat, i)) < i), F.lit(0))
-    stranger = F.get(
-        F.filter(at, lambda i: F.size(matches(F.element_at(flat, i))) != 1), F.lit(0)
-    )
-    never = F.lit(2**31 - 1)
-    status = (
-        F.when(response.isNull(), "no_reply")
-        .when(F.size(parts) < 2, "no_marker")
-        .when(
-            repeat.isNotNull() & (repeat <= F.coalesce(stranger, never)), "repeated"
+    def judged(parts: Column) -> Column:
+        ranking = text.strip(F.element_at(parts, -1))
+        ids = F.transform(F.split(ranking, ">", -1), lambda level: F.split(level, "=", -1))
+        return let(ids, lambda levels: let(F.flatten(levels), lambda flat: result(parts, levels, flat)))
+
+    def result(parts: Column, levels: Column, flat: Column) -> Column:
+        at = F.sequence(F.lit(1), F.size(flat))
+        never = F.lit(2**31 - 1)
+        repeat = F.filter(at, lambda i: F.array_position(flat, F.element_at(flat, i)) < i)
+        stranger = F.filter(at, lambda i: F.size(matches(F.element_at(flat, i))) != 1)
+        first_repeat = F.coalesce(F.array_min(repeat), never)
+        first_stranger = F.coalesce(F.array_min(stranger), never)
+        status = (
+            F.when(response.isNull(), "no_reply")
+            .when(F.size(parts) < 2, "no_marker")
+            .when(F.size(repeat) + F.size(stranger) == 0, "ok")
+            .when(first_repeat <= first_stranger, "repeated")
+            .otherwise("unknown")
         )
-        .when(stranger.isNotNull(), "unknown")
-        .otherwise("ok")
-    )
-    levels = F.transform(
-        ids, lambda level: F.transform(level, lambda one_id: F.get(matches(one_id), F.lit(0)))
-    )
-    return F.struct(status.alias("status"), F.when(status == "ok", levels).alias("levels"))
+        named = F.transform(
+            levels, lambda level: F.transform(level, lambda one_id: F.get(matches(one_id), F.lit(0)))
+        )
+        return let(
+            status,
+            lambda s: F.struct(s.alias("status"), F.when(s == "ok", named).alias("levels")),
+        )
+
+    # A missing reply still has to come out as a struct.
+    reply = F.coalesce(response, F.lit(""))
+    return let(F.split(reply, fixed.RANKING_MARKER, -1), judged)
 
 
 def with_ballots(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import draws, messages
+from lingmill.functions.binding import let
 from lingmill.operators import ballots as ballot_ops
 from lingmill.operators import stats
 
@@ -41,9 +42,11 @@ def normalized_ranking(levels: Column, models: Column) -> Column:
             ),
         )
     )
-    by_model = F.map_from_entries(ranked)
-    return F.transform(
-        models, lambda m: F.coalesce(F.element_at(by_model, m), F.lit(float("nan")))
+    return let(
+        F.map_from_entries(ranked),
+        lambda by_model: F.transform(
+            models, lambda m: F.coalesce(F.element_at(by_model, m), F.lit(float("nan")))
+        ),
     )
 
 
@@ -73,27 +76,30 @@ def kendall_w(ranks: Column) -> Column:
 
     No correction for ties; one NaN rank makes the result NaN.
     """
-    judges = F.size(ranks)
-    items = F.size(F.get(ranks, F.lit(0)))
     totals = F.aggregate(
         ranks,
-        F.array_repeat(F.lit(0.0), items),
+        F.array_repeat(F.lit(0.0), F.size(F.get(ranks, F.lit(0)))),
         lambda sums, one: F.zip_with(sums, one, lambda a, b: a + b),
     )
-    mean = F.aggregate(totals, F.lit(0.0), lambda s, t: s + t) / items
-    spread = F.aggregate(totals, F.lit(0.0), lambda s, t: s + (t - mean) * (t - mean))
-    n = items.cast("double")
-    k = judges.cast("double")
-    w = F.lit(12.0) * spread / (k * k * (n * n * n - n))
-    return F.struct(w.alias("w"), (k * (n - 1) * w).alias("chi_square"))
+
+    def result(total: Column) -> Column:
+        n = F.size(total).cast("double")
+        k = F.size(ranks).cast("double")
+        # Rank sums are whole numbers, so this form of the spread is exact.
+        first = F.aggregate(total, F.lit(0.0), lambda s, t: s + t)
+        second = F.aggregate(total, F.lit(0.0), lambda s, t: s + t * t)
+        w = F.lit(12.0) * (second - first * first / n) / (k * k * (n * n * n - n))
+        return F.struct(w.alias("w"), (k * (n - 1) * w).alias("chi_square"))
+
+    return let(totals, result)
 
 
 def tally(points: Column) -> Column:
     """Borda points of several ballots summed per model, as a map."""
-    flat = F.flatten(points)
-    models = F.array_distinct(F.transform(flat, lambda p: p["model"]))
-    return F.map_from_entries(
-        F.transform(
+
+    def total(flat: Column) -> Column:
+        models = F.array_distinct(F.transform(flat, lambda p: p["model"]))
+        return F.transform(
             models,
             lambda m: F.struct(
                 m.alias("model"),
@@ -104,7 +110,8 @@ def tally(points: Column) -> Column:
                 ).alias("points"),
             ),
         )
-    )
+
+    return F.map_from_entries(let(F.flatten(points), total))
 
 
 def rank_judged(

@@ -75,44 +75,6 @@ def _no_nulls(names: Sequence[str]) -> Column:
     return ok
 
 
-def pick_rank(
-    values: DataFrame, value: str, count: str, q: float, name: str, slices: int = 4096
-) -> DataFrame:
-    """Interpolated ``q`` quantile of distinct ``value``s with their counts.
-
-    One row, null for no input. The two neighbouring ranks are found through
-    counts per equal-width slice; only their slices are put in order.
-    """
-    data = values.select(F.col(value).alias("_x"), F.col(count).alias("_c"))
-    summary = data.agg(
-        F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.sum("_c").alias("total")
-    )
-    lo = summary.select("lo").scalar()
-    width = summary.select((F.col("hi") - F.col("lo")) / slices).scalar()
-    position = F.lit(float(q)) * (F.col("total") - 1)
-    first = summary.select(F.floor(position).cast("long")).scalar()
-    last = summary.select(F.ceil(position).cast("long")).scalar()
-    part = summary.select(position - F.floor(position)).scalar()
-
-    bucket = F.when(width > 0, F.floor((F.col("_x") - lo) / width)).otherwise(0).cast("long")
-    sliced = data.withColumn("_slice", bucket)
-    running = Window.partitionBy(F.lit(1)).orderBy("_slice")
-    totals = sliced.groupBy("_slice").agg(F.sum("_c").alias("_sum"))
-    offsets = totals.withColumn("_end", F.sum("_sum").over(running)).withColumn(
-        "_start", F.col("_end") - F.col("_sum")
-    )
-    wanted = offsets.where((F.col("_start") <= last) & (F.col("_end") > first))
-    inside = Window.partitionBy("_slice").orderBy("_x")
-    placed = (
-        sliced.join(wanted.select("_slice", "_start"), "_slice")
-        .withColumn("_to", F.col("_start") + F.sum("_c").over(inside))
-        .withColumn("_from", F.col("_to") - F.col("_c"))
-    )
-    below = F.max(F.when((F.col("_from") <= first) & (F.col("_to") > first), F.col("_x")))
-    above = F.max(F.when((F.col("_from") <= last) & (F.col("_to") > last), F.col("_x")))
-    return placed.agg((below + (above - below) * part).alias(name))
-
-
 def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
     """Number rows from 0 in ``order_by`` order (which must be unique).
 

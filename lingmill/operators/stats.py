@@ -3,14 +3,14 @@ that holds a third of all rows costs no more than a rare one."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import messages
-from lingmill.operators import sampling
 from lingmill.session import settle
 
 
@@ -96,21 +96,63 @@ def tail_rollup(
     return counts.select(label, count).unionByName(other).where(F.col(count) > floor)
 
 
-def exact_quantile(df: DataFrame, value: Column, q: float, name: str = "q") -> DataFrame:
-    """Linearly interpolated exact quantile, NaN and null skipped.
+def exact_quantiles(
+    df: DataFrame, value: Column, quantiles: Mapping[str, float], slices: int = 4096
+) -> DataFrame:
+    """Linearly interpolated exact quantiles as one row, NaN and null skipped.
 
-    Rows are first counted per distinct value and ranked through counts per
-    slice of the value range, so neither hot values nor many distinct ones
-    gather in one task: only the slices holding the two wanted ranks are sorted.
+    Rows are counted per distinct value, and those counts per equal-width slice of
+    the value range. Only slices that hold a wanted rank are put in order, so
+    neither hot values nor many distinct ones gather in one task.
     """
     x = value.cast("double")
-    values = (
+    values = settle(
         df.select(x.alias("x"))
         .where(F.col("x").isNotNull() & ~F.isnan("x"))
         .groupBy("x")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.count(F.lit(1)).alias("c")),
+        "quantile-values",
+    )
+    lo, hi, total = values.agg(F.min("x"), F.max("x"), F.sum("c")).first()
+    if not total:
+        nothing = [F.lit(None).cast("double").alias(name) for name in quantiles]
+        return df.sparkSession.range(1).select(*nothing)
+    width = (hi - lo) / slices
+    bucket = F.floor((F.col("x") - lo) / width).cast("long") if width > 0 else F.lit(0).cast("long")
+    sliced = values.withColumn("slice", bucket)
+    ranks = {name: q * (total - 1) for name, q in quantiles.items()}
+    wanted = sorted({r for at in ranks.values() for r in (math.floor(at), math.ceil(at))})
+
+    running = Window.partitionBy(F.lit(1)).orderBy("slice")
+    sizes = sliced.groupBy("slice").agg(F.sum("c").alias("size"))
+    offsets = sizes.withColumn("end", F.sum("size").over(running)).withColumn(
+        "start", F.col("end") - F.col("size")
+    )
+    rank = F.explode(F.array(*[F.lit(r).cast("long") for r in wanted])).alias("rank")
+    found = (
+        offsets.select("slice", "start", "end", rank)
+        .where((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("end")))
+    )
+    inside = Window.partitionBy("slice").orderBy("x")
+    ordered = (
+        sliced.join(found.select("slice", "start").distinct(), "slice")
+        .withColumn("to", F.col("start") + F.sum("c").over(inside))
+        .withColumn("from", F.col("to") - F.col("c"))
     )
-    return sampling.pick_rank(values, "x", "c", q, name)
+
+    def at_rank(r: int) -> Column:
+        return F.max(F.when((F.col("from") <= r) & (F.col("to") > r), F.col("x")))
+
+    columns = []
+    for name, at in ranks.items():
+        below, above = at_rank(math.floor(at)), at_rank(math.ceil(at))
+        columns.append((below + (above - below) * (at - math.floor(at))).alias(name))
+    return ordered.agg(*columns)
+
+
+def exact_quantile(df: DataFrame, value: Column, q: float, name: str = "q") -> DataFrame:
+    """One exact quantile as a one-row frame."""
+    return exact_quantiles(df, value, {name: q})
 
 
 def mean_and_size(df: DataFrame, group: str, value: Column) -> DataFrame:

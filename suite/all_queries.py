@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from suite import curation, draws, duplicates, summaries  # noqa: F401
+from suite import curation, draws, duplicates, preferences, summaries  # noqa: F401

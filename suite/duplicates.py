@@ -42,17 +42,16 @@ def near_duplicate_rates(spark, sf_dir):
 
 
 @query(f"""WITH e AS (SELECT v.vec_id, v.label, v.embedding, CASE WHEN v.vec_id % 11 > 0 THEN d.text END AS prompt
-   FROM embeddings v JOIN documents d ON d.doc_id = v.vec_id % 200),
+   FROM embeddings v JOIN documents d ON d.doc_id = v.vec_id),
 k AS (SELECT * FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE b.label = a.label AND b.vec_id < a.vec_id
    AND list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) > {THRESHOLD})),
 f AS (SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY label, vec_id) AS place FROM k)
 SELECT vec_id, label, prompt FROM f WHERE place = 1 AND prompt IS NOT NULL""")
 def prompt_deduplication(spark, sf_dir):
     """Near duplicates within a label, equal prompts across labels, then nulls."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "text")
-    vectors = table(spark, sf_dir, "embeddings").withColumn("_doc", F.pmod("vec_id", F.lit(200)))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
     prompt = F.when(F.pmod("vec_id", F.lit(11)) > 0, F.col("text"))
-    rows = vectors.join(docs, "_doc").select("vec_id", "label", "embedding", prompt.alias("prompt"))
+    rows = table(spark, sf_dir, "embeddings").join(docs, "vec_id").select("vec_id", "label", "embedding", prompt.alias("prompt"))
     out = dedup.dedup_prompts(rows, "vec_id", "label", "prompt", "embedding", THRESHOLD)
     return out.select("vec_id", "label", "prompt")
 

@@ -122,7 +122,7 @@ def ballot_cells(spark: SparkSession, sf_dir: str, partial: bool = False) -> Dat
     ).agg(F.floor((cents + 5000) / 10000).cast("long").alias("score"))
     if partial:
         cells = cells.where(
-            ~((F.pmod(F.substring("block", 9, 2).cast("int"), F.lit(5)) == F.col("judge"))
+            ~((F.pmod(F.substring("block", 9, 2).cast("int"), F.lit(10)) == F.col("judge"))
               & (F.col("model") == "view"))
         )
     return cells
@@ -130,7 +130,7 @@ def ballot_cells(spark: SparkSession, sf_dir: str, partial: bool = False) -> Dat
 
 def _sql_cells(partial: bool) -> str:
     dropped = (
-        "WHERE NOT (substr(block, 9, 2)::INT % 5 = judge AND model = 'view')" if partial else ""
+        "WHERE NOT (substr(block, 9, 2)::INT % 10 = judge AND model = 'view')" if partial else ""
     )
     return f"""
 allcells AS (SELECT strftime(ts, '%Y-%m-%d') AS block, (user_id % 5)::INT AS judge,

@@ -91,9 +91,10 @@ def tail_rollup_default(spark, sf_dir):
 @query("""SELECT round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
 round(quantile_cont(value, 0.75), 6) AS q75 FROM events""")
 def value_quantiles(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    picks = {f"q{int(q * 100)}": stats.exact_quantile(events, F.col("value"), q) for q in (0.25, 0.5, 0.75)}
-    return spark.range(1).select(*[F.round(df.scalar(), 6).alias(name) for name, df in picks.items()])
+    cuts = stats.exact_quantiles(
+        table(spark, sf_dir, "events"), F.col("value"), {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    )
+    return cuts.select(*[F.round(c, 6).alias(c) for c in cuts.columns])
 
 
 @query("""SELECT lang, round(avg(n_chars), 6) AS mean, count(n_chars) AS n FROM documents GROUP BY lang""")
