@@ -62,8 +62,3 @@ def resume_into(
 def append_round(df: DataFrame, path: str, round_number: int) -> None:
     """Store one judge round as its own partition, replacing only that round."""
     df.drop("round").write.mode("overwrite").parquet(f"{path}/round={round_number}")
-
-
-def read_rounds(spark: SparkSession, path: str) -> DataFrame:
-    """All stored rounds with their ``round`` number."""
-    return spark.read.parquet(path).withColumn("round", F.col("round").cast("int"))

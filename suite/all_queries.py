@@ -1,3 +1,14 @@
 """Imports every module that registers queries."""
 
-from suite import curation, draws, duplicates, preferences, summaries  # noqa: F401
+from suite import (  # noqa: F401
+    articles,
+    calls,
+    curation,
+    draws,
+    duplicates,
+    files,
+    preferences,
+    summaries,
+    texts,
+    training,
+)

@@ -79,7 +79,7 @@ def minimum_length(spark, sf_dir):
     """Padded line heads of 0 to 2 characters: only those longer than 1 once stripped stay."""
     lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line"))
     head = F.col("line").substr(F.lit(1), F.length("line") % 3)
-    padded = lines.withColumn("w", F.concat(F.lit(" \t\xa0"), head, F.lit(" ")))
+    padded = lines.withColumn("w", F.concat(F.lit(" \t\xa0"), head, F.lit("\u2003")))
     return filters.drop_short(padded, F.col("w")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
