@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import text
-from lingmill.functions.binding import let
+from lingmill.functions.binding import let, with_once
 from lingmill.operators import sampling
 
 
@@ -95,7 +95,7 @@ def with_ballots(
     parsed = F.transform(
         F.col(evals), lambda e: parse_ballot(e["eval_response"], e["model_id_list"])
     )
-    return df.withColumn(name, parsed)
+    return with_once(df, name, parsed)
 
 
 def valid_levels(ballots: Column) -> Column:

@@ -31,12 +31,11 @@ def nearest(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def initial_centroids(df: DataFrame, key: str, group: str, vector: str, k: int, seed: int) -> DataFrame:
-    """``group, label, center``: k drawn rows of every group that has k rows."""
+    """``group, label, center``: k drawn rows of every group. Groups have k rows or more."""
     drawn = sampling.sample_per_group(
         df.select(group, key, vector), [group], [key], k, f"centers-{seed}", rank="_rank"
     )
-    full = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k)
-    return drawn.join(full, group, "left_semi").select(
+    return drawn.select(
         group,
         (F.col("_rank") - 1).cast("long").alias("label"),
         F.col(vector).cast("array<double>").alias("center"),
@@ -65,11 +64,17 @@ def fit_clusters(
         ),
         "cluster-batches",
     )
-    usable = df.join(sizes.where("_batches > 0"), group).withColumn(
-        "_batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("_batches")).cast("int")
+    # Vectors are stored once, a directory per batch, so a round reads only its own.
+    usable = settle(
+        df.select(key, group, vector)
+        .join(sizes.where("_batches > 0"), group)
+        .withColumn("_batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("_batches")).cast("int"))
+        .drop("_batches"),
+        "cluster-rows",
+        ["_batch"],
     )
     centers = settle(
-        initial_centroids(df, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)),
+        initial_centroids(usable, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)),
         "centroids",
     )
     for batch in range(batches):

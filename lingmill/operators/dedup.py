@@ -58,7 +58,7 @@ def later_matches(
     return drop_a, drop_b
 
 
-def near_duplicate_survivors(
+def near_duplicate_keys(
     df: DataFrame,
     key: str,
     group: str,
@@ -67,43 +67,25 @@ def near_duplicate_survivors(
     threshold: float = fixed.NEAR_DUPLICATE_DOT,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Keys of rows with no earlier row of their group above the dot-product threshold.
+    """Keys of rows with an earlier row of their group above the dot-product threshold.
 
     Earlier rows count even when they are removed themselves. ``order_by`` must
-    order a group totally. Exact for any group size:
+    order a group totally. Rows without a vector or group are never removed.
 
-    1. Equal vectors whose self-product passes the threshold collapse to the
-       first one; the window's rank filter runs before the shuffle, so a mass of
-       copies costs one row per map task.
-    2. Each group is split by key hash into blocks of about ``block_rows`` rows,
-       and every pair of blocks is one matrix product in one task. Only keys of
-       removed rows leave a task; similar pairs are never emitted.
-
-    Rows without a vector or group survive.
+    Exact for any group size: each group is split by key hash into blocks of about
+    ``block_rows`` rows, so copies of one vector spread like any other rows, and
+    every pair of blocks is one matrix product in one task. Only keys of removed
+    rows leave a task; similar pairs are never emitted.
     """
-    usable = df.where(F.col(vector).isNotNull() & F.col(group).isNotNull())
     order = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
     orders = [f"_o{i}" for i in range(len(order_by))]
-    rows = usable.select(
+    rows = df.where(F.col(vector).isNotNull() & F.col(group).isNotNull()).select(
         F.col(key).alias("_key"), F.col(group).alias("_group"), F.col(vector).alias("_vec"), *order
     )
-    self_dot = F.aggregate(
-        "_vec", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
-    )
-    own = F.when(~(self_dot > threshold), F.col("_key"))
-    copies = Window.partitionBy("_group", "_vec", "_own").orderBy(*orders)
-    firsts = (
-        rows.withColumn("_own", own)
-        .withColumn("_place", F.row_number().over(copies))
-        .where("_place = 1")
-        .drop("_place", "_own")
-    )
-
-    # Group sizes before collapsing: an upper bound that needs no vectors.
     sizes = rows.groupBy("_group").agg(
         F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_blocks")
     )
-    blocked = firsts.join(settle(sizes, "group-blocks"), "_group").withColumn(
+    blocked = rows.join(settle(sizes, "group-blocks"), "_group").withColumn(
         "_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int")
     )
     paired = blocked.withColumn(
@@ -135,11 +117,7 @@ def near_duplicate_survivors(
         return table.select(["_key"]).filter(pa.array(drop))
 
     removed = paired.groupBy("_group", "_a", "_b").applyInArrow(compare, removed_schema)
-    survivors = firsts.select("_key").join(removed, "_key", "left_anti")
-    untouched = df.where(F.col(vector).isNull() | F.col(group).isNull())
-    return survivors.unionByName(untouched.select(F.col(key).alias("_key"))).withColumnRenamed(
-        "_key", key
-    )
+    return removed.distinct().withColumnRenamed("_key", key)
 
 
 def drop_near_duplicates(
@@ -151,9 +129,9 @@ def drop_near_duplicates(
     threshold: float = fixed.NEAR_DUPLICATE_DOT,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``df`` without its near duplicates (see ``near_duplicate_survivors``)."""
-    keep = near_duplicate_survivors(df, key, group, vector, order_by, threshold, block_rows)
-    return df.join(keep, key, "left_semi")
+    """``df`` without its near duplicates (see ``near_duplicate_keys``)."""
+    removed = near_duplicate_keys(df, key, group, vector, order_by, threshold, block_rows)
+    return df.join(removed, key, "left_anti")
 
 
 def dedup_prompts(

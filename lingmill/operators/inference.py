@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,12 @@ from lingmill.session import settle
 Call = Callable[[Mapping], Mapping]
 
 _FIELDS = [f.name for f in schemas.CALL_RESULT.fields]
+_RESULT_TYPE = pa.struct(
+    [
+        (f.name, pa.int64() if isinstance(f.dataType, T.LongType) else pa.string())
+        for f in schemas.CALL_RESULT.fields
+    ]
+)
 
 
 class RejectedRequest(Exception):
@@ -75,40 +81,46 @@ def run_calls(
     per_second: float | None = None,
     partitions: int | None = None,
     result: str = "result",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``key, result`` for every row; ``call`` sees ``inputs`` and ``key``.
+    """``key, carry, result`` for every row; ``call`` sees ``inputs`` and ``key``.
+
+    Columns in ``carry`` pass through, which saves a join when the inputs are
+    wanted next to their results.
 
     Each task keeps ``workers`` calls in flight and starts at most ``per_second``
     of them a second. ``partitions`` spreads rows evenly first, by key.
     The output is recomputed if read twice: write it, or ``settle`` it, first.
     """
-    narrow = df.select(*dict.fromkeys([*key, *inputs]))
+    kept = list(dict.fromkeys([*key, *carry]))
+    seen = list(dict.fromkeys([*key, *inputs]))
+    narrow = df.select(*dict.fromkeys([*kept, *inputs]))
     if partitions:
         narrow = sampling.scatter(narrow, key, partitions)
     schema = T.StructType(
-        [narrow.schema[k] for k in key] + [T.StructField(result, schemas.CALL_RESULT)]
+        [narrow.schema[k] for k in kept] + [T.StructField(result, schemas.CALL_RESULT)]
     )
-    single = key[0] if len(key) == 1 else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def one(row: dict) -> dict:
-            named = row if "key" in row else {
-                **row, "key": row[single] if single else "|".join(str(row[k]) for k in key)
-            }
-            return attempt(call, named)
+    def one(row: dict) -> dict:
+        if "key" not in row:
+            parts = [str(row[k]) for k in key]
+            row = {**row, "key": "|".join(parts)}
+        return attempt(call, row)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for batch in batches:
                 pending = []
-                for row in batch.to_dict("records"):
+                for row in batch.select(seen).to_pylist():
                     if per_second:
                         time.sleep(1.0 / per_second)
                     pending.append(pool.submit(one, row))
-                out = batch[list(key)].copy()
-                out[result] = [p.result() for p in pending]
-                yield out
+                results = pa.array([p.result() for p in pending], type=_RESULT_TYPE)
+                # Columns that pass through stay Arrow arrays, untouched.
+                columns = [batch.column(name) for name in kept]
+                yield pa.RecordBatch.from_arrays([*columns, results], [*kept, result])
 
-    return narrow.mapInPandas(run, schema)
+    return narrow.mapInArrow(run, schema)
 
 
 def join_back(df: DataFrame, results: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -327,29 +339,33 @@ def score_generated(
 
     Rows that did not parse are never sent. One call per row.
     """
-    parsed = parse_generated(df, reply)
-    to_send = parsed.where(F.col("parse_error").isNull()).select(
-        *key,
-        templates.render(
-            "score_pair", template, language=F.col("language_name"), prompt_type=F.col("prompt_type")
-        ).alias("system"),
-        templates.render(
-            "score_body", template, prompt=F.col("prompt"), response=F.col("response")
-        ).alias("prompt"),
-    )
-    results = run_calls(
-        to_send, key, call, inputs=("system", "prompt"), result="_scored", **options
-    )
-    failure = F.struct(
-        *[
-            (F.col("parse_error") if f.name == "error" else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.CALL_RESULT.fields
-        ]
+    requests = (
+        parse_generated(df, reply)
+        .withColumn(
+            "_system",
+            templates.render(
+                "score_pair", template, language=F.col("language_name"), prompt_type=F.col("prompt_type")
+            ),
+        )
+        .withColumn(
+            "_body",
+            templates.render("score_body", template, prompt=F.col("prompt"), response=F.col("response")),
+        )
     )
-    return (
-        parsed.join(settle(results, "scores"), list(key), "left")
-        .withColumn("filter_response", F.when(F.col("parse_error").isNotNull(), failure).otherwise(F.col("_scored")))
-        .drop("_scored", "prompt", "response", "parse_error")
+
+    def guarded(row: Mapping) -> Mapping:
+        if row["parse_error"] is not None:
+            return {"error": row["parse_error"]}
+        return call({**row, "system": row["_system"], "prompt": row["_body"]})
+
+    return run_calls(
+        requests,
+        key,
+        guarded,
+        inputs=("_system", "_body", "parse_error"),
+        result="filter_response",
+        carry=df.columns,
+        **options,
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import draws, messages
-from lingmill.functions.binding import let
+from lingmill.functions.binding import let, with_once
 from lingmill.operators import ballots as ballot_ops
 from lingmill.operators import stats
 
@@ -128,35 +128,41 @@ def rank_judged(
     ``borda_ranking`` (``map<model, points>``). A narrow plan.
     """
     models = messages.model_names(F.col(answers))
-    parsed = (
-        ballot_ops.with_ballots(df.where(messages.every_answer_finished(F.col(answers))), evals, "_ballots")
-        .withColumn("_levels", ballot_ops.valid_levels(F.col("_ballots")))
-        .where(F.size("_levels") == rounds)
+    finished = df.where(messages.every_answer_finished(F.col(answers)))
+    ballots = F.transform(
+        evals, lambda e: ballot_ops.parse_ballot(e["eval_response"], e["model_id_list"])
     )
-    ranked = parsed.withColumn(
-        "rankings",
-        F.transform(
-            "_levels",
-            lambda levels: F.struct(
-                levels.alias("ranking"),
-                normalized_ranking(levels, models).alias("normalized_ranking"),
+    parsed = with_once(finished, "_levels", let(ballots, ballot_ops.valid_levels))
+    complete = parsed.where(F.size("_levels") == rounds)
+
+    def scores(rankings: Column, ranks: Column) -> Column:
+        fields = [rankings.alias("rankings")]
+        for suffix, part in {"": ranks, **{str(k): F.slice(ranks, 1, k) for k in prefixes}}.items():
+            fields.append(kendall_w(part).alias(f"agreement{suffix}"))
+        fields.append(tally(F.transform("_levels", borda_points)).alias("borda_ranking"))
+        return F.struct(*fields)
+
+    rankings = F.transform(
+        "_levels",
+        lambda levels: F.struct(
+            levels.alias("ranking"), normalized_ranking(levels, models).alias("normalized_ranking")
+        ),
+    )
+    scored = with_once(
+        complete,
+        "_scores",
+        let(
+            rankings,
+            lambda r: let(
+                F.transform(r, lambda one: one["normalized_ranking"]), lambda ranks: scores(r, ranks)
             ),
         ),
-    ).withColumn("_ranks", F.transform("rankings", lambda r: r["normalized_ranking"]))
-    agreement = {"": kendall_w(F.col("_ranks"))}
-    for limit in prefixes:
-        agreement[str(limit)] = kendall_w(F.slice("_ranks", 1, limit))
-    scored = ranked
-    for suffix, value in agreement.items():
-        scored = (
-            scored.withColumn("_w", value)
-            .withColumn(f"kendall_w{suffix}", F.col("_w.w"))
-            .withColumn(f"chi_square{suffix}", F.col("_w.chi_square"))
-        )
-    points = F.transform("_levels", borda_points)
-    return scored.withColumn("borda_ranking", tally(points)).drop(
-        "_ballots", "_levels", "_ranks", "_w"
     )
+    columns = [F.col("_scores.rankings").alias("rankings")]
+    for suffix in ["", *[str(k) for k in prefixes]]:
+        columns.append(F.col(f"_scores.agreement{suffix}.w").alias(f"kendall_w{suffix}"))
+        columns.append(F.col(f"_scores.agreement{suffix}.chi_square").alias(f"chi_square{suffix}"))
+    return scored.select(*df.columns, *columns, F.col("_scores.borda_ranking").alias("borda_ranking"))
 
 
 # --- the same for long ballots: one row per (key, round, item) ------------------

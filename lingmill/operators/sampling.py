@@ -12,7 +12,7 @@ from lingmill.functions import draws, text
 from lingmill.session import settle
 
 # Up to this many rows per group Spark's own map-side group limit is enough.
-DIRECT_SAMPLE = 100
+DIRECT_SAMPLE = 10
 
 
 def _columns(names: Sequence[str]) -> list[Column]:

@@ -53,6 +53,17 @@ def rate(df: DataFrame, predicate: Column, name: str = "rate") -> DataFrame:
     return df.agg(F.avg(F.coalesce(predicate, F.lit(False)).cast("double")).alias(name))
 
 
+def _bin_of(x: Column, lo: Column, width: Column, bins: int) -> Column:
+    """Bin number of ``x``, exact at the edges ``lo + i * width``; the last bin is closed.
+
+    Division can land one bin off when a value sits on an edge.
+    """
+    guess = F.least(F.floor((x - lo) / width), F.lit(bins - 1))
+    below = (x < lo + guess * width).cast("long")
+    above = ((x >= lo + (guess + 1) * width) & (guess < bins - 1)).cast("long")
+    return (guess - below + above).cast("long")
+
+
 def histogram(df: DataFrame, value: Column, bins: int = 100) -> DataFrame:
     """Equal-width histogram over [min, max], last bin closed, empty bins included.
 
@@ -68,7 +79,7 @@ def histogram(df: DataFrame, value: Column, bins: int = 100) -> DataFrame:
     )
     lo = ends.select("lo").scalar()
     width = ends.select((F.col("hi") - F.col("lo")) / bins).scalar()
-    bucket = F.least(F.floor((F.col("x") - lo) / width), F.lit(bins - 1)).cast("long")
+    bucket = _bin_of(F.col("x"), lo, width, bins)
     counts = values.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     frame = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return frame.join(counts, "bin", "left").select(
@@ -204,10 +215,10 @@ def grouped_histogram(df: DataFrame, group: str, value: Column, bins: int = 10)
         ),
         "histogram-ranges",
     )
-    bucket = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
+    bucket = _bin_of(F.col("x"), F.col("lo"), F.col("width"), bins)
     counts = (
         values.join(ranges, group)
-        .groupBy(group, bucket.cast("long").alias("bin"))
+        .groupBy(group, bucket.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))

@@ -35,10 +35,15 @@ def generate_pairs(
     """Articles with ``generated_prompt_response``; unnamed languages are left out."""
     inputs = articles.generation_inputs(selected, names, key, seed).where("language_name is not null")
     requests = inference.article_requests(inputs, kind)
-    results = inference.run_calls(
-        requests, key, call, inputs=("system", "prompt"), result="generated_prompt_response", **options
+    return inference.run_calls(
+        requests,
+        key,
+        call,
+        inputs=("system", "prompt"),
+        result="generated_prompt_response",
+        carry=inputs.columns,
+        **options,
     )
-    return inference.join_back(inputs, results, key)
 
 
 def revise_pairs(
@@ -47,9 +52,14 @@ def revise_pairs(
     """Input/target pairs with ``gen_input_outputs`` and ``finish_reason``; nulls on failure."""
     requests = inference.revision_requests(pairs)
     results = inference.run_calls(
-        requests, key, call, inputs=("system", "prompt", "max_tokens"), **options
+        requests,
+        key,
+        call,
+        inputs=("system", "prompt", "max_tokens"),
+        carry=pairs.columns,
+        **options,
     )
-    return inference.join_back(pairs, results, key).selectExpr(
+    return results.selectExpr(
         *pairs.columns,
         "result.content as gen_input_outputs",
         "result.finish_reason as finish_reason",

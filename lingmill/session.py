@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,7 +50,7 @@ def new_table_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+def settle(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage in storage that survives executor loss. The re-read table
@@ -57,5 +58,5 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it otherwise.
     """
     path = new_table_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

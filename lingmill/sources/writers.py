@@ -23,9 +23,13 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 def write_chunks(
     df: DataFrame, path: str, order_by: Sequence[str], size: int, digits: int = 6, shift: int = 0
 ) -> None:
-    """One directory per ``size`` consecutive rows, named by the first row's index."""
+    """One directory per ``size`` consecutive rows, named by the first row's index.
+
+    Rows are in order already, so each task writes its own chunks; one that spans
+    two tasks gets a file from each. Choose ``size`` so that a chunk is worth a file.
+    """
     chunked = sampling.with_chunks(df, order_by, size, digits, shift)
-    chunked.repartition("chunk_id").write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+    chunked.write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
 def write_per_source_file(df: DataFrame, path: str, file_column: str = "source_file") -> None:

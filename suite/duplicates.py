@@ -35,9 +35,9 @@ GROUP BY label, n_kept""")
 def near_duplicate_rates(spark, sf_dir):
     """Share of rows kept per group."""
     vectors = table(spark, sf_dir, "embeddings")
-    keep = dedup.near_duplicate_survivors(vectors, "vec_id", "label", "embedding", ["vec_id"], THRESHOLD)
-    marked = vectors.select("vec_id", "label").join(keep.withColumn("kept", F.lit(True)), "vec_id", "left")
-    share = F.avg(F.coalesce("kept", F.lit(False)).cast("double"))
+    removed = dedup.near_duplicate_keys(vectors, "vec_id", "label", "embedding", ["vec_id"], THRESHOLD)
+    marked = vectors.select("vec_id", "label").join(removed.withColumn("gone", F.lit(True)), "vec_id", "left")
+    share = F.avg(F.col("gone").isNull().cast("double"))
     return marked.groupBy("label").agg(F.round(share, 6).alias("kept_share"))
 
 
@@ -59,6 +59,6 @@ def prompt_deduplication(spark, sf_dir):
 @query(f"WITH {SQL_KEPT} SELECT round(count(*) / (SELECT count(*) FROM embeddings), 6) AS rate FROM kept")
 def near_duplicate_rate(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    keep = dedup.near_duplicate_survivors(vectors, "vec_id", "label", "embedding", ["vec_id"], THRESHOLD)
-    marked = vectors.select("vec_id").join(keep.withColumn("kept", F.lit(True)), "vec_id", "left")
-    return stats.rate(marked, F.col("kept")).select(F.round("rate", 6).alias("rate"))
+    removed = dedup.near_duplicate_keys(vectors, "vec_id", "label", "embedding", ["vec_id"], THRESHOLD)
+    marked = vectors.select("vec_id").join(removed.withColumn("gone", F.lit(True)), "vec_id", "left")
+    return stats.rate(marked, F.col("gone").isNull()).select(F.round("rate", 6).alias("rate"))

@@ -26,6 +26,15 @@ def sql_hash(keys: str, seed: str = "0") -> str:
     return f"md5(concat_ws('|', {keys}, '{seed}'))"
 
 
+def sql_bin(x: str, lo: str, width: str, bins: int) -> str:
+    """Equal-width bin number as SQL, exact at the edges."""
+    guess = f"least(floor(({x} - {lo}) / ({width})), {bins - 1})"
+    return (
+        f"({guess} - ({x} < {lo} + {guess} * ({width}))::INT"
+        f" + ({x} >= {lo} + ({guess} + 1) * ({width}) AND {guess} < {bins - 1})::INT)::BIGINT"
+    )
+
+
 SQL_NAME = "CASE lang " + " ".join(
     f"WHEN '{code}' THEN '{name}'" for code, name in CODE_NAMES.items()
 ) + " END"

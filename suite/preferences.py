@@ -195,7 +195,7 @@ def mean_borda(spark, sf_dir):
 @query(f"""WITH {B}, e AS (SELECT model, min(borda) AS lo0, max(borda) AS hi0 FROM borda GROUP BY model),
 r AS (SELECT model, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
       CASE WHEN lo0 = hi0 THEN 1.0 ELSE hi0 - lo0 END / 10 AS width FROM e),
-b AS (SELECT model, least(floor((borda - lo) / width), 9)::BIGINT AS bin, count(*) AS n
+b AS (SELECT model, {fx.sql_bin('borda', 'lo', 'width', 10)} AS bin, count(*) AS n
       FROM borda JOIN r USING (model) GROUP BY ALL)
 SELECT model, bin, round(lo + bin * width, 6) AS bin_start, coalesce(n, 0) AS n
 FROM r CROSS JOIN (SELECT unnest(range(10)) AS bin) LEFT JOIN b USING (model, bin)""")

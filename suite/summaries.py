@@ -46,8 +46,8 @@ def confident_rate(spark, sf_dir):
     return rate.select(F.round("rate", 6).alias("rate"))
 
 
-@query("""WITH e AS (SELECT min(n_chars)::DOUBLE AS lo, max(n_chars)::DOUBLE AS hi FROM documents),
-b AS (SELECT least(floor((n_chars - lo) / ((hi - lo) / 100)), 99)::BIGINT AS bin, count(*) AS n
+@query(f"""WITH e AS (SELECT min(n_chars)::DOUBLE AS lo, max(n_chars)::DOUBLE AS hi FROM documents),
+b AS (SELECT {fx.sql_bin('n_chars', 'lo', '(hi - lo) / 100', 100)} AS bin, count(*) AS n
       FROM documents, e GROUP BY 1)
 SELECT g.bin, round(lo + g.bin * ((hi - lo) / 100), 4) AS bin_start, coalesce(n, 0) AS n
 FROM (SELECT unnest(range(100)) AS bin) g CROSS JOIN e LEFT JOIN b ON b.bin = g.bin""")
@@ -56,8 +56,8 @@ def length_histogram(spark, sf_dir):
     return bins.withColumn("bin_start", F.round("bin_start", 4))
 
 
-@query("""WITH e AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY 1),
-b AS (SELECT event_type, least(floor((value - lo) / ((hi - lo) / 10)), 9)::BIGINT AS bin, count(*) AS n
+@query(f"""WITH e AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY 1),
+b AS (SELECT event_type, {fx.sql_bin('value', 'lo', '(hi - lo) / 10', 10)} AS bin, count(*) AS n
       FROM events JOIN e USING (event_type) GROUP BY ALL)
 SELECT event_type, bin, round(lo + bin * ((hi - lo) / 10), 4) AS bin_start, coalesce(n, 0) AS n
 FROM e CROSS JOIN (SELECT unnest(range(10)) AS bin) LEFT JOIN b USING (event_type, bin)""")
