@@ -29,7 +29,10 @@ def ballot_size(levels: Column) -> Column:
 
 
 def normalized_ranking(levels: Column, models: Column) -> Column:
-    """Competition rank (1, 2, 2, 4) per model of ``models``; NaN where unranked."""
+    """Competition rank (1, 2, 2, 4) per model of ``models``; NaN where unranked.
+
+    A model that a ballot names twice counts where it is named last.
+    """
     ranked = F.flatten(
         F.transform(
             levels,
@@ -42,10 +45,14 @@ def normalized_ranking(levels: Column, models: Column) -> Column:
             ),
         )
     )
+    def rank_of(entries: Column, model: Column) -> Column:
+        own = F.filter(entries, lambda e: e["model"] == model)
+        return F.get(own, F.size(own) - 1)["rank"]
+
     return let(
-        F.map_from_entries(ranked),
-        lambda by_model: F.transform(
-            models, lambda m: F.coalesce(F.element_at(by_model, m), F.lit(float("nan")))
+        ranked,
+        lambda entries: F.transform(
+            models, lambda m: F.coalesce(rank_of(entries, m), F.lit(float("nan")))
         ),
     )
 
@@ -54,10 +61,11 @@ def borda_points(levels: Column) -> Column:
     """``array<struct<model, points>>`` for one ballot.
 
     n points for first place down to 1 for last, where n is the ballot's own
-    size; models on one level share the mean of their places' points.
+    size; models on one level share the mean of their places' points. A model
+    named twice gets the points of its last place.
     """
     n = ballot_size(levels)
-    return F.flatten(
+    entries = F.flatten(
         F.transform(
             levels,
             lambda level, i: F.transform(
@@ -70,6 +78,12 @@ def borda_points(levels: Column) -> Column:
         )
     )
 
+    def is_last(all_entries: Column, entry: Column, i: Column) -> Column:
+        later = F.slice(all_entries, i + 2, n)
+        return ~F.exists(later, lambda other: other["model"] == entry["model"])
+
+    return let(entries, lambda every: F.filter(every, lambda e, i: is_last(every, e, i)))
+
 
 def kendall_w(ranks: Column) -> Column:
     """``struct<w, chi_square>`` of ``array<array<double>>``: judges of items.
