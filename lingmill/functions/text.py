@@ -69,21 +69,41 @@ def id_tail(chunk_id: Column) -> Column:
     return F.substring_index(chunk_id, "_", -1)
 
 
-def _marked(reply: Column, group: int) -> Column:
-    pattern = f"{fixed.PROMPT_MARKER}([\\s\\S]+){fixed.RESPONSE_MARKER}([\\s\\S]+)"
-    part = F.regexp_extract(reply, pattern, group)
-    # Both groups take at least one character, so empty means no match.
-    return F.when(part != "", strip(part))
+def _after_prompt_marker(reply: Column) -> Column:
+    """Text after the first prompt marker; null without one."""
+    start = F.instr(reply, fixed.PROMPT_MARKER)
+    rest = reply.substr(start + len(fixed.PROMPT_MARKER), F.length(reply))
+    return F.when(start > 0, rest)
+
+
+def _marked_parts(reply: Column) -> tuple[Column, Column]:
+    """Raw prompt and response: split at the last response marker with text after it.
+
+    A marker that ends the text is part of the response of the one before it. Both
+    parts need at least one character; otherwise both are null. Plain substring
+    functions do this in one scan, where a greedy pattern would backtrack.
+    """
+    marker = fixed.RESPONSE_MARKER
+    rest = _after_prompt_marker(reply)
+    ending = F.when(rest.endswith(marker), F.lit(marker)).otherwise("")
+    body = rest.substr(F.lit(1), F.length(rest) - F.length(ending))
+    tail = F.substring_index(body, marker, -1)
+    head_length = F.length(body) - F.length(tail) - len(marker)
+    usable = body.contains(marker) & (head_length > 0)
+    return (
+        F.when(usable, body.substr(F.lit(1), head_length)),
+        F.when(usable, F.concat(tail, ending)),
+    )
 
 
 def marked_prompt(reply: Column) -> Column:
-    """Text between the prompt marker and the last usable response marker."""
-    return _marked(reply, 1)
+    """Text between the prompt marker and the last usable response marker, stripped."""
+    return strip(_marked_parts(reply)[0])
 
 
 def marked_response(reply: Column) -> Column:
-    """Text after the last response marker that has text after it."""
-    return _marked(reply, 2)
+    """Text after the last response marker that has text after it, stripped."""
+    return strip(_marked_parts(reply)[1])
 
 
 def zero_padded(number: Column, digits: int = 6) -> Column:

@@ -130,8 +130,8 @@ def profile_detector(profiles: DataFrame) -> Callable[[], Detector]:
                 if not item.strip():
                     out.append(None)
                     continue
-                cells = _cells(item)
-                total = logs[cells].sum(axis=0) / np.sqrt(len(cells))
+                seen = np.bincount(_cells(item), minlength=PROFILE_CELLS)
+                total = seen @ logs / np.sqrt(seen.sum())
                 total -= total.max()
                 weights = np.exp(total)
                 best = int(weights.argmax())

@@ -7,7 +7,7 @@ The window forms do the same for ballots that are already one row per item.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -149,12 +149,14 @@ def rank_judged(
     parsed = with_once(finished, "_levels", let(ballots, ballot_ops.valid_levels))
     complete = parsed.where(F.size("_levels") == rounds)
 
+    limits = F.array(*[F.lit(k) for k in (rounds, *prefixes)])
+
     def scores(rankings: Column, ranks: Column) -> Column:
-        fields = [rankings.alias("rankings")]
-        for suffix, part in {"": ranks, **{str(k): F.slice(ranks, 1, k) for k in prefixes}}.items():
-            fields.append(kendall_w(part).alias(f"agreement{suffix}"))
-        fields.append(tally(F.transform("_levels", borda_points)).alias("borda_ranking"))
-        return F.struct(*fields)
+        return F.struct(
+            rankings.alias("rankings"),
+            F.transform(limits, lambda k: kendall_w(F.slice(ranks, 1, k))).alias("agreement"),
+            tally(F.transform("_levels", borda_points)).alias("borda_ranking"),
+        )
 
     rankings = F.transform(
         "_levels",
@@ -173,9 +175,10 @@ def rank_judged(
         ),
     )
     columns = [F.col("_scores.rankings").alias("rankings")]
-    for suffix in ["", *[str(k) for k in prefixes]]:
-        columns.append(F.col(f"_scores.agreement{suffix}.w").alias(f"kendall_w{suffix}"))
-        columns.append(F.col(f"_scores.agreement{suffix}.chi_square").alias(f"chi_square{suffix}"))
+    for i, suffix in enumerate(["", *[str(k) for k in prefixes]]):
+        agreement = F.col("_scores.agreement")[i]
+        columns.append(agreement["w"].alias(f"kendall_w{suffix}"))
+        columns.append(agreement["chi_square"].alias(f"chi_square{suffix}"))
     return scored.select(*df.columns, *columns, F.col("_scores.borda_ranking").alias("borda_ranking"))
 
 
@@ -339,19 +342,26 @@ def fixed_pairs(
 
 def keep_agreed(df: DataFrame, q: float, w: str = "kendall_w") -> DataFrame:
     """Rows whose W is at least the ``q`` quantile of all non-NaN W."""
-    cut = stats.exact_quantile(df, F.col(w), q).scalar()
-    return df.where(~F.isnan(w) & (F.col(w) >= cut))
+    return agreed_subsets(df, {"cut": q}, w)["cut"]
+
+
+def agreed_subsets(
+    df: DataFrame, quantiles: Mapping[str, float], w: str = "kendall_w"
+) -> dict[str, DataFrame]:
+    """For each quantile, the rows whose W reaches it; all cuts come from one pass."""
+    cuts = stats.exact_quantiles(df, F.col(w), quantiles).first()
+    return {name: df.where(~F.isnan(w) & (F.col(w) >= F.lit(cuts[name]))) for name in quantiles}
 
 
 def preference_sets(
     df: DataFrame, key: Sequence[str], seed: int | str = 0
 ) -> dict[str, DataFrame]:
     """The five pair sets of one ranked table: columns prompt, chosen, rejected."""
+    cuts = {"tophalf_borda": 0.5, "top25_borda": 0.75, "top75_borda": 0.25}
     pairs = {
         "full_borda": best_worst_pairs(df, key, seed=seed),
-        "tophalf_borda": best_worst_pairs(keep_agreed(df, 0.5), key, seed=seed),
         "full_naive": fixed_pairs(df),
-        "top25_borda": best_worst_pairs(keep_agreed(df, 0.75), key, seed=seed),
-        "top75_borda": best_worst_pairs(keep_agreed(df, 0.25), key, seed=seed),
     }
+    for name, rows in agreed_subsets(df, cuts).items():
+        pairs[name] = best_worst_pairs(rows, key, seed=seed)
     return {name: rows.select("prompt", "chosen", "rejected") for name, rows in pairs.items()}

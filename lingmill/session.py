@@ -18,6 +18,8 @@ def build_session(app: str = "lingmill", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Recording the call site of every Column costs more than planning does.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
