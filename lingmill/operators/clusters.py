@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,12 +187,12 @@ def _assign_with_chunks(
 def label_rows(
     df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str
 ) -> DataFrame:
-    """Every row with a cluster ``label``.
+    """Every row, without its vector, with a cluster ``label``.
 
-    Rows of a group without centroids are each a cluster of their own, numbered
-    from 0 by key. Such groups hold fewer rows than there are clusters.
+    Rows of groups without centroids are each a cluster of their own, numbered
+    from 0 over all such rows in (group, key) order.
     """
-    assigned = assign_clusters(df, centroids, key, group, vector)
-    alone = df.join(centroids.select(group).distinct(), group, "left_anti")
-    number = F.row_number().over(Window.partitionBy(group).orderBy(key)) - 1
-    return assigned.unionByName(alone.withColumn("label", number.cast("long")))
+    assigned = assign_clusters(df, centroids, key, group, vector).drop(vector)
+    alone = df.drop(vector).join(centroids.select(group).distinct(), group, "left_anti")
+    numbered = sampling.with_row_index(alone, [group, key], "label")
+    return assigned.unionByName(numbered)

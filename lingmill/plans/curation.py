@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lingmill import fixed
 from lingmill.functions import messages
 from lingmill.operators import dedup, detect, filters, sampling, tokens
+from lingmill.session import settle
 
 
 def clean_chats(
@@ -34,25 +35,30 @@ def curate_prompts(
     vector: str | None = None,
     embed: Callable[[Column], Column] | None = None,
     threshold: float = fixed.NEAR_DUPLICATE_DOT,
+    confidence: float = fixed.DETECTION_CONFIDENCE,
     seed: int = 0,
 ) -> DataFrame:
     """Filter, check language and length, sample per language, drop near duplicates.
 
     Vectors come from column ``vector`` or are made by ``embed`` from the prompt.
+    What the detector, tokenizer and embedder have made is written out before the
+    steps that read it more than once, so each of them sees a row once.
     """
     prompt = messages.first_message(F.col("conversation"))
     df = detect.with_detection(clean_chats(chats), prompt, load_detector)
     df = filters.drop_undetected(df, "lang_detect_result")
-    df = filters.keep_agreeing(df, filters.language_names(chats.sparkSession))
+    names = filters.language_names(chats.sparkSession)
+    df = filters.keep_agreeing(df, names, confidence=confidence)
     count = tokens.token_count(messages.first_exchange(F.col("conversation")), load_encoder)
     df = df.withColumn("first_exchange_len_tokens", count)
-    df = filters.drop_long(df, F.col("first_exchange_len_tokens"))
+    df = settle(filters.drop_long(df, F.col("first_exchange_len_tokens")), "clean-chats")
     df = sampling.sample_per_group(df, ["language"], [key], per_language, seed)
     if vector is None:
         if embed is None:
             return df
         vector = "_vector"
         df = df.withColumn(vector, embed(prompt))
+    df = settle(df, "sampled-chats")
     out = dedup.drop_near_duplicates(df, key, "language", vector, [key], threshold)
     return out.drop("_vector")
 

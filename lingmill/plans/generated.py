@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import messages
 from lingmill.operators import dedup, detect, filters, inference, prompt_lists
+from lingmill.session import settle
 
 
 def request_prompt_lists(
@@ -54,7 +55,7 @@ def parse_prompts(
     kept = filters.drop_wrong_language(found).drop("lang_detected")
     if embed is None:
         return kept
-    embedded = kept.withColumn("_vector", embed(F.col("prompt_list")))
+    embedded = settle(kept.withColumn("_vector", embed(F.col("prompt_list"))), "embedded-prompts")
     return dedup.dedup_prompts(
         embedded, "prompt_id", "language", "prompt_list", "_vector"
     ).drop("_vector")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from lingmill import fixed
 from lingmill.operators import articles, inference
+from lingmill.session import settle
 
 
 def select_articles(
@@ -19,7 +20,7 @@ def select_articles(
     seed: int = 0,
 ) -> DataFrame:
     """Long articles clustered per language, sampled per cluster, with their texts."""
-    titles = articles.title_clusters(chunks, k, seed=seed)
+    titles = settle(articles.title_clusters(chunks, k, seed=seed), "titles")
     return articles.sampled_articles(titles, texts, per_cluster, languages, seed)
 
 

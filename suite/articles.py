@@ -47,9 +47,9 @@ SQL_NEAREST = f"""WITH {SQL_CENTERS}, near AS (SELECT vec_id, e.label AS grp, ar
 
 
 @query(f"""{SQL_NEAREST} SELECT vec_id, grp, cluster FROM near UNION ALL
-SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 FROM embeddings WHERE label = 7""")
+SELECT vec_id, label, row_number() OVER (ORDER BY label, vec_id) - 1 FROM embeddings WHERE label = 7""")
 def cluster_labels(spark, sf_dir):
-    """Nearest centroid per row; a group without centroids numbers its rows."""
+    """Nearest centroid per row; rows of a group without centroids are numbered."""
     labelled = clusters.label_rows(_vectors(spark, sf_dir), _centers(spark, sf_dir), "vec_id", "grp", "embedding")
     return labelled.select("vec_id", "grp", F.col("label").alias("cluster"))
 

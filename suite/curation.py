@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.functions import draws, messages, text
-from lingmill.operators import dedup, detect, filters, sampling, stats, tokens
+from lingmill.operators import detect, filters, stats, tokens
 from lingmill.plans import curation, generated
 from lingmill.sources import nesting
 from suite import fixtures as fx
@@ -250,18 +250,11 @@ def curated_prompts(spark, sf_dir):
         F.col("vec_id").alias("conversation_id"), "embedding"
     )
     chats = fx.chats(spark, sf_dir).join(vectors, "conversation_id")
-    prompt = messages.first_message(F.col("conversation"))
-    # The job's own confidence cut would leave almost nothing of this small table.
-    df = detect.with_detection(curation.clean_chats(chats), prompt, hash_detector)
-    df = filters.drop_undetected(df, "lang_detect_result")
-    df = filters.keep_agreeing(df, filters.language_names(spark), confidence=0.2)
-    df = df.withColumn("n_tokens", tokens.token_count(messages.first_exchange(F.col("conversation"))))
-    df = filters.drop_long(df, F.col("n_tokens"))
-    df = sampling.sample_per_group(df, ["language"], ["conversation_id"], fixed.PROMPTS_PER_LANGUAGE)
-    out = dedup.drop_near_duplicates(
-        df, "conversation_id", "language", "embedding", ["conversation_id"], 0.25
+    # The stand-in's scores are even, so the default cut would leave almost nothing.
+    out = curation.curate_prompts(
+        chats, hash_detector, vector="embedding", threshold=0.25, confidence=0.2
     )
-    return out.select("conversation_id", "language", "n_tokens")
+    return out.select("conversation_id", "language", F.col("first_exchange_len_tokens").alias("n_tokens"))
 
 
 @query(f"""WITH {fx.SQL_PROMPT_LISTS},
