@@ -23,8 +23,6 @@ RANKING_MARKER = "<<<RANKING>>>"
 PROMPT_HEADER = "<<<PROMPT>>>"
 RESPONSE_HEADER = "<<<RESPONSE {letter}>>>"
 EXPLANATION_HEADER = "<<<EXPLANATION>>>"
-PREFERRED_MODEL = "gpt-4-0125-preview"
-DISPREFERRED_MODEL = "peter-gpt-35-turbo"
 HOSTED_MODEL_SUBSTRING = "gpt"
 
 # --- fixed values: generated prompts -----------------------------------------

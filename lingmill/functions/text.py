@@ -133,7 +133,8 @@ def truncate_words(text: Column, limit: int) -> Column:
     Text within the limit is returned unchanged.
     """
     tokens = F.split(text, r"\s+")
-    return F.when(F.size(tokens) <= limit, text).otherwise(
+    # A text of fewer characters than the limit needs no splitting.
+    return F.when((F.length(text) < limit) | (F.size(tokens) <= limit), text).otherwise(
         F.array_join(F.slice(tokens, 1, limit), " ")
     )
 

@@ -330,8 +330,8 @@ def best_worst_pairs(
 
 def fixed_pairs(
     df: DataFrame,
-    chosen_model: str = fixed.PREFERRED_MODEL,
-    rejected_model: str = fixed.DISPREFERRED_MODEL,
+    chosen_model: str,
+    rejected_model: str,
     conversation: str = "conversation",
     answers: str = "llm_responses",
 ) -> DataFrame:
@@ -354,13 +354,17 @@ def agreed_subsets(
 
 
 def preference_sets(
-    df: DataFrame, key: Sequence[str], seed: int | str = 0
+    df: DataFrame, key: Sequence[str], models: tuple[str, str], seed: int | str = 0
 ) -> dict[str, DataFrame]:
-    """The five pair sets of one ranked table: columns prompt, chosen, rejected."""
+    """The five pair sets of one ranked table: columns prompt, chosen, rejected.
+
+    ``models`` are the (chosen, rejected) names of the fixed pair. ``df`` is read
+    several times: store it first.
+    """
     cuts = {"tophalf_borda": 0.5, "top25_borda": 0.75, "top75_borda": 0.25}
     pairs = {
         "full_borda": best_worst_pairs(df, key, seed=seed),
-        "full_naive": fixed_pairs(df),
+        "full_naive": fixed_pairs(df, *models),
     }
     for name, rows in agreed_subsets(df, cuts).items():
         pairs[name] = best_worst_pairs(rows, key, seed=seed)

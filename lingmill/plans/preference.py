@@ -55,8 +55,10 @@ def judge_answers(
     return answered.join(evals, key)
 
 
-def preference_pairs(judged: DataFrame, key: str = "conversation_id", seed: int = 0) -> dict[str, DataFrame]:
-    """All five pair sets. Ranking is computed once and stored."""
+def preference_pairs(
+    judged: DataFrame, models: tuple[str, str], key: str = "conversation_id", seed: int = 0
+) -> dict[str, DataFrame]:
+    """All five pair sets; ``models`` is the fixed pair. Ranking is computed once and stored."""
     needed = ["conversation", "llm_responses", "borda_ranking", "kendall_w"]
     ranked = ranking.rank_judged(judged, prefixes=()).select(key, *needed)
-    return ranking.preference_sets(settle(ranked, "ranked"), [key], seed)
+    return ranking.preference_sets(settle(ranked, "ranked"), [key], models, seed)

@@ -48,8 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for one intermediate table in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one intermediate table, below a subfolder of this application."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -56,10 +56,10 @@ def _named(prefix):
 
 
 @query("""SELECT doc_id, m AS model, CASE WHEN contains(m, 'gpt') THEN 'hosted: ' ELSE 'local: ' END || source
-AS content FROM documents, (VALUES ('gpt-4-0125-preview'), ('peter-gpt-35-turbo'), ('qwen')) AS t(m)""")
+AS content FROM documents, (VALUES ('gpt-4'), ('gpt-35'), ('qwen')) AS t(m)""")
 def routed_calls(spark, sf_dir):
     """Every prompt to three models, routed by name, gathered as a map."""
-    models = F.explode(F.array(*[F.lit(m) for m in ("gpt-4-0125-preview", "peter-gpt-35-turbo", "qwen")]))
+    models = F.explode(F.array(*[F.lit(m) for m in ("gpt-4", "gpt-35", "qwen")]))
     asked = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("prompt"), models.alias("model"))
     results = inference.run_routed(asked, ["doc_id", "model"], "model", _named("hosted: "), _named("local: "))
     maps = inference.answer_map(results, ["doc_id"], "model")

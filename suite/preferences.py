@@ -286,8 +286,7 @@ def preference_sets(spark, sf_dir):
         ),
         "ranked",
     )
-    sets = ranking.preference_sets(ranked, ["conversation_id"])
-    sets["full_naive"] = ranking.fixed_pairs(ranked, "click", "error").select("prompt", "chosen", "rejected")
+    sets = ranking.preference_sets(ranked, ["conversation_id"], ("click", "error"))
     out = None
     for name, rows in sets.items():
         flat = rows.select(
