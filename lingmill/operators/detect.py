@@ -15,7 +15,7 @@ from lingmill.functions import text
 
 Detector = Callable[[Sequence[str]], list]
 
-PROFILE_CELLS = 4_096
+PROFILE_CELLS = 1 << 12
 # --- fixed values: multipliers of the three-character hash
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
@@ -80,8 +80,12 @@ def _cells(item: str) -> np.ndarray:
     points = np.frombuffer(f" {item.lower()} ".encode("utf-32-le"), dtype=np.uint32)
     if len(points) < 3:
         points = np.pad(points, (0, 3 - len(points)))
-    mixed = points[:-2] * _MIX[0] + points[1:-1] * _MIX[1] + points[2:] * _MIX[2]
-    return ((mixed ^ (mixed >> 15)) * _MIX[0] >> 20).astype(np.int64) % PROFILE_CELLS
+    mixed = points[:-2] * _MIX[0]
+    mixed += points[1:-1] * _MIX[1]
+    mixed += points[2:] * _MIX[2]
+    # The top 12 bits are the best mixed ones and number the 4,096 cells.
+    mixed >>= 20
+    return mixed
 
 
 def learn_profiles(df: DataFrame, value: str, language: str) -> DataFrame:
