@@ -85,10 +85,18 @@ def borda_points(levels: Column) -> Column:
     return let(entries, lambda every: F.filter(every, lambda e, i: is_last(every, e, i)))
 
 
+def _w_from(spread: Column, judges: Column, items: Column) -> Column:
+    """W from the squared spread of rank sums; undefined for a single item."""
+    cubes = items * items * items - items
+    return F.when(items > 1, F.lit(12.0) * spread / (judges * judges * cubes)).otherwise(
+        F.lit(float("nan"))
+    )
+
+
 def kendall_w(ranks: Column) -> Column:
     """``struct<w, chi_square>`` of ``array<array<double>>``: judges of items.
 
-    No correction for ties; one NaN rank makes the result NaN.
+    No correction for ties; one NaN rank, or a single item, makes the result NaN.
     """
     totals = F.aggregate(
         ranks,
@@ -102,7 +110,7 @@ def kendall_w(ranks: Column) -> Column:
         # Rank sums are whole numbers, so this form of the spread is exact.
         first = F.aggregate(total, F.lit(0.0), lambda s, t: s + t)
         second = F.aggregate(total, F.lit(0.0), lambda s, t: s + t * t)
-        w = F.lit(12.0) * (second - first * first / n) / (k * k * (n * n * n - n))
+        w = _w_from(second - first * first / n, k, n)
         return F.struct(w.alias("w"), (k * (n - 1) * w).alias("chi_square"))
 
     return let(totals, result)
@@ -219,7 +227,7 @@ def kendall_w_long(df: DataFrame, key: str, round_column: str, item: str, rank:
     )
     n = F.col("_n")
     spread = F.col("_var") * n
-    w = F.lit(12.0) * spread / (F.col("_k") * F.col("_k") * (n * n * n - n))
+    w = _w_from(spread, F.col("_k"), n)
     return per_key.select(
         key, w.alias("kendall_w"), (F.col("_k") * (n - 1) * w).alias("chi_square")
     )

@@ -195,8 +195,8 @@ def audit_languages(
         language,
         "n_above",
         "n_below",
-        (F.col("n_above") / F.sum("n_above").over(everything)).alias("share_above"),
-        (F.col("n_below") / F.sum("n_below").over(everything)).alias("share_below"),
+        F.try_divide("n_above", F.sum("n_above").over(everything)).alias("share_above"),
+        F.try_divide("n_below", F.sum("n_below").over(everything)).alias("share_below"),
     )
 
 

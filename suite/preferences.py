@@ -125,8 +125,8 @@ FROM agreement""")
 def kendall_agreement(spark, sf_dir):
     return _block(
         _ranked(spark, sf_dir),
-        F.round("kendall_w", 6).alias("kendall_w"),
-        F.round("chi_square", 6).alias("chi_square"),
+        _defined("kendall_w"),
+        _defined("chi_square"),
     )
 
 
@@ -142,10 +142,16 @@ def kendall_with_partial_ballots(spark, sf_dir):
 
 
 def _sql_prefix(limit: int) -> str:
-    return f"""p{limit} AS (SELECT block, round(12.0 * (sum(t * t) - sum(t) * sum(t) * 1.0 / count(*))
-   / ({limit * limit} * (count(*) * count(*) * count(*) - count(*))), 6) AS kendall_w{limit} FROM
-   (SELECT block, model, sum(place) AS t FROM long JOIN judged USING (block) WHERE round < {limit}
-    GROUP BY ALL) GROUP BY block)"""
+    return f"""p{limit} AS (SELECT block, round(CASE WHEN min(k) = {limit} AND count(*) = any_value(m.n) AND count(*) > 1
+   THEN 12.0 * (sum(t * t) - sum(t) * sum(t) * 1.0 / count(*))
+   / nullif({limit * limit} * (count(*) * count(*) * count(*) - count(*)), 0) END, 6) AS kendall_w{limit} FROM
+   (SELECT block, model, sum(place) AS t, count(*) AS k FROM long JOIN judged USING (block) WHERE round < {limit}
+    GROUP BY ALL) JOIN (SELECT block, count(*) AS n FROM models GROUP BY block) m USING (block) GROUP BY block)"""
+
+
+def _defined(column):
+    """NaN shown as null."""
+    return F.when(~F.isnan(column), F.round(column, 6)).alias(column)
 
 
 @query(f"""WITH {B}, {', '.join(_sql_prefix(k) for k in (2, 3, 4, 5))}
@@ -153,17 +159,19 @@ SELECT block, kendall_w2, kendall_w3, kendall_w4, kendall_w5 FROM p2 JOIN p3 USI
 JOIN p4 USING (block) JOIN p5 USING (block)""")
 def kendall_prefixes(spark, sf_dir):
     names = [f"kendall_w{k}" for k in (2, 3, 4, 5)]
-    return _block(_ranked(spark, sf_dir), *[F.round(n, 6).alias(n) for n in names])
+    return _block(_ranked(spark, sf_dir), *[_defined(n) for n in names])
 
 
-@query(f"""WITH {B}, {_sql_prefix(3).replace(' JOIN judged USING (block)', '')}
-SELECT block, kendall_w3 AS kendall_w FROM p3""")
+@query(f"""WITH {B}, f AS (SELECT *, dense_rank() OVER (PARTITION BY block ORDER BY judge) AS p FROM long),
+t AS (SELECT block, model, sum(place) AS t, count(*) AS k FROM f WHERE p <= 3 GROUP BY ALL)
+SELECT block, CASE WHEN count(*) > 1 THEN round(12.0 * (sum(t * t) - sum(t) * sum(t) * 1.0 / count(*))
+  / nullif(max(k) * max(k) * (count(*) * count(*) * count(*) - count(*)), 0), 6) END AS kendall_w FROM t GROUP BY block""")
 def kendall_from_long_ballots(spark, sf_dir):
     """The grouped form on the first three judges of every block."""
     ranks = ranking.competition_rank(_long(spark, sf_dir), ["block", "judge"], "level")
     first = ranking.first_ballots(ranks, "block", "judge", 3)
     w = ranking.kendall_w_long(first, "block", "judge", "model", "rank")
-    return w.select("block", F.round("kendall_w", 6).alias("kendall_w"))
+    return w.select("block", _defined("kendall_w"))
 
 
 @query(f"WITH {B} SELECT block, model, borda FROM borda")
@@ -249,11 +257,12 @@ def agreement_per_language(spark, sf_dir):
     return rows.withColumn("mean", F.round("mean", 6))
 
 
-@query(f"""WITH {B}, {', '.join(_sql_prefix(k).replace('round(12.0', '(12.0').replace(', 6) AS', ') AS')
-    for k in (2, 3, 4, 5))}
-SELECT 'kendall_w2' AS prefix, round(corr(kendall_w2, kendall_w5), 6) AS r FROM p2 JOIN p5 USING (block)
-UNION ALL SELECT 'kendall_w3', round(corr(kendall_w3, kendall_w5), 6) FROM p3 JOIN p5 USING (block)
-UNION ALL SELECT 'kendall_w4', round(corr(kendall_w4, kendall_w5), 6) FROM p4 JOIN p5 USING (block)""")
+@query(f"""WITH {B}, {', '.join(_sql_prefix(k).replace('round(CASE', '(CASE').replace(' END, 6) AS', ' END) AS')
+    for k in (2, 3, 4, 5))},
+pairs AS (SELECT 'kendall_w2' AS prefix, kendall_w2 AS w, kendall_w5 AS f FROM p2 JOIN p5 USING (block)
+UNION ALL SELECT 'kendall_w3', kendall_w3, kendall_w5 FROM p3 JOIN p5 USING (block)
+UNION ALL SELECT 'kendall_w4', kendall_w4, kendall_w5 FROM p4 JOIN p5 USING (block))
+SELECT prefix, round(corr(w, f), 6) AS r FROM pairs WHERE w IS NOT NULL AND f IS NOT NULL GROUP BY prefix""")
 def prefix_agreement(spark, sf_dir):
     return ranking.prefix_agreement(_ranked(spark, sf_dir)).withColumn("r", F.round("r", 6))
 
@@ -262,7 +271,7 @@ def prefix_agreement(spark, sf_dir):
 FROM borda JOIN agreement USING (block) GROUP BY block""")
 def agreement_against_spread(spark, sf_dir):
     rows = ranking.with_borda_spread(_ranked(spark, sf_dir))
-    return _block(rows, "borda_diff", F.round("kendall_w", 6).alias("kendall_w"))
+    return _block(rows, "borda_diff", _defined("kendall_w"))
 
 
 def _sql_set(name: str, source: str) -> str:

@@ -163,6 +163,12 @@ def test_ranking_is_narrow_and_parses_once(spark, tmp_path):
     assert len(lines) == 1
 
 
+def test_a_single_model_has_no_agreement(spark):
+    row = ranking.rank_judged(judged(spark, {"k": [[["only"]]] * 5})).first()
+    assert math.isnan(row.kendall_w) and math.isnan(row.chi_square2)
+    assert row.borda_ranking == {"only": 5.0}
+
+
 def test_a_model_named_twice_counts_last(spark):
     ids = [("A", "a"), ("B", "b"), ("C", "c")]
     evals = [(ids, "<<<RANKING>>>A>B> A=C", "stop", "judge")] * 5
