@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import byte_bpe, sharding, simhash, token_files
+from lingmill.llm import (
+    byte_bpe,
+    decontamination,
+    line_quality,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from lingmill.session import new_table_path
 from suite.registry import table
 
@@ -28,6 +37,18 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contaminated(docs, items)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.with_toxicity(docs, chain).drop("text")
+    return scored.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_table_path(spark, "token-files")
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +67,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_count(docs, pieces).select("doc_id", "n_tokens")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -54,13 +81,26 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_quality.learn(docs, table(spark, sf_dir, "labels"))
+    return line_quality.with_score(docs, model).select(
+        "doc_id", line_quality.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= line_quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hypergeometric_shards,
+        op2_decontamination,
+        op4_toxicity,
         op5_token_files,
         op7_byte_bpe,
+        op8_token_counts,
         op9_simhash,
+        op10_line_quality,
     )
 }
 
