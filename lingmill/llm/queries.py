@@ -10,6 +10,7 @@ from lingmill.llm import (
     byte_bpe,
     decontamination,
     line_quality,
+    repeats,
     sharding,
     simhash,
     token_counts,
@@ -42,6 +43,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, items)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -95,6 +103,7 @@ QUERIES = {
     for f in (
         op1_hypergeometric_shards,
         op2_decontamination,
+        op3_repeats,
         op4_toxicity,
         op5_token_files,
         op7_byte_bpe,
