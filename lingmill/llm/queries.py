@@ -10,6 +10,7 @@ from lingmill.llm import (
     byte_bpe,
     decontamination,
     line_quality,
+    near_vectors,
     repeats,
     sharding,
     simhash,
@@ -66,6 +67,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("component", "component_id")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -106,6 +112,7 @@ QUERIES = {
         op3_repeats,
         op4_toxicity,
         op5_token_files,
+        op6_hnsw,
         op7_byte_bpe,
         op8_token_counts,
         op9_simhash,

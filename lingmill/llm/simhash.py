@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -48,18 +48,21 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprint(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """(key, fingerprint long) of every row; the long has the fingerprint's 64 bits."""
-    schema = T.StructType([docs.schema[key], T.StructField("fingerprint", T.LongType())])
+    """(key, kept columns, fingerprint long) of every row; the long has the fingerprint's 64 bits."""
+    names = [key, *keep]
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("fingerprint", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [fingerprint(t, words) for t in batch.column("__text").to_pylist()]
             signed = np.array(found, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(signed)], [key, "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(signed)], [*names, "fingerprint"]
+            )
 
-    return docs.select(key, docs[text].alias("__text")).mapInArrow(run, schema)
+    return docs.select(*names, docs[text].alias("__text")).mapInArrow(run, schema)
 
 
 def differences(width: int, distance: int) -> list[int]:
@@ -166,25 +169,31 @@ def links(prints: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = 3,
+    distance: int = 2,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, fingerprint, component): the smallest key reachable over linked fingerprints.
+    """(key, kept columns, fingerprint, group, component) of every row.
 
-    One row per input row. Equal fingerprints are one node of the graph, so groups of
+    ``group`` is one fingerprint of those linked to the row's, ``component`` the smallest
+    key among the group's rows. Equal fingerprints are one node of the graph, so groups of
     copies cost nothing beyond their count; null and empty texts have fingerprint zero
-    and are linked like any other. A repeated key is a row each time; null keys never
-    name a component unless nothing else is in it. An empty table gives an empty one.
+    and are linked like any other. A repeated key is a row each time; a component is null
+    only if all its keys are. An empty table gives an empty one.
     """
-    printed = settle(with_fingerprint(docs, key, text, words), "fingerprints")
+    printed = settle(with_fingerprint(docs, key, text, words, keep), "fingerprints")
     labels = components(links(printed, distance), "a", "b")
     smallest = printed.groupBy("fingerprint").agg(F.min(key).alias("first"))
-    linked = labels.select(F.col("node").alias("fingerprint"), F.col("component").alias("label"))
-    named = settle(smallest.join(linked, "fingerprint"), "linked")
-    per_label = named.groupBy("label").agg(F.min("first").alias("component"))
-    of_linked = named.join(per_label, "label").select("fingerprint", "component")
-    alone = smallest.join(linked, "fingerprint", "left_anti").select(
-        "fingerprint", F.col("first").alias("component")
+    named = settle(
+        smallest.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+            "fingerprint", "first", F.coalesce("component", "fingerprint").alias("group")
+        ),
+        "named",
     )
+    per_group = named.groupBy("group").agg(F.min("first").alias("component"))
+    groups = settle(named.join(per_group, "group").select("fingerprint", "group", "component"), "groups")
     # A fingerprint shared by a third of all rows: the join is split by adaptive execution.
-    named = settle(of_linked.union(alone), "named")
-    return printed.join(named, "fingerprint").select(key, "fingerprint", "component")
+    return printed.join(groups, "fingerprint").select(key, *keep, "fingerprint", "group", "component")
