@@ -4,7 +4,7 @@
    equal windows have equal phrases. Phrases are counted over the whole corpus, by their
    exact words; those that occur again are confirmed.
 2. Confirmed phrases are dealt into shards of bounded size, and each shard is compiled
-   into one automaton over word numbers.
+   into one automaton.
 3. All documents stream through every automaton. Windows around a located phrase are
    compared, and all but the first of equal windows are removed.
 """
@@ -31,7 +31,7 @@ from lingmill.session import new_table_path, settle
 WINDOW = 20
 PHRASE = 6
 # Phrases of one automaton; bounds a task's memory.
-SHARD_PHRASES = 400_000
+SHARD_PHRASES = 300_000
 # Windows a task compares among themselves before it hands them on.
 BUFFER_WINDOWS = 1_000_000
 # Scan partitions that share one build of an automaton.
@@ -136,20 +136,32 @@ def confirmed_phrases(docs: DataFrame, text: str) -> DataFrame:
 
 
 class Automaton:
-    """One shard's phrases over the numbers of its words; 0 is any other word."""
+    """One shard's phrases, each word spelled with a fixed number of letters.
+
+    A letter is one of 64, so that a state has few ways on; words of no phrase are spelled
+    with a letter that no phrase has.
+    """
 
     def __init__(self, phrases: list[bytes]):
-        self.number: dict[bytes, int] = {}
-        self.matches = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        words = sorted({w for phrase in phrases for w in phrase.split()})
+        self.letters = 1
+        while 64**self.letters < len(words):
+            self.letters += 1
+        self.spelled = {
+            w: "".join(chr(0x100 + (n >> 6 * k & 63)) for k in reversed(range(self.letters)))
+            for n, w in enumerate(words)
+        }
+        self.other = chr(0xFF) * self.letters
+        self.matches = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for phrase in phrases:
-            key = tuple(self.number.setdefault(w, len(self.number) + 1) for w in phrase.split())
-            self.matches.add_word(key, 1)
+            self.matches.add_word("".join(map(self.spelled.__getitem__, phrase.split())), 1)
         self.matches.make_automaton()
 
     def locate(self, words: list[bytes]) -> list[int]:
         """Numbers of the words at which a phrase begins."""
-        numbers = tuple(map(self.number.get, words, repeat(0)))
-        return [end - PHRASE + 1 for end, _ in self.matches.iter(numbers)]
+        text = "".join(map(self.spelled.get, words, repeat(self.other)))
+        ends = (end + 1 for end, _ in self.matches.iter(text))
+        return [end // self.letters - PHRASE for end in ends if end % self.letters == 0]
 
 
 def read_shard(path: str, shard: int) -> list[bytes]:
@@ -162,14 +174,15 @@ def read_shard(path: str, shard: int) -> list[bytes]:
     return pyarrow.dataset.dataset(place, filesystem=filesystem, format="parquet").to_table(["phrase"])["phrase"].to_pylist()
 
 
-WINDOW_SCHEMA = T.StructType(
-    [T.StructField(c, T.LongType()) for c in ("order", "tie", "high", "low")]
-    + [T.StructField("later", T.BooleanType()), T.StructField("places", T.ArrayType(T.IntegerType()))]
-)
+WINDOW_SCHEMA = T.StructType([
+    T.StructField("order", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("high", T.LongType()),
+    T.StructField("low", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("later", T.BinaryType()),
+])
 
 
 def compared(order: np.ndarray, tie: np.ndarray, place: np.ndarray, high: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
-    """Windows as rows: the first of equal ones each, and the later ones by document.
+    """Windows as rows: the first of equal ones each, and the places of the later ones, a
+    row by document.
 
     So however often a window occurs, a task exchanges it once.
     """
@@ -180,18 +193,20 @@ def compared(order: np.ndarray, tie: np.ndarray, place: np.ndarray, high: np.nda
     lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(by) else by
     first = (order == order[lead]) & (place == place[lead])
     a = np.flatnonzero(first)
+    # Windows of one document stay together, which the exchange's compression likes.
+    a = a[np.lexsort((place[a], tie[a], order[a]))]
     b = np.flatnonzero(~first)
     b = b[np.lexsort((place[b], tie[b], order[b]))]
     change = np.ones(len(b), dtype=bool)
     change[1:] = (order[b][1:] != order[b][:-1]) | (tie[b][1:] != tie[b][:-1])
     heads = np.flatnonzero(change)
-    offsets = np.concatenate([np.arange(len(a)), len(a) + heads, [len(a) + len(b)]]).astype(np.int32)
+    packed = [x.astype("<i4").tobytes() for x in np.split(place[b], heads[1:])] if len(b) else []
     h = b[heads]
-    columns = [np.concatenate([x[a], y]) for x, y in ((order, order[h]), (tie, tie[h]), (high, tie[h]), (low, order[h]))]
-    later = np.concatenate([np.zeros(len(a), dtype=bool), np.ones(len(h), dtype=bool)])
-    values = np.concatenate([place[a], place[b]]).astype(np.int32)
+    zero = np.zeros(len(h), dtype=np.int64)
+    columns = [np.concatenate([x[a], y]) for x, y in ((order, order[h]), (tie, tie[h]), (high, tie[h]))]
+    short = [np.concatenate([x[a], zero]).astype(np.int32) for x in (low, place)]
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(c) for c in columns), pa.array(later), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+        [*(pa.array(c) for c in columns), *(pa.array(c) for c in short), pa.array([None] * len(a) + packed, pa.binary())],
         WINDOW_SCHEMA.names,
     )
 
@@ -222,6 +237,7 @@ def located_windows(source: DataFrame, path: str, shard: int) -> DataFrame:
             owner = words.owner[inside]
             at = np.array(rows)[owner]
             high, low = (rolled(h, WINDOW)[inside].view(np.int64) for h in words.hashes)
+            low = low >> 32
             order = batch.column("__order").to_numpy()[at]
             tie = batch.column("__tie").to_numpy()[at]
             held.append((order, tie, inside - words.firsts[owner], high, low))
@@ -270,25 +286,31 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         parts = max(spark.sparkContext.defaultParallelism, source.rdd.getNumPartitions() // PARTS_PER_BUILD)
         source = source.coalesce(parts)
         windows = reduce(DataFrame.union, [located_windows(source, path, shard) for shard in range(shards)])
-        among = Window.partitionBy("high", "low", "later").orderBy("order", F.col("places")[0])
-        later = windows.withColumn("rank", F.rank().over(among)).where("later or rank > 1")
+        known = F.col("later").isNotNull()
+        among = Window.partitionBy("high", "low", known).orderBy("order", "place")
+        later = windows.withColumn("rank", F.rank().over(among)).where(known | (F.col("rank") > 1))
         removed = later.groupBy(F.col("order").alias("__order"), F.col("tie").alias("__tie")).agg(
-            F.flatten(F.collect_list("places")).alias("__places")
+            F.collect_list(F.when(F.col("later").isNull(), F.col("place"))).alias("__places"),
+            F.collect_list("later").alias("__packed"),
         )
         tied = tied.join(removed, ["__order", "__tie"], "left")
     else:
-        tied = tied.withColumn("__places", F.lit(None).cast("array<int>"))
+        tied = tied.withColumns(
+            {"__places": F.lit(None).cast("array<int>"), "__packed": F.lit(None).cast("array<binary>")}
+        )
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             totals, gone, kept = [], [], []
-            for one, places in zip(texts_of(batch.column(text)), batch.column("__places")):
+            lists = zip(batch.column("__places"), batch.column("__packed"))
+            for one, (places, packed) in zip(texts_of(batch.column(text)), lists):
                 words = one.encode().split()
                 totals.append(len(words))
                 if places.is_valid:
                     ahead = np.zeros(len(words) + 1, dtype=np.int64)
-                    at = np.unique(places.values.to_numpy())
+                    held = np.frombuffer(b"".join(packed.as_py()), "<i4")
+                    at = np.unique(np.concatenate([places.values.to_numpy(), held]))
                     np.add.at(ahead, at, 1)
                     np.add.at(ahead, at + WINDOW, -1)
                     stay = np.cumsum(ahead[:-1]) == 0
@@ -300,4 +322,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 schema.names,
             )
 
-    return tied.select(*names, "__places").mapInArrow(cut, schema)
+    return tied.select(*names, "__places", "__packed").mapInArrow(cut, schema)
