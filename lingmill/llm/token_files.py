@@ -25,11 +25,13 @@ from pyspark.sql import Window
 from tokenizers import Tokenizer
 
 from lingmill.llm.common import settle_compressed, slices, texts_of
+from lingmill.session import settle
 
 # Ids of one block, unless one document has more.
 BLOCK_IDS = 1 << 18
-# Distinct words remembered by a task.
+# Distinct words remembered by a task, and scan partitions that share one memo.
 MEMO_WORDS = 600_000
+PARTS_PER_MEMO = 8
 
 # ASCII punctuation except the apostrophe, which starts contractions.
 TAIL_MARKS = "".join(c for c in string.punctuation if c != "'")
@@ -125,13 +127,16 @@ class WordCodes:
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, key: str, text: str) -> DataFrame:
-    """(key, tie, control, data, n): the ids of each whole text and ``end_id``, numbered as
-    in the vocabulary. ``tie`` orders rows that share a key."""
+    """(key, tie, ids): the ids of each whole text and ``end_id``, in as few bytes each as the
+    vocabulary allows. ``tie`` orders rows that share a key."""
     schema = T.StructType(
         [docs.schema[key]]
         + [T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType())]
     )
     source = docs.select(key, F.xxhash64(text).alias("tie"), docs[text].alias("__text"))
+    # Words repeat across partitions: longer tasks learn fewer of them anew.
+    parts = source.rdd.getNumPartitions() // PARTS_PER_MEMO
+    source = source.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -193,63 +198,49 @@ def write(
     ).write.parquet(f"{out}/numbers")
     number_of = spark.sparkContext.broadcast(number_table(spark, out)[1])
 
-    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = number_of.value
-        for batch in slices(batches):
-            found = [pack(numbers[np.frombuffer(ids, kind)]) for ids in batch.column("ids").to_pylist()]
-            n = [len(ids) // np.dtype(kind).itemsize for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("tie"), pa.array(n, pa.int64())]
-                + [pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)],
-                [key, "tie", "n", "control", "data"],
-            )
-
-    coded_schema = T.StructType(
-        [docs.schema[key]]
-        + [T.StructField(c, T.LongType()) for c in ("tie", "n")]
-        + [T.StructField(c, T.BinaryType()) for c in ("control", "data")]
-    )
-    coded = tokenized.mapInArrow(recode, coded_schema)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The row number splits a key that a third of all rows share.
-    ordered = coded.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(
+    ordered = tokenized.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(
         parts, key, "tie", "row"
     ).sortWithinPartitions(key, "tie", "row")
     block_schema = T.StructType(
-        [T.StructField(c, T.LongType()) for c in ("part", "block", "n_ids")]
+        [T.StructField(c, T.LongType()) for c in ("part", "start", "n_ids")]
         + [T.StructField("keys", T.ArrayType(docs.schema[key].dataType)), T.StructField("counts", T.ArrayType(T.LongType()))]
         + [T.StructField(c, T.BinaryType()) for c in ("control", "data")]
     )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, block = TaskContext.get().partitionId(), 0
-        rows: list[tuple] = []
-        held = 0
+        numbers = number_of.value
+        part, start = TaskContext.get().partitionId(), 0
+        keys, parts_held, held = [], [], 0
 
         def row() -> pa.RecordBatch:
-            numbers = np.concatenate([unpack(c, d, n) for _, n, c, d in rows])
-            control, data = pack(numbers)
+            counts = np.array([len(p) for p in parts_held], dtype=np.int64)
+            control, data = pack(numbers[np.concatenate(parts_held)])
+            lists = [
+                pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(values, kind_of))
+                for values, kind_of in ((keys, key_type), (counts, pa.int64()))
+            ]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int64()), pa.array([block], pa.int64()), pa.array([len(numbers)], pa.int64()),
-                    pa.array([[r[0] for r in rows]], pa.list_(key_type)), pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
-                    pa.array([control], pa.binary()), pa.array([data], pa.binary()),
-                ],
+                [pa.array([x], pa.int64()) for x in (part, start, held)] + lists
+                + [pa.array([x], pa.binary()) for x in (control, data)],
                 block_schema.names,
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             key_type = batch.schema.field(key).type
-            for item in zip(*(batch.column(c).to_pylist() for c in (key, "n", "control", "data"))):
-                rows.append(item)
-                held += item[1]
+            for own, ids in zip(batch.column(key).to_pylist(), batch.column("ids").to_pylist()):
+                keys.append(own)
+                parts_held.append(np.frombuffer(ids, kind))
+                held += len(parts_held[-1])
                 if held >= BLOCK_IDS:
                     yield row()
-                    rows, held, block = [], 0, block + 1
-        if rows:
+                    start += held
+                    keys, parts_held, held = [], [], 0
+        if keys:
             yield row()
 
-    ordered.select(key, "n", "control", "data").mapInArrow(blocks, block_schema).write.option(
+    ordered.select(key, "ids").mapInArrow(blocks, block_schema).write.option(
         "compression", "zstd"
     ).parquet(f"{out}/blocks")
 
@@ -268,39 +259,41 @@ def read(spark: SparkSession, out: str, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids) of every document, decoded from the files.
 
     ``start`` counts the ids of all documents before it in the files, ``ids`` is binary,
-    little-endian unsigned 32-bit. Starts come from the blocks' counts alone: a running sum
-    over the parts (one row each), and one over the blocks of a part.
+    little-endian unsigned 32-bit. A block knows its start in its part; the parts' own starts
+    are a running sum over one row each.
     """
     stored = spark.read.parquet(f"{out}/blocks")
     key_field = T.StructField(key, stored.schema["keys"].dataType.elementType)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = stored.groupBy("part").agg(F.sum("n_ids").alias("ids"))
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    part_starts = sums.select("part", F.coalesce(F.sum("ids").over(upto), F.lit(0)).alias("part_start"))
-    starts = stored.select("part", "block", "n_ids").join(part_starts, "part").select(
-        "part", "block", (F.col("part_start") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))).alias("start")
+    part_starts = settle(
+        sums.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("part_start")), "part-starts"
     )
     id_of = spark.sparkContext.broadcast(number_table(spark, out)[0])
     schema = T.StructType(
-        [key_field, T.StructField("offset", T.LongType()), T.StructField("n_tokens", T.LongType())]
-        + [T.StructField(c, T.LongType()) for c in ("part", "block")] + [T.StructField("ids", T.BinaryType())]
+        [key_field] + [T.StructField(c, T.LongType()) for c in ("place", "n_tokens", "part")]
+        + [T.StructField("ids", T.BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = id_of.value
         for batch in slices(batches, 1):
-            block = batch.to_pylist()[0]
-            ids = ids_of[unpack(block["control"], block["data"], block["n_ids"])].astype("<u4")
-            counts = np.array(block["counts"], dtype=np.int64)
+            control, data, held, start, part = (
+                batch.column(c)[0].as_py() for c in ("control", "data", "n_ids", "start", "part")
+            )
+            ids = ids_of[unpack(control, data, held)].astype("<u4")
+            counts = batch.column("counts").flatten().to_numpy()
             ends = np.cumsum(counts)
-            keys = batch.column("keys").flatten()
-            same = [pa.array([block[c]] * len(counts), pa.int64()) for c in ("part", "block")]
             parts = [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), counts.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(ends - counts), pa.array(counts), *same, pa.array(parts, pa.binary())], schema.names
+                [
+                    batch.column("keys").flatten(), pa.array(start + ends - counts), pa.array(counts),
+                    pa.array(np.full(len(counts), part)), pa.array(parts, pa.binary()),
+                ],
+                schema.names,
             )
 
-    documents = stored.select("part", "block", "n_ids", "keys", "counts", "control", "data").mapInArrow(run, schema)
-    return documents.join(starts, ["part", "block"]).select(
-        key, (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids"
+    documents = stored.mapInArrow(run, schema)
+    return documents.join(part_starts, "part").select(
+        key, (F.col("part_start") + F.col("place")).alias("start"), "n_tokens", "ids"
     )
