@@ -5,8 +5,9 @@
    exact words; those that occur again are confirmed.
 2. Confirmed phrases are dealt into shards of bounded size, and each shard is compiled
    into one automaton.
-3. All documents stream through every automaton. Windows around a located phrase are
-   compared, and all but the first of equal windows are removed.
+3. All documents stream past every automaton. Stretches where a representative's hash is
+   that of a confirmed phrase run through it, which locates the phrases themselves.
+   Windows around a located phrase are compared, and all but the first of equal ones go.
 """
 
 from __future__ import annotations
@@ -156,6 +157,28 @@ class Automaton:
         for phrase in phrases:
             self.matches.add_word("".join(map(self.spelled.__getitem__, phrase.split())), 1)
         self.matches.make_automaton()
+        held = read_words([phrase.decode() for phrase in phrases])
+        self.hashes = np.unique(rolled(held.hashes[0], PHRASE)[held.firsts[:-1]])
+
+    def screened(self, words: Words, phrases: np.ndarray) -> np.ndarray:
+        """Those of the word numbers at which a phrase of the shard may begin, by hash."""
+        hashes = rolled(words.hashes[0], PHRASE)[phrases]
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return phrases[self.hashes[at] == hashes]
+
+    def located(self, words: Words, phrases: np.ndarray) -> np.ndarray:
+        """Whether a phrase of the shard begins at each word, around the given ones."""
+        marked = np.zeros(len(words.starts), dtype=bool)
+        begin = np.maximum(phrases - WINDOW, words.firsts[words.owner[phrases]])
+        end = np.minimum(phrases + WINDOW, words.firsts[words.owner[phrases] + 1])
+        fresh = np.ones(len(begin), dtype=bool)
+        fresh[1:] = begin[1:] > end[:-1]
+        heads = np.flatnonzero(fresh)
+        tails = np.append(heads[1:], len(begin)) - 1
+        for a, b in zip(begin[heads].tolist(), end[tails].tolist()):
+            found = words.data[words.starts[a] : words.ends[b - 1]].split()
+            marked[[a + at for at in self.locate(found)]] = True
+        return marked
 
     def locate(self, words: list[bytes]) -> list[int]:
         """Numbers of the words at which a phrase begins."""
@@ -219,27 +242,17 @@ def located_windows(source: DataFrame, path: str, shard: int) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in slices(batches):
-            texts, hits, rows = [], [], []
-            for row, text in enumerate(texts_of(batch.column("__text"))):
-                found = text.encode().split()
-                if len(found) >= WINDOW and (at := automaton.locate(found)):
-                    texts.append(text)
-                    hits.append(at)
-                    rows.append(row)
-            if not rows:
-                continue
-            words = read_words(texts, streams=2)
-            marked = np.zeros(len(words.starts), dtype=bool)
-            for first, at in zip(words.firsts.tolist(), hits):
-                marked[first + np.array(at)] = True
+            words = read_words(texts_of(batch.column("__text")), streams=2)
             inside, phrase = representatives(words)
-            inside = inside[marked[phrase]]
+            candidates = automaton.screened(words, np.unique(phrase))
+            if not len(candidates):
+                continue
+            inside = inside[automaton.located(words, candidates)[phrase]]
             owner = words.owner[inside]
-            at = np.array(rows)[owner]
             high, low = (rolled(h, WINDOW)[inside].view(np.int64) for h in words.hashes)
             low = low >> 32
-            order = batch.column("__order").to_numpy()[at]
-            tie = batch.column("__tie").to_numpy()[at]
+            order = batch.column("__order").to_numpy()[owner]
+            tie = batch.column("__tie").to_numpy()[owner]
             held.append((order, tie, inside - words.firsts[owner], high, low))
             size += len(inside)
             if size >= BUFFER_WINDOWS:
