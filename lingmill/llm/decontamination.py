@@ -19,7 +19,7 @@ from lingmill.llm.common import slices, texts_of
 ITEMS_AT_ONCE = 20_000
 SEED_WORDS = 3
 # Share of an item's n-grams, rarest first, that serve as seeds.
-SEED_SHARE = 0.5
+SEED_SHARE = 0.75
 MISMATCH = -0.5
 GAP = -0.5
 THRESHOLD = 0.5
