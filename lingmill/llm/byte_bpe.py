@@ -163,7 +163,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = PieceCodes(Encoder(read_ranks(ranks_path)))
         compiled = regex.compile(pattern)
-        for batch in slices(batches):
+        for batch in slices(batches, text="__text"):
             encoded = [encode_text(t, compiled, codes) for t in texts_of(batch.column("__text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + [pa.array(encoded, pa.binary())], [*keep, ids]

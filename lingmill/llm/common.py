@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +14,31 @@ from lingmill.session import new_table_path
 
 # Texts that leave a Python worker in one Arrow batch.
 SLICE_ROWS = 512
+# Text bytes that vectorised code looks at together.
+SLICE_BYTES = 1 << 22
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches small enough that results stay small too."""
+def slices(
+    batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, text: str | None = None, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough that results stay small too.
+
+    With ``text``, that column of a batch has at most ``size`` bytes, or one row.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        if text is None:
+            for start in range(0, batch.num_rows, rows):
+                yield batch.slice(start, rows)
+            continue
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths.astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = int(np.searchsorted(ends, before + size, side="right"))
+            end = min(max(end, start + 1), start + rows)
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -267,7 +267,7 @@ def with_score(
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, SCORE_ROWS):
+        for batch in slices(batches, SCORE_ROWS, text):
             found = model.score(texts_of(batch.column(names.index(text))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*names, score])
 

@@ -34,7 +34,9 @@ PHRASE = 6
 # Phrases of one automaton; bounds a task's memory.
 SHARD_PHRASES = 300_000
 # Windows a task compares among themselves before it hands them on.
-BUFFER_WINDOWS = 1_000_000
+BUFFER_WINDOWS = 300_000
+# Text bytes of which words are hashed together.
+HASH_BYTES = 1 << 20
 # Scan partitions that share one build of an automaton.
 PARTS_PER_BUILD = 8
 
@@ -124,7 +126,7 @@ def confirmed_phrases(docs: DataFrame, text: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, text="__text", size=HASH_BYTES):
             words = read_words(texts_of(batch.column("__text")))
             _, phrases = representatives(words)
             chosen = np.unique(phrases)
@@ -241,7 +243,7 @@ def located_windows(source: DataFrame, path: str, shard: int) -> DataFrame:
         automaton = Automaton(read_shard(path, shard))
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
-        for batch in slices(batches):
+        for batch in slices(batches, text="__text", size=HASH_BYTES):
             words = read_words(texts_of(batch.column("__text")), streams=2)
             inside, phrase = representatives(words)
             candidates = automaton.screened(words, np.unique(phrase))

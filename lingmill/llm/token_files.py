@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import string
-import zlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +76,7 @@ class WordCodes:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.narrow = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
 
     def learn(self, words: set[str]) -> None:
         if len(self.words) + len(words) > MEMO_WORDS:
@@ -93,15 +94,12 @@ class WordCodes:
             split.append((word, core, tail))
             new.update(x for x in (core, tail) if x not in self.parts)
         ordered = list(new)
+        width = "H" if self.narrow else "I"
         for part, found in zip(ordered, self.tokenizer.encode_batch_fast(ordered, add_special_tokens=False)):
-            self.parts[part] = np.array(found.ids, dtype="<u2" if self.narrow else "<u4").tobytes()
+            self.parts[part] = struct.pack(f"<{len(ids := found.ids)}{width}", *ids)
         for word, core, tail in split:
             self.words[word] = self.parts[core] + self.parts[tail]
 
-    @property
-    def narrow(self) -> bool:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         known = self.words
         words = [text.replace("\n", " ").split(" ") for text in texts]
