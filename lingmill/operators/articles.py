@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lingmill import fixed
 from lingmill.functions import text
 from lingmill.operators import clusters, sampling
+from lingmill.session import settle
 
 
 def long_articles(chunks: DataFrame, chunk_id: str = "_id", groups: Sequence[str] = ("lang",)) -> DataFrame:
@@ -78,7 +79,9 @@ def sampled_articles(
         titles = titles.where(F.col("lang").isin(list(languages)))
         articles = articles.where(F.col("language_code").isin(list(languages)))
     drawn = sampled_titles(titles, per_cluster, "lang", seed)
-    return articles_by_title(articles, drawn.withColumnRenamed("lang", "language_code"))
+    # Written first, so that the join knows how few titles meet the articles' texts.
+    titles = settle(drawn.withColumnRenamed("lang", "language_code"), "drawn-titles")
+    return articles_by_title(articles, titles)
 
 
 def generation_inputs(

@@ -22,12 +22,18 @@ from lingmill.session import settle
 # gets only its own language's.
 BROADCAST_BYTES = 256 * 1024 * 1024
 CHUNK_ROWS = 20_000
+# Rows whose distances to all centres are held at a time.
+TILE_ROWS = 1_024
 
 
 def nearest(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """Index of the centre with the smallest Euclidean distance, first on ties."""
     halves = 0.5 * (centers * centers).sum(axis=1)
-    return np.argmin(halves[None, :] - vectors @ centers.T, axis=1)
+    found = np.empty(len(vectors), dtype=np.int64)
+    for at in range(0, len(vectors), TILE_ROWS):
+        rows = slice(at, at + TILE_ROWS)
+        found[rows] = np.argmin(halves[None, :] - vectors[rows] @ centers.T, axis=1)
+    return found
 
 
 def initial_centroids(df: DataFrame, key: str, group: str, vector: str, k: int, seed: int) -> DataFrame:
@@ -56,8 +62,9 @@ def fit_clusters(
     Rows are split by key hash into ``batches`` disjoint batches, fewer for a
     group whose batches would fall below k rows, so each row is used once. Each
     batch moves every centre to the running mean of the rows assigned to it so
-    far. Groups of fewer than k rows get no centroids.
+    far. Groups of fewer than k rows get no centroids; rows without a vector are left out.
     """
+    df = df.where(F.col(vector).isNotNull())
     sizes = settle(
         df.groupBy(group).agg(
             F.least(F.lit(batches), F.floor(F.count(F.lit(1)) / k)).cast("int").alias("_batches")
@@ -114,8 +121,10 @@ def assign_clusters(
 
     The centroids' total size is measured. If it is small they travel to the
     executors and rows stay where they are; otherwise rows of a group are split
-    into chunks by key hash and meet a copy of that group's centroids.
+    into chunks by key hash and meet a copy of that group's centroids. Rows without a
+    vector have no nearest centroid and are left out.
     """
+    df = df.where(F.col(vector).isNotNull())
     cells = centroids.agg(F.sum(F.size("center")).alias("n")).first()["n"] or 0
     if cells * 8 <= broadcast_bytes:
         return _assign_with_broadcast(df, centroids, group, vector)
@@ -190,9 +199,12 @@ def label_rows(
     """Every row, without its vector, with a cluster ``label``.
 
     Rows of groups without centroids are each a cluster of their own, numbered
-    from 0 over all such rows in (group, key) order.
+    from 0 over all such rows in (group, key) order. So are rows without a vector,
+    numbered from -1 downwards, which no cluster is.
     """
     assigned = assign_clusters(df, centroids, key, group, vector).drop(vector)
-    alone = df.drop(vector).join(centroids.select(group).distinct(), group, "left_anti")
+    given = F.col(vector).isNotNull()
+    alone = df.where(given).drop(vector).join(centroids.select(group).distinct(), group, "left_anti")
     numbered = sampling.with_row_index(alone, [group, key], "label")
-    return assigned.unionByName(numbered)
+    blank = sampling.with_row_index(df.where(~given).drop(vector), [group, key], "label")
+    return assigned.unionByName(numbered).unionByName(blank.withColumn("label", -1 - F.col("label")))

@@ -24,8 +24,11 @@ def drop_exact_duplicates(df: DataFrame, columns: Sequence[str], order_by: Seque
 
     Spark keeps one row per value in each map task before it shuffles, so a
     value shared by a third of all rows does not pile up. Null counts as a value.
+    Strings are compared by their SHA-256, which is narrower to sort and exchange.
     """
-    place = Window.partitionBy(*columns).orderBy(*order_by)
+    kinds = dict(df.dtypes)
+    keys = [F.sha2(F.col(c).cast("binary"), 256) if kinds.get(c) == "string" else F.col(c) for c in columns]
+    place = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
 
@@ -131,7 +134,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``df`` without its near duplicates (see ``near_duplicate_keys``)."""
     removed = near_duplicate_keys(df, key, group, vector, order_by, threshold, block_rows)
-    return df.join(removed, key, "left_anti")
+    # Written first: with its true size a small set is broadcast and vectors stay in place.
+    return df.join(settle(removed, "removed-keys"), key, "left_anti")
 
 
 def dedup_prompts(

@@ -44,8 +44,8 @@ def confidence_counts(
 
 def add_share(counts: DataFrame, count: str = "n", share: str = "share") -> DataFrame:
     """Each count over the total. ``counts`` is already aggregated."""
-    total = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(share, F.col(count) / total)
+    # One row a group, so the window over all of them is small and the input is read once.
+    return counts.withColumn(share, F.col(count) / F.sum(count).over(Window.partitionBy()))
 
 
 def rate(df: DataFrame, predicate: Column, name: str = "rate") -> DataFrame:

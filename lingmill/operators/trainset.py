@@ -33,6 +33,39 @@ def with_loss_mask(df: DataFrame, conversations: str = "conversations", reply_fr
     return df.withColumn(conversations, messages.trained_messages(F.col(conversations), reply_from))
 
 
+def mask_turns(turns: DataFrame, role: str = "role", reply_from: str = "assistant", name: str = "train") -> DataFrame:
+    """The loss mask on whole conversations kept as one row a turn; no shuffle."""
+    return turns.withColumn(name, F.coalesce(F.col(role) == reply_from, F.lit(False)))
+
+
+def turn_problems(
+    turns: DataFrame,
+    key: str,
+    role: str = "role",
+    content: str = "text",
+    senders: Sequence[str] = ("user", "assistant", "system"),
+    reply_from: str = "assistant",
+) -> DataFrame:
+    """``key, problem`` over every turn of a conversation, with the wording of ``with_problems``.
+
+    Flags are combined before the shuffle: an endless chat costs a row a map task. A key
+    whose only row has neither role nor text, as an outer join leaves it, is empty.
+    """
+    known = F.coalesce(F.col(role).isin(list(senders)), F.lit(False))
+    there = F.col(role).isNotNull() | F.col(content).isNotNull()
+    flags = turns.groupBy(key).agg(
+        F.bool_or(there).alias("any"),
+        F.bool_or(there & ~known).alias("unknown"),
+        F.bool_or(there & F.col(content).isNull()).alias("missing"),
+        F.bool_or(F.coalesce(F.col(role) == reply_from, F.lit(False))).alias("replied"),
+    )
+    problem = (
+        F.when(~F.col("any"), "empty").when(F.col("unknown"), "unknown sender")
+        .when(F.col("missing"), "missing text").when(~F.col("replied"), "no reply")
+    )
+    return flags.select(key, problem.alias("problem"))
+
+
 def with_problems(
     df: DataFrame,
     conversations: str = "conversations",

@@ -37,13 +37,17 @@ def curate_prompts(
     threshold: float = fixed.NEAR_DUPLICATE_DOT,
     confidence: float = fixed.DETECTION_CONFIDENCE,
     seed: int = 0,
+    deduplicate: bool = True,
 ) -> DataFrame:
     """Filter, check language and length, sample per language, drop near duplicates.
 
-    Vectors come from column ``vector`` or are made by ``embed`` from the prompt.
+    Vectors come from column ``vector`` or are made by ``embed`` from the prompt; one of
+    them is needed unless ``deduplicate`` is false.
     What the detector, tokenizer and embedder have made is written out before the
     steps that read it more than once, so each of them sees a row once.
     """
+    if deduplicate and vector is None and embed is None:
+        raise ValueError("near duplicates need a vector column or an embedder")
     prompt = messages.first_message(F.col("conversation"))
     df = detect.with_detection(clean_chats(chats), prompt, load_detector)
     df = filters.drop_undetected(df, "lang_detect_result")
@@ -53,9 +57,9 @@ def curate_prompts(
     df = df.withColumn("first_exchange_len_tokens", count)
     df = settle(filters.drop_long(df, F.col("first_exchange_len_tokens")), "clean-chats")
     df = sampling.sample_per_group(df, ["language"], [key], per_language, seed)
+    if not deduplicate:
+        return df
     if vector is None:
-        if embed is None:
-            return df
         vector = "_vector"
         df = df.withColumn(vector, embed(prompt))
     df = settle(df, "sampled-chats")

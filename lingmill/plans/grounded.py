@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lingmill import fixed
 from lingmill.operators import articles, inference
@@ -33,7 +34,10 @@ def generate_pairs(
     seed: int = 0,
     **options,
 ) -> DataFrame:
-    """Articles with ``generated_prompt_response``; unnamed languages are left out."""
+    """Articles with ``generated_prompt_response``.
+
+    Articles whose language has no name cannot be asked about; ``unnamed_articles`` holds them.
+    """
     inputs = articles.generation_inputs(selected, names, key, seed).where("language_name is not null")
     requests = inference.article_requests(inputs, kind)
     return inference.run_calls(
@@ -47,6 +51,13 @@ def generate_pairs(
     )
 
 
+def unnamed_articles(selected: DataFrame, names: DataFrame) -> DataFrame:
+    """The articles that ``generate_pairs`` sets aside for want of a language name."""
+    named = names.where("language_name is not null").select("language_code")
+    excluded = F.coalesce(F.col("language_code").isin(fixed.EXCLUDED_LANGUAGE_CODES), F.lit(False))
+    return selected.where(~excluded).join(named, "language_code", "left_anti")
+
+
 def revise_pairs(
     pairs: DataFrame, key: Sequence[str], call: inference.Call, **options
 ) -> DataFrame:

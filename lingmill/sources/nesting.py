@@ -17,9 +17,10 @@ def leading_messages(
 ) -> DataFrame:
     """``key, conversation``: the first ``n`` messages of each chat as an array.
 
-    No operator looks past the first exchange. Later messages are cut by a rank
-    filter that Spark also applies before the shuffle, so one endless chat costs
-    ``n`` rows a map task.
+    For operators on the first exchange. Those that look at every message work on turn
+    rows instead (``first_by_role``, ``trainset.mask_turns``, ``trainset.turn_problems``).
+    Later messages are cut by a rank filter that Spark also applies before the shuffle, so
+    one endless chat costs ``n`` rows a map task.
     """
     place = Window.partitionBy(key).orderBy(order_by)
     leading = turns.select(
@@ -31,3 +32,15 @@ def leading_messages(
         ordered, lambda m: F.struct(m["content"].alias("content"), m["role"].alias("role"))
     )
     return leading.groupBy(key).agg(messages.alias(name))
+
+
+def first_by_role(
+    turns: DataFrame, key: str, order_by: str, wanted: str, content: str = "text", role: str = "role",
+    name: str = "first_message",
+) -> DataFrame:
+    """``key, name``: each chat's first message by ``wanted``, wherever it stands; null if none.
+
+    A minimum per key, combined before the shuffle: an endless chat costs a row a map task.
+    """
+    place = F.when(F.col(role) == wanted, F.col(order_by))
+    return turns.groupBy(key).agg(F.min_by(content, place).alias(name))

@@ -45,7 +45,10 @@ def stored_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """What is stored at ``path``, or no rows if nothing is yet."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        # Anything else, such as a denied read, must not pass for "nothing stored".
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return like.limit(0)
 
 

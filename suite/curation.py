@@ -116,16 +116,16 @@ def token_length_cut(spark, sf_dir):
     return filters.drop_long(chats, F.col("n_tokens")).select("conversation_id", "n_tokens")
 
 
-@query(f"""WITH {fx.SQL_CHATS}, users AS (SELECT conv_id, arg_min(text, turn) AS t FROM
-  (SELECT * FROM turns WHERE place <= 2 AND role = 'user') GROUP BY conv_id)
-SELECT conversation_id, first_text AS first_message, t AS first_user_message FROM chats
-LEFT JOIN users ON conv_id = conversation_id""")
+@query("""SELECT conv_id AS conversation_id, arg_min(text, turn) AS first_message,
+  arg_min(text, turn) FILTER (role = 'user') AS first_user_message FROM conversations GROUP BY conv_id""")
 def first_messages(spark, sf_dir):
-    conversation = F.col("conversation")
-    return fx.chats(spark, sf_dir).select(
-        "conversation_id",
-        messages.first_message(conversation).alias("first_message"),
-        messages.first_message(conversation, "user").alias("first_user_message"),
+    """Message 0, and the first by a user wherever it stands."""
+    turns = table(spark, sf_dir, "conversations")
+    heads = nesting.leading_messages(turns, "conv_id", "turn", n=1)
+    users = nesting.first_by_role(turns, "conv_id", "turn", "user", name="first_user_message")
+    return heads.join(users, "conv_id").select(
+        F.col("conv_id").alias("conversation_id"),
+        messages.first_message(F.col("conversation")).alias("first_message"), "first_user_message",
     )
 
 

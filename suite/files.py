@@ -73,9 +73,18 @@ def language_partitions(spark, sf_dir):
     )
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def json_turns(spark, sf_dir):
+    """Whole conversations, a line per turn, written as JSON lines and read with their schema."""
+    path = new_table_path(spark, "json")
+    turns = table(spark, sf_dir, "conversations")
+    writers.write_json_lines(turns, path)
+    return readers.read_json_lines(spark, path, turns.schema)
+
+
 @query(f"WITH {fx.SQL_CHATS} SELECT conversation_id::VARCHAR AS conversation_id, language, first_text, toxic FROM chats")
 def json_lines(spark, sf_dir):
-    """Nested chats written as JSON lines and read with their schema."""
+    """First exchanges, nested, written as JSON lines and read with their schema."""
     path = new_table_path(spark, "json")
     writers.write_json_lines(fx.chats(spark, sf_dir), path)
     chats = readers.read_json_lines(spark, path, schemas.CHATS)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lingmill.functions import messages, text
 from lingmill.operators import trainset
+from lingmill.sources import nesting
 from suite import fixtures as fx
 from suite.registry import query, table
 
@@ -16,32 +18,43 @@ def validation_split(spark, sf_dir):
     return train.withColumn("held_out", F.lit(False)).unionByName(held_out.withColumn("held_out", F.lit(True)))
 
 
-def _conversations(spark, sf_dir):
-    heads = fx.chats(spark, sf_dir)
+@query("""SELECT conv_id AS conversation_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS place,
+role = 'assistant' AS train, text AS value FROM conversations""")
+def loss_mask(spark, sf_dir):
+    """Every turn of every conversation."""
+    turns = trainset.mask_turns(table(spark, sf_dir, "conversations"))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    return turns.select(
+        F.col("conv_id").alias("conversation_id"), place.cast("int").alias("place"), "train", F.col("text").alias("value")
+    )
+
+
+@query("""SELECT conv_id AS conversation_id, CASE WHEN NOT bool_and(role IN ('user', 'assistant', 'system'))
+  THEN 'unknown sender' WHEN bool_or(text IS NULL) THEN 'missing text' WHEN NOT bool_or(role = 'assistant')
+  THEN 'no reply' END AS problem FROM conversations GROUP BY conv_id""")
+def conversation_problems(spark, sf_dir):
+    """Judged over all turns."""
+    found = trainset.turn_problems(table(spark, sf_dir, "conversations"), "conv_id")
+    return found.withColumnRenamed("conv_id", "conversation_id")
+
+
+@query("""SELECT conv_id, first_role, CASE WHEN coalesce(first_role, '') <> 'assistant' AND coalesce(second_role, '')
+  <> 'assistant' THEN 'no reply' END AS problem FROM (SELECT conv_id, max(CASE WHEN place = 1 THEN role END) AS first_role,
+  max(CASE WHEN place = 2 THEN role END) AS second_role FROM (SELECT *, row_number() OVER (PARTITION BY conv_id
+  ORDER BY turn) AS place FROM conversations) GROUP BY conv_id)""")
+def first_exchange_problems(spark, sf_dir):
+    """The same check on nested first exchanges."""
+    heads = nesting.leading_messages(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    sender = {"user": "human", "assistant": "gpt", "system": "system"}
     turns = F.transform(
         "conversation",
         lambda m: F.struct(
-            F.when(m["role"] == "user", "human").when(m["role"] == "assistant", "gpt").otherwise(m["role"]).alias("from"),
+            F.create_map(*[F.lit(x) for pair in sender.items() for x in pair])[m["role"]].alias("from"),
             m["content"].alias("value"),
         ),
     )
-    return heads.select("conversation_id", turns.alias("conversations"))
-
-
-@query("""SELECT conv_id AS conversation_id, place::INT AS place, role = 'assistant' AS train, text AS value FROM
-(SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations) WHERE place < 2""")
-def loss_mask(spark, sf_dir):
-    masked = trainset.with_loss_mask(_conversations(spark, sf_dir))
-    rows = masked.select("conversation_id", F.posexplode("conversations").alias("place", "m"))
-    return rows.select("conversation_id", "place", "m.train", "m.value")
-
-
-@query(f"""WITH {fx.SQL_CHATS}, roles AS (SELECT conversation_id, first_role, t.role AS second_role FROM chats
-  LEFT JOIN turns t ON t.conv_id = conversation_id AND t.place = 2)
-SELECT conversation_id, CASE WHEN coalesce(first_role, '') <> 'assistant' AND coalesce(second_role, '') <> 'assistant'
-  THEN 'no reply' END AS problem FROM roles""")
-def conversation_problems(spark, sf_dir):
-    return trainset.with_problems(_conversations(spark, sf_dir)).select("conversation_id", "problem")
+    judged = trainset.with_problems(heads.withColumn("conversations", turns))
+    return judged.select("conv_id", F.col("conversation")[0]["role"].alias("first_role"), "problem")
 
 
 @query()
@@ -62,6 +75,7 @@ def packed_rows(spark, sf_dir):
 def turn_loss_mask(spark, sf_dir):
     """The mask on whole conversations kept as one row a turn."""
     turns = table(spark, sf_dir, "conversations")
+    # Each row holds one turn; nothing is gathered.
     one = F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
     masked = turns.withColumn("m", messages.trained_messages(one, "assistant")[0])
     return masked.select("conv_id", "turn", "m.train", F.length("m.value").cast("long").alias("n"))

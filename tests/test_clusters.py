@@ -89,3 +89,11 @@ def test_from_chunks_to_articles(spark):
     assert {r.text for r in got.collect()} == {"a", "b"}
     assert articles.sampled_articles(titles, texts, 5, ["fr"]).count() == 0
     assert articles.sampled_titles(titles, 1).count() == 1
+
+
+def test_rows_without_a_vector(spark):
+    df = blobs(spark).unionByName(spark.createDataFrame([(7000, "aa", None), (7001, "tiny", None)], SCHEMA))
+    fitted = clusters.fit_clusters(df, "k", "g", "v", k=3, batches=2)
+    labels = {r.k: r.label for r in clusters.label_rows(df, fitted, "k", "g", "v").collect()}
+    assert len(labels) == df.count()
+    assert (labels[7000], labels[7001]) == (-1, -2)

@@ -68,7 +68,9 @@ def test_the_threshold_is_exclusive(spark):
 
 def test_pairs_are_never_joined(spark):
     df = spark.createDataFrame(made_rows(50, 10), SCHEMA)
-    plan = plan_of(dedup.drop_near_duplicates(df, "k", "g", "v", ["o"]))
+    kept = plan_of(dedup.drop_near_duplicates(df, "k", "g", "v", ["o"]))
+    assert "BroadcastHashJoin" in kept and "Exchange hashpartitioning" not in kept
+    plan = plan_of(dedup.near_duplicate_keys(df, "k", "g", "v", ["o"]))
     assert "FlatMapGroupsInArrow" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 

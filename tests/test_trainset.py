@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lingmill.operators import trainset
+from lingmill.sources import nesting
 
 
 def naive(lengths, capacity):
@@ -62,3 +63,20 @@ def test_mask_and_problems(spark):
     assert got == {1: None, 2: "empty", 3: "no reply", 4: "unknown sender", 5: "missing text", 6: "empty"}
     masked = trainset.with_loss_mask(df).where("i = 1").first().conversations
     assert [(m["from"], m["train"]) for m in masked] == [("human", False), ("gpt", True)]
+
+
+def test_every_turn_of_a_long_chat_counts(spark):
+    endless = [("long", t, "user", "x") for t in range(3000)] + [("long", 3000, "assistant", "y")]
+    rows = endless + [
+        ("mute", 0, "user", "x"), ("odd", 0, "user", "x"), ("odd", 9, "robot", "x"), ("gap", 0, "assistant", None),
+        ("none", None, None, None),
+    ]
+    turns = spark.createDataFrame(rows, "chat string, turn int, role string, text string").repartition(6)
+    got = {r["chat"]: r["problem"] for r in trainset.turn_problems(turns, "chat").collect()}
+    assert got == {"long": None, "mute": "no reply", "odd": "unknown sender", "gap": "missing text", "none": "empty"}
+    masked = trainset.mask_turns(turns)
+    assert [r["turn"] for r in masked.where("train and chat = 'long'").collect()] == [3000]
+    first = nesting.first_by_role(turns, "chat", "turn", "assistant")
+    assert {r["chat"]: r["first_message"] for r in first.collect()} == {
+        "long": "y", "mute": None, "odd": None, "gap": None, "none": None
+    }
