@@ -32,7 +32,8 @@ from lingmill.session import new_table_path, settle
 WINDOW = 20
 PHRASE = 6
 # Phrases of one automaton; bounds a task's memory.
-SHARD_PHRASES = 300_000
+SHARD_PHRASES = 400_000
+HASHED_PHRASES = 10_000
 # Windows a task compares among themselves before it hands them on.
 BUFFER_WINDOWS = 300_000
 # Text bytes of which words are hashed together.
@@ -159,8 +160,11 @@ class Automaton:
         for phrase in phrases:
             self.matches.add_word("".join(map(self.spelled.__getitem__, phrase.split())), 1)
         self.matches.make_automaton()
-        held = read_words([phrase.decode() for phrase in phrases])
-        self.hashes = np.unique(rolled(held.hashes[0], PHRASE)[held.firsts[:-1]])
+        hashes = []
+        for at in range(0, len(phrases), HASHED_PHRASES):
+            held = read_words([phrase.decode() for phrase in phrases[at : at + HASHED_PHRASES]])
+            hashes.append(rolled(held.hashes[0], PHRASE)[held.firsts[:-1]])
+        self.hashes = np.unique(np.concatenate(hashes))
 
     def screened(self, words: Words, phrases: np.ndarray) -> np.ndarray:
         """Those of the word numbers at which a phrase of the shard may begin, by hash."""
