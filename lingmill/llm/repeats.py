@@ -1,8 +1,9 @@
 """Removal of repeated passages, located with sharded Aho-Corasick automata.
 
 1. Every window of words is represented by the phrase inside it whose hash is least, so
-   equal windows have equal phrases. Phrases are counted over the whole corpus, by their
-   exact words; those that occur again are confirmed.
+   equal windows have equal phrases. Phrases are gathered over the whole corpus, by their
+   exact words; those that occur again, other than in whole copies, are confirmed. Later
+   copies of a whole text of a window or more go as they are.
 2. Confirmed phrases are dealt into shards of bounded size, and each shard is compiled
    into one automaton.
 3. All documents stream past every automaton. Stretches where a representative's hash is
@@ -32,7 +33,7 @@ from lingmill.session import new_table_path, settle
 WINDOW = 20
 PHRASE = 6
 # Phrases of one automaton; bounds a task's memory.
-SHARD_PHRASES = 400_000
+SHARD_PHRASES = 150_000
 HASHED_PHRASES = 10_000
 # Windows a task compares among themselves before it hands them on.
 BUFFER_WINDOWS = 300_000
@@ -120,10 +121,9 @@ def representatives(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return inside, chosen[inside]
 
 
-def confirmed_phrases(docs: DataFrame, text: str) -> DataFrame:
-    """(phrase binary): representatives that occur more than once, words joined by one space.
-
-    Copies of a phrase are counted where they are read before anything is exchanged.
+def confirmed_phrases(source: DataFrame) -> DataFrame:
+    """(phrase binary): representatives, words joined by one space, that occur in different
+    texts or again in one text. What only whole copies share is not among them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,12 +131,33 @@ def confirmed_phrases(docs: DataFrame, text: str) -> DataFrame:
             words = read_words(texts_of(batch.column("__text")))
             _, phrases = representatives(words)
             chosen = np.unique(phrases)
+            owner = words.owner[chosen]
+            hashes = rolled(words.hashes[0], PHRASE)[chosen]
+            order = np.lexsort((hashes, owner))
+            same = (hashes[order][1:] == hashes[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+            again = np.zeros(len(chosen), dtype=bool)
+            again[order[1:][same]] = True
             spans = zip(words.starts[chosen].tolist(), words.ends[chosen + PHRASE - 1].tolist())
             found = [b" ".join(words.data[s:e].split()) for s, e in spans]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["phrase"])
+            tie = batch.column("__tie").to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), pa.array(tie), pa.array(again)], ["phrase", "tie", "again"]
+            )
+
+    found = source.select("__text", "__tie").mapInArrow(run, "phrase binary, tie long, again boolean")
+    met = found.groupBy("phrase").agg(
+        F.min("tie").alias("one"), F.max("tie").alias("other"), F.bool_or("again").alias("again")
+    )
+    return met.where("again or one <> other").select("phrase")
 
-    found = docs.select(F.col(text).alias("__text")).mapInArrow(run, "phrase binary")
-    return found.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("phrase")
+
+def later_copies(source: DataFrame) -> DataFrame:
+    """(order, tie) of the rows whose whole text also stands in a row of smaller order."""
+    ids = source.select("__order", "__tie", F.xxhash64(F.lit(1), F.col("__text")).alias("check"))
+    firsts = ids.groupBy("__tie", "check").agg(F.min("__order").alias("first"), F.max("__order").alias("last"))
+    copied = settle(firsts.where("first < last").drop("last"), "copied-texts")
+    later = ids.join(copied, ["__tie", "check"]).where(F.col("__order") > F.col("first"))
+    return later.select(F.col("__order").alias("order"), F.col("__tie").alias("tie"))
 
 
 class Automaton:
@@ -289,44 +310,51 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "__order": F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)),
         "__tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
     }
-    phrases = settle(confirmed_phrases(docs, text), "phrases")
+    source = docs.select(
+        F.coalesce(F.col(text), F.lit("")).alias("__text"), *(c.alias(n) for n, c in identity.items())
+    )
+    phrases = settle(confirmed_phrases(source), "phrases")
     shards = -(-phrases.count() // SHARD_PHRASES)
     schema = T.StructType([
         *docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType()),
     ])
-    tied = docs.withColumns(identity)
+    whole = later_copies(source).select(
+        "order", "tie", F.lit(None).cast("int").alias("place"), F.lit(None).cast("binary").alias("later"), F.lit(True).alias("whole")
+    )
+    gone = [whole]
     if shards:
         path = new_table_path(spark, "phrase-shards")
         phrases.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int")).repartition(
             "shard"
         ).write.partitionBy("shard").parquet(path)
-        source = docs.select(F.col(text).alias("__text"), *(c.alias(n) for n, c in identity.items()))
         parts = max(spark.sparkContext.defaultParallelism, source.rdd.getNumPartitions() // PARTS_PER_BUILD)
-        source = source.coalesce(parts)
-        windows = reduce(DataFrame.union, [located_windows(source, path, shard) for shard in range(shards)])
+        long_tasks = source.coalesce(parts)
+        windows = reduce(DataFrame.union, [located_windows(long_tasks, path, shard) for shard in range(shards)])
         known = F.col("later").isNotNull()
         among = Window.partitionBy("high", "low", known).orderBy("order", "place")
         later = windows.withColumn("rank", F.rank().over(among)).where(known | (F.col("rank") > 1))
-        removed = later.groupBy(F.col("order").alias("__order"), F.col("tie").alias("__tie")).agg(
-            F.collect_list(F.when(F.col("later").isNull(), F.col("place"))).alias("__places"),
-            F.collect_list("later").alias("__packed"),
-        )
-        tied = tied.join(removed, ["__order", "__tie"], "left")
-    else:
-        tied = tied.withColumns(
-            {"__places": F.lit(None).cast("array<int>"), "__packed": F.lit(None).cast("array<binary>")}
-        )
+        place = F.when(F.col("later").isNull(), F.col("place"))
+        gone.append(later.select("order", "tie", place.alias("place"), "later", F.lit(False).alias("whole")))
+    removed = reduce(DataFrame.unionByName, gone).groupBy(
+        F.col("order").alias("__order"), F.col("tie").alias("__tie")
+    ).agg(
+        F.collect_list("place").alias("__places"), F.collect_list("later").alias("__packed"),
+        F.bool_or("whole").alias("__whole"),
+    )
+    tied = docs.withColumns(identity).join(removed, ["__order", "__tie"], "left")
     names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             totals, gone, kept = [], [], []
-            lists = zip(batch.column("__places"), batch.column("__packed"))
-            for one, (places, packed) in zip(texts_of(batch.column(text)), lists):
+            lists = zip(*(batch.column(c) for c in ("__places", "__packed", "__whole")))
+            for one, (places, packed, whole) in zip(texts_of(batch.column(text)), lists):
                 words = one.encode().split()
                 totals.append(len(words))
-                if places.is_valid:
+                if whole.as_py() and len(words) >= WINDOW:
+                    words = []
+                elif places.is_valid:
                     ahead = np.zeros(len(words) + 1, dtype=np.int64)
                     held = np.frombuffer(b"".join(packed.as_py()), "<i4")
                     at = np.unique(np.concatenate([places.values.to_numpy(), held]))
@@ -341,4 +369,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 schema.names,
             )
 
-    return tied.select(*names, "__places", "__packed").mapInArrow(cut, schema)
+    return tied.select(*names, "__places", "__packed", "__whole").mapInArrow(cut, schema)
