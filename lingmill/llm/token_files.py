@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,17 +25,23 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
-from lingmill.llm.common import settle_compressed, slices, texts_of
+from lingmill.llm.common import settle_compressed, slices
 from lingmill.session import settle
 
 # Ids of one block, unless one document has more.
 BLOCK_IDS = 1 << 18
 # Distinct words remembered by a task, and scan partitions that share one memo.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 PARTS_PER_MEMO = 8
+# Text bytes whose distinct words are looked up together; words sent to the library at once.
+TEXT_BYTES = 1 << 24
+TEXT_ROWS = 1 << 14
+WORDS_AT_ONCE = 256
 
 # ASCII punctuation except the apostrophe, which starts contractions.
 TAIL_MARKS = "".join(c for c in string.punctuation if c != "'")
+# Trial words and the letters that the model must take them for.
+TRIALS = {"a": ["a"], "The": ["the"], string.ascii_letters: [string.ascii_lowercase * 2], "of it": ["of", "it"]}
 
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
@@ -69,64 +76,91 @@ class WordCodes:
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
     of its words in turn. A word of letters with punctuation behind it is the letters,
-    then the punctuation; letters in ASCII count in lower case, as the tokenizer does.
+    then the punctuation. Lower-case ASCII letters need no normalising and are one word
+    to the model; other letters are sent many at a time and told apart by the pieces that
+    end a word. A tokenizer that does not behave so on a few trial words gets every word whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.narrow = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > MEMO_WORDS:
-            self.words.clear()
-        if len(self.parts) > MEMO_WORDS:
-            self.parts = {"": b""}
-        split, new = [], set()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        self.code = "H" if self.kind == "<u2" else "I"
+        self.model = self.tokenizer.model
+        suffix = getattr(self.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[n for token, n in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.splits = bool(suffix) and all(
+            self.tokenizer.encode(trial, add_special_tokens=False).ids
+            == [n for part in split for n in self.of_letters(part)]
+            for trial, split in TRIALS.items()
+        )
+
+    def of_letters(self, letters: str) -> list[int]:
+        return [token.id for token in self.model.tokenize(letters)]
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def learn(self, words: list[str]) -> None:
+        known = self.words
+        if len(known) + len(words) > MEMO_WORDS:
+            known.clear()
+        whole, spelled, parts = [], [], []
         for word in words:
             core = word.rstrip(TAIL_MARKS)
-            tail = word[len(core) :]
-            if not core.isalpha():
-                core, tail = word, ""
-            elif core.isascii():
-                core = core.lower()
-            split.append((word, core, tail))
-            new.update(x for x in (core, tail) if x not in self.parts)
-        ordered = list(new)
-        width = "H" if self.narrow else "I"
-        for part, found in zip(ordered, self.tokenizer.encode_batch_fast(ordered, add_special_tokens=False)):
-            self.parts[part] = struct.pack(f"<{len(ids := found.ids)}{width}", *ids)
-        for word, core, tail in split:
-            self.words[word] = self.parts[core] + self.parts[tail]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.words
-        words = [text.replace("\n", " ").split(" ") for text in texts]
-        codes = [list(map(known.get, found)) for found in words]
-        missing = {
-            word
-            for found, got in zip(words, codes)
-            if None in got
-            for word, code in zip(found, got)
-            if code is None
-        }
-        kind = "<u2" if self.narrow else "<u4"
+            if not self.splits or not core.isalpha():
+                whole.append(word)
+            elif not core.isascii():
+                spelled.append(word)
+                parts.append(1 + (len(core) < len(word)))
+            else:
+                tail = word[len(core) :]
+                if tail and tail not in known:
+                    known[tail] = self.packed(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+                code = self.packed(self.of_letters(core.lower()))
+                known[word] = code + known[tail] if tail else code
+        for start in range(0, len(spelled), WORDS_AT_ONCE):
+            group = spelled[start : start + WORDS_AT_ONCE]
+            ids = self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            last = np.cumsum(parts[start : start + WORDS_AT_ONCE])
+            # Each part has at least one end, so equal sums mean that each has just one.
+            if len(ends) != last[-1]:
+                whole += group
+                continue
+            joined, begin = self.packed(ids), 0
+            for word, end in zip(group, (ends[last - 1] * int(self.kind[-1])).tolist()):
+                known[word] = joined[begin:end]
+                begin = end
+        for word, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            known[word] = self.packed(found.ids)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian integers of ``kind``; null is empty."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        seen = split.flatten().dictionary_encode()
+        words = seen.dictionary.to_pylist()
+        codes = list(map(self.words.get, words))
+        missing = [word for word, code in zip(words, codes) if code is None]
         if missing:
             self.learn(missing)
             # A full memo was emptied: words known a moment ago are in ``codes`` already.
-            codes = [
-                [known[word] if code is None else code for word, code in zip(found, got)]
-                if None in got
-                else got
-                for found, got in zip(words, codes)
-            ]
-        return [np.frombuffer(b"".join(got), kind).astype(np.uint32) for got in codes]
-
-
-def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, key: str, text: str) -> DataFrame:
-    """(key, tie, ids): the ids of each whole text and ``end_id``, in as few bytes each as the
-    vocabulary allows. ``tie`` orders rows that share a key."""
+            codes = [self.words[word] if code is None else code for word, code in zip(words, codes)]
+        ids = pa.array(codes, pa.large_binary()).take(seen.indices)
+        if not len(ids):
+            return [b""] * len(texts)
+        at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        first = split.offsets.to_numpy()
+        ends = at[first - first[0]]
+        data = ids.buffers()[2]
+        return [data[a:b].to_pybytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, kind: str, key: str, text: str) -> DataFrame:
+    """(key, tie, ids): the ids of each whole text and ``end_id``, as integers of ``kind``.
+    ``tie`` orders rows that share a key."""
     schema = T.StructType(
         [docs.schema[key]]
         + [T.StructField("tie", T.LongType()), T.StructField("ids", T.BinaryType())]
@@ -139,12 +173,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, key: str, text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         codes = WordCodes(tokenizer_path)
-        kind = "<u2" if codes.narrow else "<u4"
-        for batch in slices(batches):
-            ids = [
-                np.append(found, np.uint32(end_id)).astype(kind).tobytes()
-                for found in codes.encode(texts_of(batch.column("__text")))
-            ]
+        end = np.array([end_id], dtype=kind).tobytes()
+        for batch in slices(batches, TEXT_ROWS, "__text", TEXT_BYTES):
+            ids = [np.frombuffer(found, codes.kind).astype(kind).tobytes() + end for found in codes.encode(batch.column("__text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), batch.column("tie"), pa.array(ids, pa.binary())], [key, "tie", "ids"]
             )
@@ -187,7 +218,7 @@ def write(
     spark = docs.sparkSession
     vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
-    tokenized = settle_compressed(tokenize(docs, tokenizer_path, end_id, key, text), "tokens")
+    tokenized = settle_compressed(tokenize(docs, tokenizer_path, end_id, kind, key, text), "tokens")
     counts = count_ids(tokenized, vocabulary)
     # One row per vocabulary entry, whatever the corpus.
     place = Window.orderBy(F.coalesce("n", F.lit(0)).desc(), "id")
