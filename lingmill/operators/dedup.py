@@ -145,10 +145,10 @@ def dedup_prompts(
     prompt: str,
     vector: str,
     threshold: float = fixed.NEAR_DUPLICATE_DOT,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Near duplicates within a language, then equal prompts across languages
-    (first by language, then key), then rows with any null."""
-    distinct = drop_near_duplicates(df, key, language, vector, [key], threshold)
-    return filters.drop_incomplete_rows(
-        drop_exact_duplicates(distinct, [prompt], [language, key])
-    )
+    (first by language, then ``order_by``, by default the key), then rows with any null."""
+    order = list(order_by or [key])
+    distinct = drop_near_duplicates(df, key, language, vector, order, threshold)
+    return filters.drop_incomplete_rows(drop_exact_duplicates(distinct, [prompt], [language, *order]))

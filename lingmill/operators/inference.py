@@ -11,7 +11,6 @@ import hashlib
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -159,13 +158,16 @@ def run_with_retry(
 def run_routed(
     df: DataFrame, key: Sequence[str], model: str, hosted: Call, local: Call, **options
 ) -> DataFrame:
-    """Calls of models with "gpt" in their name go to one function, others to another."""
-    to_hosted = messages.routed_to_hosted(F.col(model))
-    sides = [
-        run_calls(df.where(to_hosted), key, hosted, **options),
-        run_calls(df.where(~to_hosted), key, local, **options),
-    ]
-    return reduce(DataFrame.unionByName, sides)
+    """Calls of models with "gpt" in their name go to one function, others to another.
+
+    The input is read once; rows without a model are left out.
+    """
+    inputs = (*options.pop("inputs", ("prompt",)), model)
+
+    def call(row: Mapping) -> Mapping:
+        return hosted(row) if fixed.HOSTED_MODEL_SUBSTRING in row[model] else local(row)
+
+    return run_calls(df.where(F.col(model).isNotNull()), key, call, inputs=inputs, **options)
 
 
 def answer_map(results: DataFrame, key: Sequence[str], model: str, result: str = "result") -> DataFrame:

@@ -16,6 +16,7 @@ from lingmill import fixed
 from lingmill.functions import draws, messages
 from lingmill.functions.binding import let, with_once
 from lingmill.operators import ballots as ballot_ops
+from lingmill.session import settle
 from lingmill.operators import stats
 
 
@@ -350,7 +351,8 @@ def fixed_pairs(
 
 def keep_agreed(df: DataFrame, q: float, w: str = "kendall_w") -> DataFrame:
     """Rows whose W is at least the ``q`` quantile of all non-NaN W."""
-    return agreed_subsets(df, {"cut": q}, w)["cut"]
+    # Written first: the cut and its rows would each rank everything.
+    return agreed_subsets(settle(df, "agreement"), {"cut": q}, w)["cut"]
 
 
 def agreed_subsets(

@@ -108,13 +108,14 @@ def tail_rollup(
 
 
 def exact_quantiles(
-    df: DataFrame, value: Column, quantiles: Mapping[str, float], slices: int = 4096
+    df: DataFrame, value: Column, quantiles: Mapping[str, float], slices: int | None = None
 ) -> DataFrame:
     """Linearly interpolated exact quantiles as one row, NaN and null skipped.
 
-    Rows are counted per distinct value, and those counts per equal-width slice of
-    the value range. Only slices that hold a wanted rank are put in order, so
-    neither hot values nor many distinct ones gather in one task.
+    Rows are counted per distinct value; the distinct values are cut into ``slices`` ranges
+    of about equally many values (the session's shuffle partitions unless given). Only
+    ranges that hold a wanted rank are put in order, so neither hot values nor a
+    heavy tail gather in one task.
     """
     x = value.cast("double")
     values = settle(
@@ -124,13 +125,16 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("c")),
         "quantile-values",
     )
-    lo, hi, total = values.agg(F.min("x"), F.max("x"), F.sum("c")).first()
+    total = values.agg(F.sum("c")).first()[0]
     if not total:
         nothing = [F.lit(None).cast("double").alias(name) for name in quantiles]
         return df.sparkSession.range(1).select(*nothing)
-    width = (hi - lo) / slices
-    bucket = F.floor((F.col("x") - lo) / width).cast("long") if width > 0 else F.lit(0).cast("long")
-    sliced = values.withColumn("slice", bucket)
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written, as a second run of the range exchange could cut elsewhere.
+    sliced = settle(
+        values.repartitionByRange(slices, "x").withColumn("slice", F.spark_partition_id().cast("long")),
+        "quantile-slices",
+    )
     ranks = {name: q * (total - 1) for name, q in quantiles.items()}
     wanted = sorted({r for at in ranks.values() for r in (math.floor(at), math.ceil(at))})
 
@@ -161,11 +165,6 @@ def exact_quantiles(
     return ordered.agg(*columns)
 
 
-def exact_quantile(df: DataFrame, value: Column, q: float, name: str = "q") -> DataFrame:
-    """One exact quantile as a one-row frame."""
-    return exact_quantiles(df, value, {name: q})
-
-
 def mean_and_size(df: DataFrame, group: str, value: Column) -> DataFrame:
     """Mean of non-NaN values and their number, per group."""
     clean = F.when(~F.isnan(value), value)

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from lingmill import fixed
 from lingmill.functions import draws, messages
-from lingmill.session import settle
 
 PACK_ROWS = 50_000
 
@@ -115,18 +114,19 @@ def pack(
     tokens: str,
     capacity: int = fixed.PACK_LENGTHS[0],
     rows_per_bucket: int = PACK_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``key, tokens, bucket, bin``: rows assigned to sequences of ``capacity`` tokens.
 
-    Rows fall into buckets of about ``rows_per_bucket`` by key hash; each bucket is
-    packed first-fit-decreasing in one task. A row longer than the capacity gets a
-    bin of its own.
+    Rows fall into ``buckets`` by key hash; each bucket is packed first-fit-decreasing in
+    one task. Give their number to keep rows where they are as the table grows; otherwise
+    rows are counted and a bucket has about ``rows_per_bucket``. A row longer than the
+    capacity gets a bin of its own.
     """
     rows = df.select(key, F.col(tokens).cast("long").alias(tokens))
-    buckets = settle(
-        rows.agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).cast("long").alias("n")), "pack-buckets"
-    ).select("n").scalar()
-    spread = rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.greatest(buckets, F.lit(1))).cast("long"))
+    if buckets is None:
+        buckets = max(1, -(-rows.count() // rows_per_bucket))
+    spread = rows.withColumn("bucket", draws.draw_below([F.col(key)], "pack", buckets))
     schema = T.StructType(
         [*spread.schema.fields, T.StructField("bin", T.LongType())]
     )

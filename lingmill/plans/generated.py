@@ -47,18 +47,21 @@ def parse_prompts(
     rows = prompt_lists.explode_prompt_lists(
         lists, [*key, "language", "finish_reason"], position="position"
     )
-    rows = rows.withColumn("prompt_id", F.concat_ws("_", *key, F.coalesce("position", F.lit(-1))))
-    rows = rows.select("prompt_id", "language", "finish_reason", "prompt_list")
+    rows = rows.withColumn("position", F.coalesce("position", F.lit(-1)))
+    rows = rows.withColumn("prompt_id", F.concat_ws("_", *key, "position"))
+    # The order of lists and items, which that of the ids as text is not.
+    order = [*(c for c in key if c != "language"), "position"]
+    rows = rows.select("prompt_id", "language", "finish_reason", "prompt_list", *order)
     found = detect.with_detection(
         rows, F.col("prompt_list"), load_detector, "lang_detected", errors_as_null=False
     )
     kept = filters.drop_wrong_language(found).drop("lang_detected")
     if embed is None:
-        return kept
+        return kept.drop(*order)
     embedded = settle(kept.withColumn("_vector", embed(F.col("prompt_list"))), "embedded-prompts")
     return dedup.dedup_prompts(
-        embedded, "prompt_id", "language", "prompt_list", "_vector"
-    ).drop("_vector")
+        embedded, "prompt_id", "language", "prompt_list", "_vector", order_by=order
+    ).drop("_vector", *order)
 
 
 def training_rows(answered: DataFrame, load_detector: Callable[[], detect.Detector]) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lingmill import fixed
 from lingmill.functions import messages
 from lingmill.operators import inference, ranking, sampling
-from lingmill.session import settle
+from lingmill.session import new_table_path, settle
+from lingmill.sources import writers
 
 
 def prompts_to_judge(
@@ -26,15 +27,37 @@ def collect_answers(
     key: str = "conversation_id",
     **options,
 ) -> DataFrame:
-    """Every model's answer to every prompt, as the ``llm_responses`` map."""
+    """Every model's answer to every prompt, as the ``llm_responses`` map.
+
+    Where ``prompts`` has that map already, models whose answer it holds are not asked again.
+    """
     first = messages.first_message(F.col("conversation"))
+    resumed = "llm_responses" in prompts.columns
+    known = F.col("llm_responses") if resumed else F.lit(None)
     asked = prompts.select(
-        key, first.alias("prompt"), F.explode(F.array(*[F.lit(m) for m in models])).alias("model")
+        key,
+        first.alias("prompt"),
+        known.alias("_known"),
+        F.explode(F.array(*[F.lit(m) for m in models])).alias("model"),
+    )
+    if resumed:
+        asked = asked.where(F.try_element_at("_known", F.col("model"))["content"].isNull())
+    # Calls are written before anything is exchanged, so that no lost executor repeats them.
+    results = settle(
+        inference.run_routed(asked.drop("_known"), [key, "model"], "model", hosted, local, inputs=("prompt",), **options),
+        "answer-calls",
     )
-    results = inference.run_routed(
-        asked, [key, "model"], "model", hosted, local, inputs=("prompt",), **options
+    answers = settle(inference.answer_map(results, [key], "model"), "answers")
+    if not resumed:
+        return prompts.join(answers, key)
+    joined = prompts.join(answers.withColumnRenamed("llm_responses", "_new"), key, "left")
+    others = F.map_filter("llm_responses", lambda model, _: ~F.array_contains(F.map_keys("_new"), model))
+    merged = (
+        F.when(F.col("_new").isNull(), F.col("llm_responses"))
+        .when(F.col("llm_responses").isNull(), F.col("_new"))
+        .otherwise(F.map_concat(others, "_new"))
     )
-    return prompts.join(settle(inference.answer_map(results, [key], "model"), "answers"), key)
+    return joined.withColumn("llm_responses", merged).drop("_new")
 
 
 def judge_answers(
@@ -44,14 +67,27 @@ def judge_answers(
     key: str = "conversation_id",
     rounds: int = fixed.JUDGE_ROUNDS,
     seed: int = 0,
+    path: str | None = None,
+    commits: int = 1,
     **options,
 ) -> DataFrame:
-    """Rows with all answers present plus their ``model_evals``."""
-    requests = inference.judge_requests(answered, [key], rounds, seed=seed)
-    results = inference.run_calls(
-        requests, [key, "round"], judge, inputs=("system", "prompt", "model_id_list"), **options
-    )
-    evals = inference.gather_rounds(requests, settle(results, "judgements"), [key], judge_name)
+    """Rows with all answers present plus their ``model_evals``.
+
+    Each round is stored by itself below ``path``, in ``commits`` appends. Given the same path, a
+    second run asks for what is not stored yet only.
+    """
+    spark = answered.sparkSession
+    requests = settle(inference.judge_requests(answered, [key], rounds, seed=seed), "judge-requests")
+    path = path or new_table_path(spark, "judgements")
+
+    def work(rows: DataFrame) -> DataFrame:
+        inputs = ("system", "prompt", "model_id_list")
+        return inference.run_calls(rows, [key, "round"], judge, inputs=inputs, **options).drop("round")
+
+    for number in range(1, rounds + 1):
+        own = requests.where(F.col("round") == number)
+        writers.resume_into(own, f"{path}/round={number}", [key], work, commits)
+    evals = inference.gather_rounds(requests, spark.read.parquet(path), [key], judge_name)
     return answered.join(evals, key)
 
 

@@ -39,17 +39,6 @@ CHATS = _struct(
     ("language", S),
     ("openai_moderation", T.ArrayType(MODERATION)),
 )
-ANSWERED_CHATS = T.StructType(
-    CHATS.fields
-    + _struct(("lang_detect_result", DETECTION), ("response", ANSWER)).fields
-)
-CHAT_TRAINING = _struct(
-    ("conversation_id", S),
-    ("conversations", T.ArrayType(TURN)),
-    ("language", S),
-    ("lang_detect_result", DETECTION),
-    ("response", ANSWER),
-)
 JUDGED_CHATS = T.StructType(
     CHATS.fields
     + _struct(
@@ -57,13 +46,3 @@ JUDGED_CHATS = T.StructType(
         ("model_evals", T.ArrayType(JUDGEMENT)),
     ).fields
 )
-PREFERENCES = _struct(
-    ("prompt", S), ("chosen", T.ArrayType(MESSAGE)), ("rejected", T.ArrayType(MESSAGE))
-)
-PROMPT_LISTS = _struct(("language", S), ("gen_prompts", S), ("finish_reason", S))
-EMBEDDED_CHUNKS = _struct(
-    ("_id", S), ("title", S), ("url", S), ("emb", T.ArrayType(T.FloatType()))
-)
-TITLE_CLUSTERS = _struct(("title", S), ("label", L), ("url", S))
-ARTICLES = _struct(("title", S), ("text", S), ("language_code", S))
-INPUT_TARGET_PAIRS = _struct(("inputs", S), ("targets", S), ("language", S))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lingmill.operators import sampling
+from lingmill.session import settle
 
 
 def publish(df: DataFrame, path: str) -> None:
@@ -53,16 +54,22 @@ def stored_rows(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def resume_into(
-    df: DataFrame, path: str, key: Sequence[str], work: Callable[[DataFrame], DataFrame]
+    df: DataFrame, path: str, key: Sequence[str], work: Callable[[DataFrame], DataFrame], commits: int = 4
 ) -> DataFrame:
     """Run ``work`` on the rows whose key is not yet stored at ``path``; append; return all.
 
-    Completed appends survive a failed run, so a second run continues from there.
+    The open rows are dealt by key hash into ``commits`` parts, each appended by itself.
+    Completed appends survive a failed run, so a second run continues from there: at
+    most one part's work is done again.
     """
     spark = df.sparkSession
     sample = work(df.limit(0))
     open_rows = sampling.not_done(df, stored_rows(spark, path, sample), key)
-    work(open_rows).write.mode("append").parquet(path)
+    part = F.pmod(F.xxhash64(*key), F.lit(commits)).cast("int")
+    dealt = settle(open_rows.withColumn("__part", part), "open-rows", ["__part"])
+    for number in range(commits):
+        own = dealt.where(F.col("__part") == number).drop("__part")
+        work(own).write.mode("append").parquet(path)
     return spark.read.schema(sample.schema).parquet(path)
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lingmill import fixed
 from lingmill.functions import messages, text
-from lingmill.operators import trainset
+from lingmill.operators import sampling, tokens, trainset
 from lingmill.sources import nesting
 from suite import fixtures as fx
 from suite.registry import query, table
@@ -79,3 +80,43 @@ def turn_loss_mask(spark, sf_dir):
     one = F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
     masked = turns.withColumn("m", messages.trained_messages(one, "assistant")[0])
     return masked.select("conv_id", "turn", "m.train", F.length("m.value").cast("long").alias("n"))
+
+
+@query(f"""SELECT {fx.sql_draw('doc_id', 'pack', 16)} AS bucket, count(*) AS n_rows,
+sum(len(regexp_extract_all(text, '\\w+|[^\\w\\s]')))::BIGINT AS n_tokens, 0::BIGINT AS n_overfull, 0::BIGINT AS n_mergeable
+FROM documents GROUP BY 1""")
+def packed_bins(spark, sf_dir):
+    """What packing promises per bucket: no bin of several rows overflows, no two bins fit into one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("tokens"))
+    capacity = fixed.PACK_LENGTHS[0]
+    bins = trainset.pack(docs, "doc_id", "tokens", capacity, buckets=16).groupBy("bucket", "bin").agg(
+        F.sum("tokens").alias("used"), F.count(F.lit(1)).alias("n")
+    )
+    emptiest = Window.partitionBy("bucket").orderBy("used", "bin")
+    # If any two bins fit into one, the two emptiest do.
+    together = F.col("used") + F.lag("used").over(emptiest)
+    second = F.row_number().over(emptiest) == 2
+    return bins.withColumn("mergeable", second & (together <= capacity)).groupBy("bucket").agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("used").alias("n_tokens"),
+        F.count_if((F.col("used") > capacity) & (F.col("n") > 1)).alias("n_overfull"),
+        F.count_if("mergeable").alias("n_mergeable"),
+    )
+
+
+@query("""SELECT doc_id, length(text)::DOUBLE AS n_chars, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS n_e
+FROM documents""")
+def embedded_texts(spark, sf_dir):
+    """A stand-in model that embeds a text as two counts."""
+
+    def load():
+        return lambda items: [[float(len(t)), float(t.count("e"))] for t in items]
+
+    vectors = table(spark, sf_dir, "documents").select("doc_id", tokens.embed(F.col("text"), load).alias("v"))
+    return vectors.select("doc_id", F.col("v")[0].cast("double").alias("n_chars"), F.col("v")[1].cast("double").alias("n_e"))
+
+
+@query("""SELECT doc_id, source, n_chars FROM documents""")
+def scattered_rows(spark, sf_dir):
+    """Rows spread over partitions by key; none is lost or repeated."""
+    return sampling.scatter(table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), ["doc_id"], 8)

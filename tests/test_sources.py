@@ -94,10 +94,10 @@ def test_filters_and_calls_on_a_stream(spark, tmp_path):
     given, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
 
     def run():
-        stream = incremental.clean_new_chats(incremental.read_new_files(spark, given, schemas.CHATS, 1))
+        stream = curation.clean_chats(incremental.read_new_files(spark, given, schemas.CHATS, 1))
         rows = stream.select("conversation_id", F.col("conversation")[0]["content"].alias("prompt"))
         query = incremental.run_available(
-            incremental.answer_new_rows(rows, ["conversation_id"], inference.echo), out, mark
+            inference.run_calls(rows, ["conversation_id"], inference.echo), out, mark
         )
         query.awaitTermination()
         return {r.conversation_id: r.result.content for r in spark.read.parquet(out).collect()}
