@@ -5,7 +5,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lingmill.operators import detect, filters, inference, tokens
-from lingmill.plans import generated, grounded
+from lingmill.plans import generated, grounded, preference
 from lingmill.sources import writers
 from tests.conftest import plan_of
 
@@ -210,3 +210,71 @@ def test_generation_and_revision_keep_their_inputs(spark):
     pairs = spark.createDataFrame([(1, "in", "out", "Thai")], "id int, inputs string, targets string, language string")
     got = grounded.revise_pairs(pairs, ["id"], inference.echo).first()
     assert got.gen_input_outputs == "<INPUT>\nin\n\n<OUTPUT>\nout" and got.finish_reason == "stop"
+
+
+def test_a_failed_run_repeats_at_most_one_part(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    out = str(tmp_path / "out")
+    parts = []
+
+    def work(rows):
+        def call(row):
+            (log / f"{row['id']}-{len(parts)}").touch()
+            return inference.echo(row)
+
+        if rows.schema and rows.count():
+            parts.append(1)
+            if len(parts) == 3:
+                raise RuntimeError("lost")
+        return inference.run_calls(rows, ["id"], call)
+
+    with pytest.raises(RuntimeError, match="lost"):
+        writers.resume_into(prompts(spark, 80), out, ["id"], work, commits=4)
+    before = {int(p.name.split("-")[0]) for p in log.iterdir()}
+    assert 0 < len(before) < 80
+    stored = writers.resume_into(prompts(spark, 80), out, ["id"], work, commits=4).collect()
+    assert sorted(r.id for r in stored) == list(range(80))
+    assert len(list(log.iterdir())) == 80
+
+
+def test_models_with_an_answer_are_not_asked_again(spark):
+    answer = "struct<content:string,finish_reason:string>"
+    rows = [
+        (1, [("hello", "user")], {"gpt-4": ("kept", "stop"), "qwen": (None, None)}),
+        (2, [("bye", "user")], None),
+        (3, [("done", "user")], {"gpt-4": ("x", "stop"), "qwen": ("y", "stop"), "old": ("z", "stop")}),
+    ]
+    df = spark.createDataFrame(
+        rows, f"conversation_id int, conversation array<struct<content:string,role:string>>, llm_responses map<string,{answer}>"
+    )
+
+    def named(name):
+        return lambda row: {"content": f"{name} {row['prompt']}", "finish_reason": "stop"}
+
+    got = preference.collect_answers(df, ["gpt-4", "qwen"], named("hosted"), named("local")).collect()
+    assert {r.conversation_id: {k: v.content for k, v in r.llm_responses.items()} for r in got} == {
+        1: {"gpt-4": "kept", "qwen": "local hello"},
+        2: {"gpt-4": "hosted bye", "qwen": "local bye"},
+        3: {"gpt-4": "x", "qwen": "y", "old": "z"},
+    }
+
+
+def test_stored_judge_rounds_are_not_judged_again(spark, tmp_path):
+    path = str(tmp_path / "rounds")
+    answer = "struct<content:string,finish_reason:string>"
+    df = spark.createDataFrame(
+        [(i, [("q", "user")], {"a": ("x", "stop"), "b": ("y", "stop")}) for i in range(6)],
+        f"conversation_id int, conversation array<struct<content:string,role:string>>, llm_responses map<string,{answer}>",
+    )
+
+    def first(row):
+        return {"content": "first", "finish_reason": "stop"}
+
+    def second(row):
+        return {"content": "second", "finish_reason": "stop"}
+
+    preference.judge_answers(df, first, "judge", rounds=2, path=path).collect()
+    got = preference.judge_answers(df, second, "judge", rounds=3, path=path).collect()
+    assert len(got) == 6
+    assert all([e.eval_response for e in r.model_evals] == ["first", "first", "second"] for r in got)
