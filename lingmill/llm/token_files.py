@@ -31,10 +31,10 @@ from lingmill.session import settle
 # Ids of one block, unless one document has more.
 BLOCK_IDS = 1 << 18
 # Distinct words remembered by a task, and scan partitions that share one memo.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 300_000
 PARTS_PER_MEMO = 8
 # Text bytes whose distinct words are looked up together; words sent to the library at once.
-TEXT_BYTES = 1 << 24
+TEXT_BYTES = 1 << 23
 TEXT_ROWS = 1 << 14
 WORDS_AT_ONCE = 256
 
@@ -134,8 +134,11 @@ class WordCodes:
             for word, end in zip(group, (ends[last - 1] * int(self.kind[-1])).tolist()):
                 known[word] = joined[begin:end]
                 begin = end
-        for word, found in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-            known[word] = self.packed(found.ids)
+        # The library's results are many times as large as the words.
+        for start in range(0, len(whole), WORDS_AT_ONCE):
+            group = whole[start : start + WORDS_AT_ONCE]
+            for word, found in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False)):
+                known[word] = self.packed(found.ids)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as little-endian integers of ``kind``; null is empty."""
