@@ -28,7 +28,8 @@ LAST_BEAM = 256
 AUDIT_QUERIES = 512
 AUDIT_RECALL = 0.98
 QUERIES_AT_ONCE = 256
-EXACT_ROWS = 1_024
+# Cosines that a task holds at a time.
+EXACT_CELLS = 1 << 22
 
 
 def usable(vector: str) -> F.Column:
@@ -45,23 +46,26 @@ def unit_rows(column: pa.ChunkedArray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def exact_pairs(graph: hnsw.Graph, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of all links, by comparing with the whole shard in blocks."""
-    left, right = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
-    for at in range(0, len(queries), EXACT_ROWS):
-        a, b = np.nonzero(queries[at : at + EXACT_ROWS] @ graph.vectors.T >= threshold)
-        left.append(a + at)
-        right.append(b)
-    return np.concatenate(left), np.concatenate(right)
+def link_rows(
+    graph: hnsw.Graph, queries: np.ndarray, threshold: float
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(first query, links with every vector of the shard as booleans) in blocks of bounded size."""
+    step = max(1, EXACT_CELLS // max(1, graph.size))
+    for at in range(0, len(queries), step):
+        yield at, queries[at : at + step] @ graph.vectors.T >= threshold
 
 
 def beam_pairs(
     graph: hnsw.Graph, queries: np.ndarray, threshold: float, beam: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of the links that a beam finds. A query whose whole beam is links may
-    have more than a beam holds, and is compared with the whole shard."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, node) of the links that a beam finds, and the queries that need more.
+
+    A query with more than half a beam of links may have more than a beam holds, and has
+    none of them here: it is to be compared with the whole shard.
+    """
     beam = min(beam, graph.size)
-    left, right, full = [], [], []
+    none = np.empty(0, dtype=np.int64)
+    left, right, full = [none], [none], [none]
     for at in range(0, len(queries), QUERIES_AT_ONCE):
         rows = queries[at : at + QUERIES_AT_ONCE]
         found, sims = graph.search(rows, beam)
@@ -74,23 +78,73 @@ def beam_pairs(
         real = np.einsum("nd,nd->n", rows[a], graph.vectors[node]) >= threshold
         left.append(at + a[real])
         right.append(node[real])
-    rest = np.concatenate([*full, np.empty(0, dtype=np.int64)])
-    a, b = exact_pairs(graph, queries[rest], threshold)
-    return np.concatenate([*left, rest[a]]), np.concatenate([*right, b])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(full)
 
 
-def found_pairs(graph: hnsw.Graph, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The links of ``queries`` in a shard, with the first beam that an audit accepts."""
+def found_pairs(
+    graph: hnsw.Graph, queries: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``beam_pairs`` of the first beam that an audit accepts; without one, every query
+    needs the whole shard."""
     sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT_QUERIES, len(queries))).astype(np.int64))
-    a, b = exact_pairs(graph, queries[sample], threshold)
-    truth = a * graph.size + b
+    true = np.concatenate([near.sum(axis=1) for _, near in link_rows(graph, queries[sample], threshold)])
     beam = FIRST_BEAM
     while beam <= LAST_BEAM:
-        x, y = beam_pairs(graph, queries[sample], threshold, beam)
-        if np.isin(truth, x * graph.size + y).sum() >= AUDIT_RECALL * len(truth):
+        a, b, full = beam_pairs(graph, queries[sample], threshold, beam)
+        if len(np.unique(a * graph.size + b)) + true[full].sum() >= AUDIT_RECALL * true.sum():
             return beam_pairs(graph, queries, threshold, beam)
         beam *= 2
-    return exact_pairs(graph, queries, threshold)
+    none = np.empty(0, dtype=np.int64)
+    return none, none, np.arange(len(queries))
+
+
+class Tally:
+    """Links among the nodes of a task, held as a count per node and trees that connect them.
+
+    A dense node has had its whole row compared, so a group of any number of near copies
+    takes a block of rows at a time; its pairs are never held.
+    """
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights.astype(np.float64)
+        self.links = np.zeros(len(weights))
+        self.dense = np.zeros(len(weights), dtype=bool)
+        self.parent = np.arange(len(weights))
+        none = np.empty(0, dtype=np.int64)
+        self.ends: tuple[list[np.ndarray], list[np.ndarray]] = ([none], [none])
+
+    def add_pairs(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Pairs in any order, repeats included; those with a dense end are in its row."""
+        apart = (a != b) & ~self.dense[a] & ~self.dense[b]
+        size = len(self.links)
+        pairs = np.unique(np.minimum(a, b)[apart] * size + np.maximum(a, b)[apart])
+        a, b = pairs // max(1, size), pairs % max(1, size)
+        self.links += np.bincount(a, self.weights[b], size) + np.bincount(b, self.weights[a], size)
+        self.ends[0].append(a)
+        self.ends[1].append(b)
+
+    def add_rows(self, rows: np.ndarray, others: np.ndarray, near: np.ndarray) -> None:
+        """Dense nodes with all their links among ``others``."""
+        near &= rows[:, None] != others
+        counted = near.astype(np.float64)
+        self.links[rows] += counted @ self.weights[others]
+        # A dense node counts its links in its own row.
+        self.links[others] += np.where(self.dense[others], 0, self.weights[rows] @ counted)
+        for row, linked in zip(rows, near):
+            ends = others[linked]
+            if len(ends):
+                self.join(np.append(ends, row))
+        self.parent = self.parent[self.parent]
+
+    def join(self, nodes: np.ndarray) -> None:
+        top = self.parent[nodes]
+        while ((above := self.parent[top]) != top).any():
+            top = above
+        low = top.min()
+        rest = np.unique(top[top != low])
+        self.parent[rest] = low
+        self.ends[0].append(np.full(len(rest), low))
+        self.ends[1].append(rest)
 
 
 def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,23 +165,28 @@ def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def matched(first: hnsw.Graph, second: hnsw.Graph | None, threshold: float) -> pa.RecordBatch:
     """(node, links, root) over one or two shards; one row per node that has a link."""
-    if second is None:
-        a, b = found_pairs(first, first.vectors, threshold)
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(low[low != high] * first.size + high[low != high])
-        a, b = pairs // first.size, pairs % first.size
-        other = first
-    else:
-        other = second
-        b1, a1 = found_pairs(first, second.vectors, threshold)
-        a2, b2 = found_pairs(second, first.vectors, threshold)
-        pairs = np.unique(np.concatenate([a1 * second.size + b1, a2 * second.size + b2]))
-        a, b = pairs // second.size, pairs % second.size
-    ends = np.concatenate([first.ids[a], other.ids[b]])
-    gained = np.concatenate([other.weights[b], first.weights[a]])
-    nodes, root = roots(first.ids[a], other.ids[b])
-    links = np.bincount(np.searchsorted(nodes, ends), weights=gained, minlength=len(nodes)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(links), pa.array(root)], ["node", "links", "root"])
+    graphs = [first] if second is None else [first, second]
+    tally = Tally(np.concatenate([graph.weights for graph in graphs]))
+    numbers = [np.arange(first.size)]
+    if second is not None:
+        numbers.append(first.size + np.arange(second.size))
+    pairs, rows = [], []
+    for asked in {0, len(graphs) - 1}:
+        other = len(graphs) - 1 - asked
+        a, b, rest = found_pairs(graphs[other], graphs[asked].vectors, threshold)
+        pairs.append((numbers[asked][a], numbers[other][b]))
+        rows.append((asked, other, rest))
+        tally.dense[numbers[asked][rest]] = True
+    tally.add_pairs(*(np.concatenate(ends) for ends in zip(*pairs)))
+    for asked, other, rest in rows:
+        for at, near in link_rows(graphs[other], graphs[asked].vectors[rest], threshold):
+            tally.add_rows(numbers[asked][rest[at : at + len(near)]], numbers[other], near)
+    ids = np.concatenate([graph.ids for graph in graphs])
+    nodes, root = roots(*(np.concatenate(ends) for ends in tally.ends))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids[nodes]), pa.array(tally.links[nodes].astype(np.int64)), pa.array(ids[root])],
+        ["node", "links", "root"],
+    )
 
 
 def near_duplicates(
@@ -147,7 +206,8 @@ def near_duplicates(
     empty table gives an empty one.
 
     A task holds the graphs of two shards of at most ``SHARD_VECTORS``, and hands on a row
-    for each linked node, never pairs.
+    for each linked node, never pairs. It holds at most half a beam of links for a node;
+    denser ones are counted and connected from blocks of whole rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(

@@ -352,6 +352,32 @@ def test_near_vectors_equal_brute_force(spark):
     assert near_vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("two_shards", [False, True])
+def test_a_dense_group_is_counted_in_blocks(two_shards, monkeypatch):
+    monkeypatch.setattr(near_vectors, "EXACT_CELLS", 3000)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=24)
+    vectors = np.concatenate([centre + rng.normal(size=(400, 24)) * 0.2, rng.normal(size=(300, 24)), [centre, -centre]])
+    vectors = rng.permutation(vectors)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    weights = rng.integers(1, 4, len(vectors))
+    ids = 10 + np.arange(len(vectors))
+    cut = 300 if two_shards else len(vectors)
+    halves = [hnsw.Graph.load(hnsw.build(ids[p], weights[p], vectors[p]).dump()) for p in (slice(0, cut), slice(cut, None)) if len(ids[p])]
+    true = vectors @ vectors.T >= 0.9
+    if two_shards:
+        true[:cut, :cut] = true[cut:, cut:] = False
+    np.fill_diagonal(true, False)
+    got = near_vectors.matched(halves[0], halves[1] if two_shards else None, 0.9).to_pandas().set_index("node")
+    want = (true * weights).sum(axis=1)
+    assert (want > 128).sum() > 300
+    assert got["links"].reindex(ids, fill_value=0).tolist() == want.tolist()
+    label = brute_components(range(len(ids)), list(zip(*np.nonzero(true))))
+    root = {n: got.loc[10 + n, "root"] for n in label if want[n]}
+    assert len(set(root.values())) == len({label[n] for n in root})
+    assert all(root[a] == root[b] for a, b in zip(*np.nonzero(true)))
+
+
 def test_graph_recall():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 24))
