@@ -252,8 +252,10 @@ def compared(order: np.ndarray, tie: np.ndarray, place: np.ndarray, high: np.nda
     heads = np.flatnonzero(change)
     packed = [x.astype("<i4").tobytes() for x in np.split(place[b], heads[1:])] if len(b) else []
     h = b[heads]
+    # Packed places are ranked with nothing; copies of one text must not meet in one task.
+    spread = mixed(order[h].view(np.uint64) ^ tie[h].view(np.uint64)).view(np.int64)
     zero = np.zeros(len(h), dtype=np.int64)
-    columns = [np.concatenate([x[a], y]) for x, y in ((order, order[h]), (tie, tie[h]), (high, tie[h]))]
+    columns = [np.concatenate([x[a], y]) for x, y in ((order, order[h]), (tie, tie[h]), (high, spread))]
     short = [np.concatenate([x[a], zero]).astype(np.int32) for x in (low, place)]
     return pa.RecordBatch.from_arrays(
         [*(pa.array(c) for c in columns), *(pa.array(c) for c in short), pa.array([None] * len(a) + packed, pa.binary())],
