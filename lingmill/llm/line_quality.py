@@ -227,7 +227,8 @@ def learn(
     """Fit on at most ``rows`` labelled documents that are not held out, drawn by hash.
 
     Line features are computed where the texts are; only they reach the driver. Rows
-    without a label or key are not learned from.
+    without a label or key are not learned from; of rows that share a key, however many,
+    the least text is.
     """
     drawn = settle(
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
@@ -235,7 +236,8 @@ def learn(
         .orderBy(F.xxhash64(key, F.lit("fit")), key).limit(rows),
         "fit-rows",
     )
-    chosen = docs.select(key, docs[text].alias("__text")).join(drawn, key).select("__text", "__label")
+    texts = docs.select(key, docs[text].alias("__text")).join(drawn, key)
+    chosen = texts.groupBy(key, "__label").agg(F.min("__text").alias("__text")).select("__text", "__label")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):

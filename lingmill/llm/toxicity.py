@@ -132,7 +132,8 @@ def learn(
     """Fit on at most ``rows`` labelled documents of either label, drawn by hash.
 
     The chain is the categories, then ``other``, then the label itself. Rows without a
-    key or label are not learned from; without rows every probability is one half.
+    key or label are not learned from; of rows that share a key, however many, the least
+    text is. Without rows every probability is one half.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
         key, F.col(label).cast("int").alias("__label")
@@ -144,7 +145,7 @@ def learn(
     drawn = settle(draws[0].union(draws[1]), "fit-rows")
     chosen = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(
         drawn, F.col("__key") == F.col(key)
-    ).select("__key", "__text", "__label")
+    ).groupBy("__key", "__label").agg(F.min("__text").alias("__text"))
     words = {name: frozenset(members) for name, members in categories.items()}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
