@@ -72,10 +72,12 @@ class Items:
         self.owner = self.offset = self.seeds
 
     def keys(self, numbers: np.ndarray, width: int) -> np.ndarray:
-        """One integer per window of ``width`` words."""
-        base = len(self.number) + 1
-        if base**SEED_WORDS >= 1 << 63:
-            raise ValueError("too many different words in one pass; lower the number of items")
+        """One integer per window of ``width`` words.
+
+        Beyond two million words integers wrap, and different windows may be equal: the
+        alignment that follows a seed settles that.
+        """
+        base = np.int64(len(self.number) + 1)
         count = max(len(numbers) - width + 1, 0)
         key = np.zeros(count, dtype=np.int64)
         for k in range(width):

@@ -295,6 +295,34 @@ def test_toxic_documents_are_caught(spark, odd_docs, no_docs):
     assert toxicity.with_toxicity(docs.limit(2), untrained).toPandas()["p_toxic"].tolist() == [0.5, 0.5]
 
 
+def test_a_key_of_many_rows_is_learned_from_once(spark):
+    rows = [(i, prose(i, 12) + (" idiot." if i % 2 else ".")) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    many = docs.union(docs.where("doc_id = 3").crossJoin(spark.range(500)).select("doc_id", F.lit("zzz").alias("text")))
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    one, other = (toxicity.learn(d, labels) for d in (docs, many))
+    assert one.features.tolist() == other.features.tolist()
+    one, other = (line_quality.learn(d, labels) for d in (docs, many))
+    assert np.array_equal(one.weights, other.weights)
+
+
+def test_seed_keys_of_a_vocabulary_beyond_two_million_words():
+    items = decontamination.Items([1, 2], ["alpha beta gamma delta", "delta beta alpha gamma"])
+    items.number |= {str(n): n for n in range(5, 3_000_000)}
+    items.choose_seeds(np.ones(len(items.number) + 1))
+    owner, at = decontamination.seed_hits(items, items.items[1])
+    assert (1, 0) in set(zip(owner.tolist(), at.tolist()))
+
+
+def test_copies_of_one_text_are_dealt_apart():
+    copies = np.arange(1000)
+    order, tie = np.repeat(copies, 2), np.full(2000, 7)
+    place = np.tile(np.arange(2), 1000)
+    out = repeats.compared(order, tie, place, place.astype(np.int64), place.astype(np.int64)).to_pandas()
+    packed = out[out["later"].notna()]
+    assert len(packed) == 999 and packed["high"].nunique() == 999
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     evidence, couple = rng.normal(size=5), rng.normal(size=(2, 2))
