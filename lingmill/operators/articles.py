@@ -43,7 +43,10 @@ def title_clusters(
     seed: int = 0,
 ) -> DataFrame:
     """``language, title, label, url`` of all long articles, every language at once."""
-    heads = first_chunks(chunks, "_id", [language]).select("_id", "title", "url", language, vector)
+    # Stored once: the fit and the labels read it several times, the chunks are far larger.
+    heads = settle(
+        first_chunks(chunks, "_id", [language]).select("_id", "title", "url", language, vector), "article-heads"
+    )
     centroids = clusters.fit_clusters(heads, "_id", language, vector, k, batches, seed)
     return clusters.label_rows(heads, centroids, "_id", language, vector).select(
         language, "title", "label", "url"
@@ -95,9 +98,11 @@ def generation_inputs(
     ``names`` maps ``language_code`` to ``language_name``. Codes it lacks come
     out with a null name, for the caller to set aside.
     """
+    # Written first: with its true size a small table is broadcast, and articles stay in place.
+    names = settle(names.select("language_code", "language_name"), "language-names")
     typed = (
         articles.where(~F.col("language_code").isin(fixed.EXCLUDED_LANGUAGE_CODES))
-        .join(names.select("language_code", "language_name"), "language_code", "left")
+        .join(names, "language_code", "left")
         .withColumn("prompt_type", sampling.draw_prompt_type(key, seed))
     )
     return typed.withColumn(
