@@ -21,6 +21,7 @@ from lingmill.llm import (
     decontamination,
     hnsw,
     line_quality,
+    near_texts,
     near_vectors,
     repeats,
     sharding,
@@ -436,6 +437,37 @@ def test_one_of_each_group_of_copies_stays(spark, odd_docs):
     assert corpus_pipeline.keep_one_of_near_copies(spark, empty, "").count() == 0
 
 
+def brute_jaccard(a, b):
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+
+@pytest.mark.parametrize("block, group", [(256, 4096), (4, 4096), (4, 8)])
+def test_edited_copies_are_one_group(spark, monkeypatch, block, group):
+    monkeypatch.setattr(near_texts, "BLOCK", block)
+    monkeypatch.setattr(near_texts, "GROUP_TEXTS", group)
+    rng = np.random.default_rng(8)
+    texts = []
+    for base in range(4):
+        words = prose(base, 120).split()
+        for edits in (0, 0, 1, 2, 2, 3, 4, 5, 8, 30):
+            one = list(words)
+            for at in rng.choice(120, edits, replace=False):
+                one[at] = f"edit{rng.integers(1000)}"
+            texts.append(" ".join(one))
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in enumerate(texts)], DOC)
+    pairs = [(a, b) for a in range(40) for b in range(a) if brute_jaccard(texts[a], texts[b]) >= 0.8]
+    wanted = brute_components(range(40), pairs)
+    assert len(set(wanted.values())) < 30
+    found = {r["doc_id"]: r["group"] for r in near_texts.near_copies(docs, keep=("doc_id",)).collect()}
+    assert all((found[a] == found[b]) == (wanted[a] == wanted[b]) for a in range(40) for b in range(40))
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == set(wanted.values())
+
+
 def test_digests_match_the_contract(spark):
     from lingmill.llm import queries
 
