@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -171,8 +171,9 @@ def contaminated(
     item: str = "item_id",
     item_text: str = "text",
     threshold: float = THRESHOLD,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, item, score, start, end) of every passage that aligns with a test item.
+    """(key, item, score, start, end, kept columns) of every passage that aligns with a test item.
 
     The score is that of the best local alignment over the number of the item's words: 1 for
     a copy, 1/2 and more counts. ``start`` and ``end`` are word numbers in the whole
@@ -187,6 +188,7 @@ def contaminated(
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField(item, benchmark.schema[item].dataType),
         T.StructField("score", T.DoubleType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+        *(docs.schema[c] for c in keep),
     ])
     passes = max(1, -(-named.count() // ITEMS_AT_ONCE))
     dealt = named.withColumn("__pass", F.pmod(F.xxhash64("__item", "__text"), F.lit(passes)))
@@ -195,14 +197,14 @@ def contaminated(
         rows = dealt.where(F.col("__pass") == number).toPandas().sort_values(["__item", "__text"], kind="stable")
         items = Items(rows["__item"].tolist(), rows["__text"].tolist())
         items.choose_seeds(count_words(docs, items, text))
-        found.append(_aligned(docs, items, key, text, schema, threshold))
+        found.append(_aligned(docs, items, key, text, schema, threshold, keep))
     return reduce(DataFrame.union, found)
 
 
 def _aligned(
-    docs: DataFrame, items: Items, key: str, text: str, schema: T.StructType, threshold: float
+    docs: DataFrame, items: Items, key: str, text: str, schema: T.StructType, threshold: float, keep: Sequence[str]
 ) -> DataFrame:
-    source = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    source = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), *keep)
     item_type = to_arrow_type(schema.fields[1].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,10 +235,12 @@ def _aligned(
                     scores.append(score)
                     starts.append(a)
                     ends.append(b)
+            places = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("__key").take(pa.array(rows, pa.int64())), pa.array(ids, item_type),
+                    batch.column("__key").take(places), pa.array(ids, item_type),
                     pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()),
+                    *(batch.column(c).take(places) for c in keep),
                 ],
                 schema.names,
             )

@@ -468,6 +468,16 @@ def test_edited_copies_are_one_group(spark, monkeypatch, block, group):
     assert {r["doc_id"] for r in kept.collect()} == set(wanted.values())
 
 
+def test_contaminated_rows_go_by_id_and_text(spark, tmp_path):
+    leak = prose(70, 30)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"{prose(71, 20)} {leak}"), (None, prose(72, 40)), (1, leak), (1, prose(73, 40)), (2, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", None) for d, t in rows], DOC)
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter([rows[1], rows[3], *rows[4:]])
+
+
 def test_digests_match_the_contract(spark):
     from lingmill.llm import queries
 
