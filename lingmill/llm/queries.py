@@ -11,6 +11,7 @@ from lingmill.llm import (
     decontamination,
     line_quality,
     near_vectors,
+    prefix_trie,
     repeats,
     sharding,
     simhash,
@@ -18,6 +19,7 @@ from lingmill.llm import (
     token_files,
     toxicity,
 )
+from lingmill.llm.oracles import ORACLES  # noqa: F401  (read by the entry)
 from lingmill.session import new_table_path
 from suite.registry import table
 
@@ -104,6 +106,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -117,7 +123,6 @@ QUERIES = {
         op8_token_counts,
         op9_simhash,
         op10_line_quality,
+        op13_prefix_trie,
     )
 }
-
-ORACLES: dict[str, str] = {}
