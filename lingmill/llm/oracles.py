@@ -41,3 +41,33 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
   s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM nodes n JOIN sums s ON s.top = n.node LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node
 """
+
+ORACLES["op12_dual_tree_search"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+counted AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM split GROUP BY row, term),
+sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY row),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+lengths AS (SELECT row, 100 - 50 + ((50 * n * docs) // terms) AS m FROM sizes, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT a.item_id, a.text, c.row, any_value(c.doc_id) AS doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON c.term = a.term JOIN weights w ON w.term = a.term JOIN lengths l ON l.row = c.row
+  GROUP BY a.item_id, a.text, c.row),
+ranked AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

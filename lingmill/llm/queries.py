@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lingmill.llm import (
     byte_bpe,
     decontamination,
+    lexical_search,
     line_quality,
     near_vectors,
     prefix_trie,
@@ -106,6 +107,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
 
@@ -123,6 +128,7 @@ QUERIES = {
         op8_token_counts,
         op9_simhash,
         op10_line_quality,
+        op12_dual_tree_search,
         op13_prefix_trie,
     )
 }
