@@ -12,6 +12,7 @@ from lingmill.llm import (
     lexical_search,
     line_quality,
     near_vectors,
+    pii,
     prefix_trie,
     repeats,
     sharding,
@@ -107,6 +108,10 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -128,6 +133,7 @@ QUERIES = {
         op8_token_counts,
         op9_simhash,
         op10_line_quality,
+        op11_contextual_pii,
         op12_dual_tree_search,
         op13_prefix_trie,
     )
