@@ -146,7 +146,8 @@ def burst(seqs: DataFrame, container: int) -> tuple[DataFrame, list[DataFrame]]:
     container, and per round the burst containers: ``head``, ``level`` (turns of the head),
     ``fork`` (turns to where they part), ``parent`` head, ``words`` and the sequence that
     ends at the fork, if any. The root's head is the empty text."""
-    live = seqs.withColumns({"head": F.lit(""), "parent": F.lit(None).cast("string")})
+    # Stored, so that the first head is a column to join on and no constant.
+    live = settle(seqs.withColumns({"head": F.lit(""), "parent": F.lit(None).cast("string")}), "distinct")
     done, bursts = [], []
     while True:
         sizes = live.groupBy("head").agg(
@@ -279,7 +280,7 @@ def trie_of(convs: DataFrame, container: int = CONTAINER) -> DataFrame:
     n_leaves; saved_tokens; ends_sha256, the digest of the ids of those that end there.
     Without conversations there is no node.
     """
-    contained, bursts = burst(settle(sequences(convs), "distinct"), container)
+    contained, bursts = burst(sequences(convs), container)
     parents = contained.groupBy("head").agg(F.first("parent").alias("parent"))
     lower = settle(sweep(contained), "nodes")
     nodes = [lower]
