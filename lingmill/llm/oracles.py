@@ -71,3 +71,24 @@ ranked AS (
   FROM scored WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+ORACLES["op3_repeats"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+windows AS (
+  SELECT row, doc_id, pos, sha256(array_to_string(words[pos:pos + 19], ' ')) AS passage
+  FROM (SELECT row, doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM docs)),
+earliest AS (
+  SELECT passage, min({'none': doc_id IS NULL, 'doc_id': doc_id, 'pos': pos}) AS first FROM windows GROUP BY passage),
+gone AS (
+  SELECT DISTINCT row, unnest(range(pos, pos + 20)) AS place
+  FROM windows JOIN earliest USING (passage) WHERE {'none': doc_id IS NULL, 'doc_id': doc_id, 'pos': pos} > first),
+places AS (SELECT row, count(*) AS n FROM gone GROUP BY row),
+every AS (SELECT row, words[place] AS word, place FROM (SELECT row, words, unnest(range(1, len(words) + 1)) AS place FROM docs)),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY place) AS text FROM every ANTI JOIN gone USING (row, place) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN places USING (row) LEFT JOIN kept USING (row)
+"""

@@ -1,46 +1,45 @@
 """Removal of repeated passages, located with sharded Aho-Corasick automata.
 
 1. Every window of words is represented by the phrase inside it whose hash is least, so
-   equal windows have equal phrases. Phrases are gathered over the whole corpus, by their
-   exact words; those that occur again, other than in whole copies, are confirmed. Later
-   copies of a whole text of a window or more go as they are.
-2. Confirmed phrases are dealt into shards of bounded size, and each shard is compiled
-   into one automaton.
-3. All documents stream past every automaton. Stretches where a representative's hash is
-   that of a confirmed phrase run through it, which locates the phrases themselves.
-   Windows around a located phrase are compared, and all but the first of equal ones go.
+   equal windows have equal phrases. All documents are read once for the places of their
+   representatives; hashes met at two places, other than in copies of one whole text, recur.
+2. Places of recurring hashes go back to their texts. The phrases there are the confirmed ones;
+   they are sharded with the texts that hold them: a task compiles those of a bounded
+   slice of texts into one automaton.
+3. The slice's texts stream through it, which locates every occurrence by its words. The
+   windows whose representative is located are compared by 128 bits of BLAKE2, and all but
+   the first of equal ones go. Later copies of a whole text of a window or more go as they are.
+
+A hash only says where to look: texts that merely share one cost a comparison.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset
-import pyarrow.fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lingmill.llm.common import slices, texts_of
-from lingmill.session import new_table_path, settle
+from lingmill.llm.common import settle_compressed, slices, texts_of
+from lingmill.session import settle
 
 WINDOW = 20
 PHRASE = 6
-# Phrases of one automaton; bounds a task's memory.
-SHARD_PHRASES = 150_000
-HASHED_PHRASES = 10_000
+# Text bytes whose phrases make one automaton; bounds a task's memory.
+SHARD_BYTES = 1 << 22
 # Windows a task compares among themselves before it hands them on.
 BUFFER_WINDOWS = 300_000
 # Text bytes of which words are hashed together.
 HASH_BYTES = 1 << 20
-# Scan partitions that share one build of an automaton.
-PARTS_PER_BUILD = 8
+# Bits of each distance in a packed place; distances are at most WINDOW - PHRASE.
+BITS = 4
 
 SPACES = b" \t\n\x0b\x0c\r"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -53,48 +52,40 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def byte_values(seed: int) -> np.ndarray:
-    values = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    values[np.frombuffer(SPACES, np.uint8)] = 0
-    return values
+BYTE_VALUES = np.random.default_rng(0).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE_VALUES[np.frombuffer(SPACES, np.uint8)] = 0
 
 
 @dataclass
 class Words:
-    """The words of several texts: byte spans, the text each is in, and two hashes."""
+    """The words of several texts: byte spans, the text each is in, and a hash."""
 
-    data: bytes
     starts: np.ndarray
     ends: np.ndarray
     owner: np.ndarray
     firsts: np.ndarray  # number of the first word of each text
-    hashes: list[np.ndarray]
+    hashes: np.ndarray
 
 
-def read_words(texts: list[str], streams: int = 1) -> Words:
-    encoded = [text.encode() for text in texts]
-    data = b"\n".join([*encoded, b""])
-    raw = np.frombuffer(data, np.uint8)
+def read_words(texts: list[bytes]) -> Words:
+    raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     is_space = np.zeros(256, dtype=np.int8)
     is_space[np.frombuffer(SPACES, np.uint8)] = 1
     edge = np.diff(np.concatenate([[1], is_space[raw], [1]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    text_starts = np.cumsum([0] + [len(e) + 1 for e in encoded])
+    text_starts = np.cumsum([0] + [len(text) + 1 for text in texts])
     firsts = np.searchsorted(starts, text_starts)
     owner = np.repeat(np.arange(len(texts)), np.diff(firsts))
-    hashes = []
+    hashes = np.empty(0, dtype=np.uint64)
     if len(starts):
         spans = np.diff(np.concatenate([starts, [len(raw)]]))
         place = np.arange(starts[0], len(raw)) - np.repeat(starts, spans)
         powers = np.ones(int(spans.max()), dtype=np.uint64)
         powers[1:] = FACTOR
         powers = np.multiply.accumulate(powers)
-        for seed in range(streams):
-            values = byte_values(seed)[raw[starts[0] :]] * powers[place]
-            hashes.append(mixed(np.add.reduceat(values, starts - starts[0])))
-    else:
-        hashes = [np.empty(0, dtype=np.uint64)] * streams
-    return Words(data, starts, ends, owner, firsts, hashes)
+        values = BYTE_VALUES[raw[starts[0] :]] * powers[place]
+        hashes = mixed(np.add.reduceat(values, starts - starts[0]))
+    return Words(starts, ends, owner, firsts, hashes)
 
 
 def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -109,7 +100,7 @@ def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
 def representatives(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(windows, phrases): numbers of the first words of every window within one text, and
     of its representative, the phrase of least hash (the first of equals)."""
-    grams = rolled(words.hashes[0], PHRASE)
+    grams = rolled(words.hashes, PHRASE)
     count = max(len(words.starts) - WINDOW + 1, 0)
     best = grams[:count].copy()
     chosen = np.arange(count)
@@ -121,54 +112,84 @@ def representatives(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return inside, chosen[inside]
 
 
-def confirmed_phrases(source: DataFrame) -> DataFrame:
-    """(phrase binary): representatives, words joined by one space, that occur in different
-    texts or again in one text. What only whole copies share is not among them.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text="__text", size=HASH_BYTES):
-            words = read_words(texts_of(batch.column("__text")))
-            _, phrases = representatives(words)
-            chosen = np.unique(phrases)
-            owner = words.owner[chosen]
-            hashes = rolled(words.hashes[0], PHRASE)[chosen]
-            order = np.lexsort((hashes, owner))
-            same = (hashes[order][1:] == hashes[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-            again = np.zeros(len(chosen), dtype=bool)
-            again[order[1:][same]] = True
-            spans = zip(words.starts[chosen].tolist(), words.ends[chosen + PHRASE - 1].tolist())
-            found = [b" ".join(words.data[s:e].split()) for s, e in spans]
-            tie = batch.column("__tie").to_numpy()[owner]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.binary()), pa.array(tie), pa.array(again)], ["phrase", "tie", "again"]
-            )
+def pieces(data: bytes) -> Iterator[bytes]:
+    """Parts of about ``HASH_BYTES`` that end where a word does."""
+    start = 0
+    while start < len(data):
+        end = start + HASH_BYTES
+        while end < len(data) and data[end] not in SPACES:
+            end += 1
+        yield data[start:end]
+        start = end
+
+
+def stretches(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """(number of the first word, bytes) of runs of words of bounded size. Neighbours share all
+    but one word of a window, so that each window lies in exactly one of them."""
+    if len(data) <= HASH_BYTES:
+        yield 0, data
+        return
+    number, shared = 0, []
+    for piece in pieces(data):
+        words = shared + piece.split()
+        yield number, b" ".join(words)
+        shared = words[-(WINDOW - 1) :]
+        number += len(words) - len(shared)
+
+
+def identity(text: Column) -> dict[str, Column]:
+    """Two halves of 128 bits of a text's SHA-256, by which equal texts are known."""
+    digest = F.sha2(text, 256)
+    return {
+        f"t{half + 1}": F.conv(F.substring(digest, 16 * half + 1, 16), 16, -10).cast("long") for half in range(2)
+    }
 
-    found = source.select("__text", "__tie").mapInArrow(run, "phrase binary, tie long, again boolean")
-    met = found.groupBy("phrase").agg(
-        F.min("tie").alias("one"), F.max("tie").alias("other"), F.bool_or("again").alias("again")
-    )
-    return met.where("again or one <> other").select("phrase")
 
+def representative_places(source: DataFrame) -> DataFrame:
+    """(hash, t1, t2, place) of every representative: the hash, its text, and its place, which packs
+    the number of its first word, the distance from the first window that it represents,
+    and how many further windows it represents."""
 
-def later_copies(source: DataFrame) -> DataFrame:
-    """(order, tie) of the rows whose whole text also stands in a row of smaller order."""
-    ids = source.select("__order", "__tie", F.xxhash64(F.lit(1), F.col("__text")).alias("check"))
-    firsts = ids.groupBy("__tie", "check").agg(F.min("__order").alias("first"), F.max("__order").alias("last"))
-    copied = settle(firsts.where("first < last").drop("last"), "copied-texts")
-    later = ids.join(copied, ["__tie", "check"]).where(F.col("__order") > F.col("first"))
-    return later.select(F.col("__order").alias("order"), F.col("__tie").alias("tie"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text="text", size=HASH_BYTES):
+            texts = [text.encode() for text in texts_of(batch.column("text"))]
+            parts = [(row, number, part) for row, text in enumerate(texts) for number, part in stretches(text)]
+            # All short texts together, a long one stretch by stretch.
+            together = [parts] if sum(len(part) for _, _, part in parts) <= 2 * HASH_BYTES else [[one] for one in parts]
+            for some in together:
+                rows, numbers, held = zip(*some)
+                words = read_words(list(held))
+                inside, phrases = representatives(words)
+                fresh = np.ones(len(inside), dtype=bool)
+                # Windows of one representative are neighbours.
+                fresh[1:] = phrases[1:] != phrases[:-1]
+                heads = np.flatnonzero(fresh)
+                tails = np.append(heads[1:], len(inside))[: len(heads)] - 1
+                at, first, last = phrases[heads], inside[heads], inside[tails]
+                owner = words.owner[at]
+                number = at - words.firsts[owner] + np.array(numbers, dtype=np.int64)[owner]
+                place = (number << 2 * BITS) | (at - first << BITS) | (last - first)
+                row = pa.array(np.array(rows, dtype=np.int64)[owner])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(rolled(words.hashes, PHRASE)[at].view(np.int64)), batch.column("t1").take(row),
+                        batch.column("t2").take(row), pa.array(place),
+                    ],
+                    ["hash", "t1", "t2", "place"],
+                )
+
+    return source.select("text", "t1", "t2").mapInArrow(run, "hash long, t1 long, t2 long, place long")
 
 
 class Automaton:
-    """One shard's phrases, each word spelled with a fixed number of letters.
+    """The phrases of one shard, each word spelled with a fixed number of letters.
 
     A letter is one of 64, so that a state has few ways on; words of no phrase are spelled
     with a letter that no phrase has.
     """
 
-    def __init__(self, phrases: list[bytes]):
-        words = sorted({w for phrase in phrases for w in phrase.split()})
+    def __init__(self, phrases: set[tuple[bytes, ...]]):
+        words = sorted({w for phrase in phrases for w in phrase})
         self.letters = 1
         while 64**self.letters < len(words):
             self.letters += 1
@@ -179,118 +200,130 @@ class Automaton:
         self.other = chr(0xFF) * self.letters
         self.matches = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for phrase in phrases:
-            self.matches.add_word("".join(map(self.spelled.__getitem__, phrase.split())), 1)
+            self.matches.add_word("".join(map(self.spelled.__getitem__, phrase)), 1)
         self.matches.make_automaton()
-        hashes = []
-        for at in range(0, len(phrases), HASHED_PHRASES):
-            held = read_words([phrase.decode() for phrase in phrases[at : at + HASHED_PHRASES]])
-            hashes.append(rolled(held.hashes[0], PHRASE)[held.firsts[:-1]])
-        self.hashes = np.unique(np.concatenate(hashes))
-
-    def screened(self, words: Words, phrases: np.ndarray) -> np.ndarray:
-        """Those of the word numbers at which a phrase of the shard may begin, by hash."""
-        hashes = rolled(words.hashes[0], PHRASE)[phrases]
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return phrases[self.hashes[at] == hashes]
-
-    def located(self, words: Words, phrases: np.ndarray) -> np.ndarray:
-        """Whether a phrase of the shard begins at each word, around the given ones."""
-        marked = np.zeros(len(words.starts), dtype=bool)
-        begin = np.maximum(phrases - WINDOW, words.firsts[words.owner[phrases]])
-        end = np.minimum(phrases + WINDOW, words.firsts[words.owner[phrases] + 1])
-        fresh = np.ones(len(begin), dtype=bool)
-        fresh[1:] = begin[1:] > end[:-1]
-        heads = np.flatnonzero(fresh)
-        tails = np.append(heads[1:], len(begin)) - 1
-        for a, b in zip(begin[heads].tolist(), end[tails].tolist()):
-            found = words.data[words.starts[a] : words.ends[b - 1]].split()
-            marked[[a + at for at in self.locate(found)]] = True
-        return marked
-
-    def locate(self, words: list[bytes]) -> list[int]:
-        """Numbers of the words at which a phrase begins."""
+
+    def locate(self, words: list[bytes]) -> np.ndarray:
+        """Whether a phrase begins at each word."""
         text = "".join(map(self.spelled.get, words, repeat(self.other)))
         ends = (end + 1 for end, _ in self.matches.iter(text))
-        return [end // self.letters - PHRASE for end in ends if end % self.letters == 0]
+        begun = np.zeros(len(words), dtype=bool)
+        begun[[end // self.letters - PHRASE for end in ends if end % self.letters == 0]] = True
+        return begun
 
 
-def read_shard(path: str, shard: int) -> list[bytes]:
-    """A shard's phrases from the shared folder, read where they are needed."""
-    place = f"{path}/shard={shard}"
-    if "://" in place or place.startswith("file:"):
-        filesystem, place = pyarrow.fs.FileSystem.from_uri(place)
-    else:
-        filesystem = pyarrow.fs.LocalFileSystem()
-    return pyarrow.dataset.dataset(place, filesystem=filesystem, format="parquet").to_table(["phrase"])["phrase"].to_pylist()
+def digests(words: list[bytes], windows: list[int]) -> bytes:
+    """16 bytes for each of the windows that begin at the given words."""
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    spans = zip(starts[windows].tolist(), ends[np.array(windows) + WINDOW - 1].tolist())
+    return b"".join([hashlib.blake2b(joined[s:e], digest_size=16).digest() for s, e in spans])
 
 
 WINDOW_SCHEMA = T.StructType([
-    T.StructField("order", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("high", T.LongType()),
-    T.StructField("low", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("later", T.BinaryType()),
+    *(T.StructField(c, T.LongType()) for c in ("nil", "order", "t1", "t2", "place", "high", "low")),
+    T.StructField("later", T.BinaryType()),
 ])
 
 
-def compared(order: np.ndarray, tie: np.ndarray, place: np.ndarray, high: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+def compared(rows: np.ndarray) -> pa.RecordBatch:
     """Windows as rows: the first of equal ones each, and the places of the later ones, a
-    row by document.
+    row by text. So however often a window occurs, a task exchanges it once.
 
-    So however often a window occurs, a task exchanges it once.
+    ``rows`` has the columns of ``WINDOW_SCHEMA`` but the last.
     """
-    by = np.lexsort((place, order, low, high))
-    order, tie, place, high, low = (x[by] for x in (order, tie, place, high, low))
-    fresh = np.ones(len(by), dtype=bool)
-    fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-    lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(by) else by
-    first = (order == order[lead]) & (place == place[lead])
-    a = np.flatnonzero(first)
-    # Windows of one document stay together, which the exchange's compression likes.
-    a = a[np.lexsort((place[a], tie[a], order[a]))]
-    b = np.flatnonzero(~first)
-    b = b[np.lexsort((place[b], tie[b], order[b]))]
-    change = np.ones(len(b), dtype=bool)
-    change[1:] = (order[b][1:] != order[b][:-1]) | (tie[b][1:] != tie[b][:-1])
-    heads = np.flatnonzero(change)
-    packed = [x.astype("<i4").tobytes() for x in np.split(place[b], heads[1:])] if len(b) else []
-    h = b[heads]
-    # Packed places are ranked with nothing; copies of one text must not meet in one task.
-    spread = mixed(order[h].view(np.uint64) ^ tie[h].view(np.uint64)).view(np.int64)
-    zero = np.zeros(len(h), dtype=np.int64)
-    columns = [np.concatenate([x[a], y]) for x, y in ((order, order[h]), (tie, tie[h]), (high, spread))]
-    short = [np.concatenate([x[a], zero]).astype(np.int32) for x in (low, place)]
+    nil, order, t1, t2, place, high, low = rows.T
+    rows = rows[np.lexsort((t2, t1, place, order, nil, low, high))]
+    rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
+    fresh = np.concatenate([[True], (rows[1:, 5:] != rows[:-1, 5:]).any(axis=1)])
+    lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    at = [0, 1, 4]
+    first = (rows[:, at] == rows[lead][:, at]).all(axis=1)
+    # Windows of one text stay together, which the exchange's compression likes.
+    a, b = (part[np.lexsort((part[:, 4], part[:, 3], part[:, 2]))] for part in (rows[first], rows[~first]))
+    change = np.flatnonzero(np.concatenate([[True], (b[1:, 2:4] != b[:-1, 2:4]).any(axis=1)])) if len(b) else np.empty(0, np.int64)
+    packed = [x.astype("<i8").tobytes() for x in np.split(b[:, 4], change[1:])] if len(b) else []
+    later = b[change].copy()
+    # Packed places are ranked with nothing: they are dealt out by their texts.
+    later[:, 5], later[:, 6] = later[:, 2], later[:, 3]
+    columns = np.concatenate([a, later]).T
     return pa.RecordBatch.from_arrays(
-        [*(pa.array(c) for c in columns), *(pa.array(c) for c in short), pa.array([None] * len(a) + packed, pa.binary())],
-        WINDOW_SCHEMA.names,
+        [*(pa.array(np.ascontiguousarray(c)) for c in columns), pa.array([None] * len(a) + packed, pa.binary())], WINDOW_SCHEMA.names
     )
 
 
-def located_windows(source: DataFrame, path: str, shard: int) -> DataFrame:
-    """Windows whose representative one shard's automaton locates."""
+def located_windows(texts: DataFrame) -> DataFrame:
+    """The windows whose representative the automata locate; ``texts`` has nil, order, t1, t2,
+    text and ``places``, the packed places of the text's confirmed representatives."""
+
+    def parts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """(identity, number of the first word, words, places, first windows, further windows)
+        of every stretch that holds a confirmed representative."""
+        names = zip(*(batch.column(c).to_pylist() for c in ("nil", "order", "t1", "t2")))
+        for name, text, places in zip(names, batch.column("text"), batch.column("places")):
+            packed = np.sort(places.values.to_numpy())
+            number, back, more = packed >> 2 * BITS, packed >> BITS & (1 << BITS) - 1, packed & (1 << BITS) - 1
+            for begin, part in stretches(text.as_py().encode()):
+                words = part.split()
+                first = number - back - begin
+                here = (first >= 0) & (first + more + WINDOW <= len(words))
+                if here.any():
+                    yield name, begin, words, number[here] - begin, first[here], more[here]
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        held, size = [], 0
+        for batch in slices(batches, text="text", size=SHARD_BYTES):
+            for part in parts_of(batch):
+                held.append(part)
+                size += sum(map(len, part[2]))
+                if size >= SHARD_BYTES:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(read_shard(path, shard))
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[np.ndarray] = []
         size = 0
-        for batch in slices(batches, text="__text", size=HASH_BYTES):
-            words = read_words(texts_of(batch.column("__text")), streams=2)
-            inside, phrase = representatives(words)
-            candidates = automaton.screened(words, np.unique(phrase))
-            if not len(candidates):
-                continue
-            inside = inside[automaton.located(words, candidates)[phrase]]
-            owner = words.owner[inside]
-            high, low = (rolled(h, WINDOW)[inside].view(np.int64) for h in words.hashes)
-            low = low >> 32
-            order = batch.column("__order").to_numpy()[owner]
-            tie = batch.column("__tie").to_numpy()[owner]
-            held.append((order, tie, inside - words.firsts[owner], high, low))
-            size += len(inside)
-            if size >= BUFFER_WINDOWS:
-                yield compared(*(np.concatenate(x) for x in zip(*held)))
-                held, size = [], 0
+        for shard in shards(batches):
+            automaton = Automaton({tuple(words[k : k + PHRASE]) for _, _, words, at, _, _ in shard for k in at.tolist()})
+            for name, begin, words, at, first, more in shard:
+                found = automaton.locate(words)[at]
+                windows = np.unique(np.concatenate([np.arange(f, f + m + 1) for f, m in zip(first[found].tolist(), more[found].tolist())]))
+                out = np.empty((len(windows), 7), dtype=np.int64)
+                out[:, :4] = name
+                out[:, 4] = windows + begin
+                out[:, 5:] = np.frombuffer(digests(words, windows.tolist()), "<i8").reshape(-1, 2)
+                held.append(out)
+                size += len(out)
+                if size >= BUFFER_WINDOWS:
+                    yield compared(np.concatenate(held))
+                    held, size = [], 0
         if held:
-            yield compared(*(np.concatenate(x) for x in zip(*held)))
-
-    return source.mapInArrow(run, WINDOW_SCHEMA)
+            yield compared(np.concatenate(held))
+
+    return texts.select("nil", "order", "t1", "t2", "text", "places").mapInArrow(run, WINDOW_SCHEMA)
+
+
+def cut(text: bytes, places: np.ndarray, whole: bool) -> tuple[int, int, bytes]:
+    """(words, words removed, the rest): a text without its windows at the given places."""
+    total = sum(len(piece.split()) for piece in pieces(text))
+    if whole and total >= WINDOW:
+        return total, total, b""
+    if not len(places):
+        return total, 0, b" ".join(w for piece in pieces(text) for w in piece.split())
+    ahead = np.zeros(total + 1, dtype=np.int32)
+    at = np.unique(places)
+    ahead[at] += 1
+    ahead[at + WINDOW] -= 1
+    stay = np.cumsum(ahead[:-1], dtype=np.int32) == 0
+    kept, number = [], 0
+    for piece in pieces(text):
+        words = piece.split()
+        kept += [words[k] for k in np.flatnonzero(stay[number : number + len(words)]).tolist()]
+        number += len(words)
+    return total, total - int(stay.sum()), b" ".join(kept)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,76 +332,70 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Words end at ASCII white space. A word goes if a window of 20 words covers it whose
     words also begin earlier: in a smaller key, or earlier in the same document. Windows
     are those of the input. ``kept`` is the remaining words joined by one space. Null
-    and empty texts have no words. The key is an integer; null keys count as the largest, and
-    rows that share a key as one document: windows at the same place are neither's
-    earlier one. Repeated rows give repeated results, an empty table none.
-
-    Texts are exchanged once, to join what is removed; phrases and windows, once each.
-    Every document streams through every shard of phrases, whose number follows the
-    amount of repeated text.
+    and empty texts have no words. The key is an integer; null keys come last, and
+    rows that share a key count as one document: windows at the same place are neither's
+    earlier one. Repeated rows give repeated results, an empty table none. Columns of
+    ``docs`` named n_words, n_removed or kept are replaced; it may not have the names __t1, __t2,
+    __places, __packed, __first and __whole.
+
+    Texts are exchanged twice: one of each to the places of confirmed phrases, and every row to
+    what is removed from it. All work follows the size of the texts; a hot phrase or window is a partial
+    aggregate or a join that adaptive execution splits.
     """
-    spark = docs.sparkSession
-    identity = {
-        "__order": F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)),
-        "__tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+    whole_text = F.coalesce(F.col(text), F.lit(""))
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
+    row = {
+        "nil": F.when(F.col(key).isNull(), 1).otherwise(0).cast("long"), "order": F.coalesce(F.col(key).cast("long"), F.lit(0)),
+        **identity(whole_text),
     }
-    source = docs.select(
-        F.coalesce(F.col(text), F.lit("")).alias("__text"), *(c.alias(n) for n, c in identity.items())
+    source = docs.select(whole_text.alias("text"), *(c.alias(n) for n, c in row.items()))
+    places = settle_compressed(representative_places(source), "places")
+    # Copies of one text have the same places; what occurs at one place only does not recur.
+    spot = F.xxhash64("t1", "t2", "place")
+    recurring = settle(
+        places.groupBy("hash").agg(F.min(spot).alias("one"), F.max(spot).alias("other")).where("one <> other").select("hash"), "recurring"
+    )
+    confirmed = settle(
+        places.join(recurring, "hash").groupBy("t1", "t2").agg(F.collect_set("place").alias("places")), "confirmed"
+    )
+    earliest = F.min(F.struct("nil", "order"))
+    firsts = source.groupBy("t1", "t2").agg(earliest.alias("at"), F.first("text").alias("text"))
+    texts = firsts.join(confirmed, ["t1", "t2"]).select("t1", "t2", F.col("at")["nil"].alias("nil"), F.col("at")["order"].alias("order"), "text", "places")
+    known = F.col("later").isNotNull()
+    among = Window.partitionBy("high", "low", known).orderBy("nil", "order", "place")
+    ranked = located_windows(texts).withColumn("rank", F.rank().over(among)).where(known | (F.col("rank") > 1))
+    place = F.when(F.col("later").isNull(), F.col("place"))
+    copied = source.groupBy("t1", "t2").agg(earliest.alias("at"), F.max(F.struct("nil", "order")).alias("last")).where("at <> last")
+    gone = ranked.select("t1", "t2", place.alias("place"), "later", F.lit(None).cast("struct<nil: long, order: long>").alias("at")).unionByName(
+        copied.select("t1", "t2", F.lit(None).cast("long").alias("place"), F.lit(None).cast("binary").alias("later"), "at")
     )
-    phrases = settle(confirmed_phrases(source), "phrases")
-    shards = -(-phrases.count() // SHARD_PHRASES)
+    removed = gone.groupBy("t1", "t2").agg(
+        F.collect_set("place").alias("__places"), F.collect_set("later").alias("__packed"), F.max("at").alias("__first")
+    ).withColumnsRenamed({"t1": "__t1", "t2": "__t2"})
+    own = identity(whole_text)
+    tied = docs.select(*names, own["t1"].alias("__t1"), own["t2"].alias("__t2")).join(removed, ["__t1", "__t2"], "left")
+    later = F.struct(row["nil"].alias("nil"), row["order"].alias("order")) > F.col("__first")
     schema = T.StructType([
-        *docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
+        *(docs.schema[c] for c in names), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType()),
     ])
-    whole = later_copies(source).select(
-        "order", "tie", F.lit(None).cast("int").alias("place"), F.lit(None).cast("binary").alias("later"), F.lit(True).alias("whole")
-    )
-    gone = [whole]
-    if shards:
-        path = new_table_path(spark, "phrase-shards")
-        phrases.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int")).repartition(
-            "shard"
-        ).write.partitionBy("shard").parquet(path)
-        parts = max(spark.sparkContext.defaultParallelism, source.rdd.getNumPartitions() // PARTS_PER_BUILD)
-        long_tasks = source.coalesce(parts)
-        windows = reduce(DataFrame.union, [located_windows(long_tasks, path, shard) for shard in range(shards)])
-        known = F.col("later").isNotNull()
-        among = Window.partitionBy("high", "low", known).orderBy("order", "place")
-        later = windows.withColumn("rank", F.rank().over(among)).where(known | (F.col("rank") > 1))
-        place = F.when(F.col("later").isNull(), F.col("place"))
-        gone.append(later.select("order", "tie", place.alias("place"), "later", F.lit(False).alias("whole")))
-    removed = reduce(DataFrame.unionByName, gone).groupBy(
-        F.col("order").alias("__order"), F.col("tie").alias("__tie")
-    ).agg(
-        F.collect_list("place").alias("__places"), F.collect_list("later").alias("__packed"),
-        F.bool_or("whole").alias("__whole"),
-    )
-    tied = docs.withColumns(identity).join(removed, ["__order", "__tie"], "left")
-    names = docs.columns
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            totals, gone, kept = [], [], []
-            lists = zip(*(batch.column(c) for c in ("__places", "__packed", "__whole")))
-            for one, (places, packed, whole) in zip(texts_of(batch.column(text)), lists):
-                words = one.encode().split()
-                totals.append(len(words))
-                if whole.as_py() and len(words) >= WINDOW:
-                    words = []
-                elif places.is_valid:
-                    ahead = np.zeros(len(words) + 1, dtype=np.int64)
-                    held = np.frombuffer(b"".join(packed.as_py()), "<i4")
-                    at = np.unique(np.concatenate([places.values.to_numpy(), held]))
-                    np.add.at(ahead, at, 1)
-                    np.add.at(ahead, at + WINDOW, -1)
-                    stay = np.cumsum(ahead[:-1]) == 0
-                    words = [words[i] for i in np.flatnonzero(stay).tolist()]
-                gone.append(totals[-1] - len(words))
-                kept.append(b" ".join(words).decode())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text=text):
+            rows = []
+            gone = zip(*(batch.column(c) for c in ("__places", "__packed", "__whole")))
+            for one, (at, packed, whole) in zip(texts_of(batch.column(text)), gone):
+                held = np.empty(0, dtype=np.int64)
+                if at.is_valid:
+                    held = np.concatenate([at.values.to_numpy(), np.frombuffer(b"".join(packed.as_py()), "<i8")])
+                rows.append(cut(one.encode(), held, bool(whole.as_py())))
+            totals, counts, kept = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
+                [
+                    *(batch.column(c) for c in names), pa.array(totals, pa.int64()), pa.array(counts, pa.int64()),
+                    pa.array([k.decode() for k in kept], pa.string()),
+                ],
                 schema.names,
             )
 
-    return tied.select(*names, "__places", "__packed", "__whole").mapInArrow(cut, schema)
+    return tied.select(*names, "__places", "__packed", later.alias("__whole")).mapInArrow(run, schema)

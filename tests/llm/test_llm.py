@@ -237,17 +237,49 @@ def test_repeats_equal_brute_force(spark, odd_docs, no_docs):
         (r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in plain(repeats.remove_repeats(docs))
     )
     assert got == Counter(brute_repeats([(r["doc_id"], r["text"]) for r in plain(docs)]))
-    assert repeats.remove_repeats(odd_docs).columns == [*odd_docs.columns, "n_words", "n_removed", "kept"]
+    clash = odd_docs.withColumns({"kept": F.lit(1), "order": F.lit("x"), "t1": F.lit(None), "places": F.lit(2)})
+    assert clash.count() == repeats.remove_repeats(clash).count()
+    assert repeats.remove_repeats(clash).columns == [*odd_docs.columns, "order", "t1", "places", "n_words", "n_removed", "kept"]
     assert repeats.remove_repeats(no_docs).count() == 0
 
 
-def test_repeats_over_several_shards(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "SHARD_PHRASES", 5)
-    monkeypatch.setattr(repeats, "BUFFER_WINDOWS", 20)
-    rows = [(i, prose(i % 6, 45)) for i in range(24)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in plain(repeats.remove_repeats(docs)))
+def thue_morse(letters, flip):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(letters))
+
+
+def test_words_of_equal_polynomial_hashes_are_told_apart(spark):
+    """The two long words differ by a sum that vanishes for any odd base."""
+    lead = prose(1, 20)
+    rows = [(i, f"{lead} {thue_morse(1024, i)} {prose(2, 19)}") for i in range(2)]
+    assert len(set(repeats.read_words([t.encode() for _, t in rows]).hashes[[20, 60]].tolist())) == 1
+    got = {r["doc_id"]: r["n_removed"] for r in plain(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert got == {0: 0, 1: 20}
+
+
+def test_a_very_long_text_is_read_in_stretches(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{x}" for x in rng.integers(0, 90_000, 420_000).tolist()]
+    words[150_000:150_060] = words[10:70]  # and a passage across the end of the first stretch
+    first = next(repeats.pieces(" ".join(words).encode()))
+    words[400_000:400_040] = words[len(first.split()) - 20 : len(first.split()) + 20]
+    rows = [(1, " ".join(words)), (2, " ".join(words[149_990:150_050]))]
+    got = Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in plain(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))))
     assert got == Counter(brute_repeats(rows))
+    assert {k[:3] for k in got} == {(1, 420_000, 100), (2, 60, 60)}
+
+
+def test_each_window_is_in_one_stretch(monkeypatch):
+    monkeypatch.setattr(repeats, "HASH_BYTES", 50)
+    words = [f"{i:03d}".encode() for i in range(400)]
+    seen = [begin + i for begin, part in repeats.stretches(b"  ".join(words)) for i in range(max(len(part.split()) - 19, 0))]
+    assert seen == list(range(381))
+
+
+def test_first_windows_are_exchanged_once_and_copies_dealt_apart():
+    rows = np.array([[0, key, 7 + key, 8, place, place, 5] for key in range(1000) for place in range(2) for _ in range(2)])
+    out = repeats.compared(rows).to_pandas()
+    packed = out[out["later"].notna()]
+    assert len(out) - len(packed) == 2 and len(packed) == 999 and packed["high"].nunique() == 999
 
 
 def brute_align(item, passage):
@@ -315,15 +347,6 @@ def test_seed_keys_of_a_vocabulary_beyond_two_million_words():
     assert (1, 0) in set(zip(owner.tolist(), at.tolist()))
 
 
-def test_copies_of_one_text_are_dealt_apart():
-    copies = np.arange(1000)
-    order, tie = np.repeat(copies, 2), np.full(2000, 7)
-    place = np.tile(np.arange(2), 1000)
-    out = repeats.compared(order, tie, place, place.astype(np.int64), place.astype(np.int64)).to_pandas()
-    packed = out[out["later"].notna()]
-    assert len(packed) == 999 and packed["high"].nunique() == 999
-
-
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     evidence, couple = rng.normal(size=5), rng.normal(size=(2, 2))
