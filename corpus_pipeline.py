@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingmill.llm import byte_bpe, decontamination, line_quality, near_texts, repeats
+from lingmill.llm import byte_bpe, decontamination, line_quality, repeats, simhash
 from lingmill.session import settle
 from suite.registry import table
 
@@ -24,17 +24,17 @@ def keep_good_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies, once.
+    """The document of smallest id of each SimHash group, once; null ids come last.
 
-    Near copies share 0.8 or more of their five-word shingles. Their SimHashes are up to
-    14 bits apart, beyond the index of ``simhash``: ``near_texts`` finds and verifies them.
+    Groups are those of ``simhash.near_duplicates`` as ``op9_simhash`` calls it: three-word
+    shingles, fingerprints at most two bits apart.
     """
     tied = docs.select(COLUMNS).withColumn("__tie", F.xxhash64("text"))
-    found = near_texts.near_copies(tied, keep=("doc_id", "__tie"))
+    found = simhash.near_duplicates(tied, keep=("__tie",))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__tie")
     # Structs of null ids compare as equal, and the join's exchange serves dropDuplicates.
-    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "__tie")).alias("__row"))
-    winners = settle(first.select("__row"), "kept")
-    kept = tied.withColumn("__row", F.struct("doc_id", "__tie")).join(winners, "__row", "left_semi")
+    winners = settle(found.groupBy("group").agg(F.min(row).alias("__row")).select("__row"), "kept")
+    kept = tied.withColumn("__row", row).join(winners, "__row", "left_semi")
     return kept.dropDuplicates(["__row"]).select(COLUMNS)
 
 
@@ -75,7 +75,7 @@ STAGES = [
     ("byte-level BPE", encode_bytes),
 ]
 
-# SQL cannot express the first stage's model; tests compare the others with brute force.
+# SQL cannot express the first stage's model; a test compares run() with plain Python, given that model's scores.
 ORACLE_SQL = None
 
 
