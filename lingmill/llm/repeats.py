@@ -33,9 +33,9 @@ from lingmill.session import settle
 WINDOW = 20
 PHRASE = 6
 # Text bytes whose phrases make one automaton; bounds a task's memory.
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 21
 # Windows a task compares among themselves before it hands them on.
-BUFFER_WINDOWS = 300_000
+BUFFER_WINDOWS = 150_000
 # Text bytes of which words are hashed together.
 HASH_BYTES = 1 << 20
 # Bits of each distance in a packed place; distances are at most WINDOW - PHRASE.
@@ -146,9 +146,10 @@ def identity(text: Column) -> dict[str, Column]:
 
 
 def representative_places(source: DataFrame) -> DataFrame:
-    """(hash, t1, t2, place) of every representative: the hash, its text, and its place, which packs
+    """(hash, t1, place) of every representative: the hash, its text, and its place, which packs
     the number of its first word, the distance from the first window that it represents,
-    and how many further windows it represents."""
+    and how many further windows it represents. Half of a text's identity will do
+    here: places say where to look, and texts that share it look in a few places too many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text="text", size=HASH_BYTES):
@@ -171,14 +172,11 @@ def representative_places(source: DataFrame) -> DataFrame:
                 place = (number << 2 * BITS) | (at - first << BITS) | (last - first)
                 row = pa.array(np.array(rows, dtype=np.int64)[owner])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(rolled(words.hashes, PHRASE)[at].view(np.int64)), batch.column("t1").take(row),
-                        batch.column("t2").take(row), pa.array(place),
-                    ],
-                    ["hash", "t1", "t2", "place"],
+                    [pa.array(rolled(words.hashes, PHRASE)[at].view(np.int64)), batch.column("t1").take(row), pa.array(place)],
+                    ["hash", "t1", "place"],
                 )
 
-    return source.select("text", "t1", "t2").mapInArrow(run, "hash long, t1 long, t2 long, place long")
+    return source.select("text", "t1").mapInArrow(run, "hash long, t1 long, place long")
 
 
 class Automaton:
@@ -222,7 +220,7 @@ def digests(words: list[bytes], windows: list[int]) -> bytes:
 
 
 WINDOW_SCHEMA = T.StructType([
-    *(T.StructField(c, T.LongType()) for c in ("nil", "order", "t1", "t2", "place", "high", "low")),
+    *(T.StructField(c, T.LongType()) for c in ("nil", "order", "t1", "place", "high", "low")),
     T.StructField("later", T.BinaryType()),
 ])
 
@@ -231,22 +229,23 @@ def compared(rows: np.ndarray) -> pa.RecordBatch:
     """Windows as rows: the first of equal ones each, and the places of the later ones, a
     row by text. So however often a window occurs, a task exchanges it once.
 
-    ``rows`` has the columns of ``WINDOW_SCHEMA`` but the last.
+    ``rows`` has the columns of ``WINDOW_SCHEMA`` but the last. A text is known by the
+    smallest key that it has, and half of its identity.
     """
-    nil, order, t1, t2, place, high, low = rows.T
-    rows = rows[np.lexsort((t2, t1, place, order, nil, low, high))]
+    nil, order, text, place, high, low = rows.T
+    rows = rows[np.lexsort((text, place, order, nil, low, high))]
     rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
-    fresh = np.concatenate([[True], (rows[1:, 5:] != rows[:-1, 5:]).any(axis=1)])
+    fresh = np.concatenate([[True], (rows[1:, 4:] != rows[:-1, 4:]).any(axis=1)])
     lead = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    at = [0, 1, 4]
+    at = [0, 1, 3]
     first = (rows[:, at] == rows[lead][:, at]).all(axis=1)
     # Windows of one text stay together, which the exchange's compression likes.
-    a, b = (part[np.lexsort((part[:, 4], part[:, 3], part[:, 2]))] for part in (rows[first], rows[~first]))
-    change = np.flatnonzero(np.concatenate([[True], (b[1:, 2:4] != b[:-1, 2:4]).any(axis=1)])) if len(b) else np.empty(0, np.int64)
-    packed = [x.astype("<i8").tobytes() for x in np.split(b[:, 4], change[1:])] if len(b) else []
+    a, b = (part[np.lexsort((part[:, 3], part[:, 2], part[:, 1], part[:, 0]))] for part in (rows[first], rows[~first]))
+    change = np.flatnonzero(np.concatenate([[True], (b[1:, :3] != b[:-1, :3]).any(axis=1)])) if len(b) else np.empty(0, np.int64)
+    packed = [x.astype("<i8").tobytes() for x in np.split(b[:, 3], change[1:])] if len(b) else []
     later = b[change].copy()
     # Packed places are ranked with nothing: they are dealt out by their texts.
-    later[:, 5], later[:, 6] = later[:, 2], later[:, 3]
+    later[:, 4], later[:, 5] = later[:, 2], later[:, 1]
     columns = np.concatenate([a, later]).T
     return pa.RecordBatch.from_arrays(
         [*(pa.array(np.ascontiguousarray(c)) for c in columns), pa.array([None] * len(a) + packed, pa.binary())], WINDOW_SCHEMA.names
@@ -254,13 +253,13 @@ def compared(rows: np.ndarray) -> pa.RecordBatch:
 
 
 def located_windows(texts: DataFrame) -> DataFrame:
-    """The windows whose representative the automata locate; ``texts`` has nil, order, t1, t2,
+    """The windows whose representative the automata locate; ``texts`` has nil, order, t1,
     text and ``places``, the packed places of the text's confirmed representatives."""
 
     def parts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
         """(identity, number of the first word, words, places, first windows, further windows)
         of every stretch that holds a confirmed representative."""
-        names = zip(*(batch.column(c).to_pylist() for c in ("nil", "order", "t1", "t2")))
+        names = zip(*(batch.column(c).to_pylist() for c in ("nil", "order", "t1")))
         for name, text, places in zip(names, batch.column("text"), batch.column("places")):
             packed = np.sort(places.values.to_numpy())
             number, back, more = packed >> 2 * BITS, packed >> BITS & (1 << BITS) - 1, packed & (1 << BITS) - 1
@@ -291,10 +290,10 @@ def located_windows(texts: DataFrame) -> DataFrame:
             for name, begin, words, at, first, more in shard:
                 found = automaton.locate(words)[at]
                 windows = np.unique(np.concatenate([np.arange(f, f + m + 1) for f, m in zip(first[found].tolist(), more[found].tolist())]))
-                out = np.empty((len(windows), 7), dtype=np.int64)
-                out[:, :4] = name
-                out[:, 4] = windows + begin
-                out[:, 5:] = np.frombuffer(digests(words, windows.tolist()), "<i8").reshape(-1, 2)
+                out = np.empty((len(windows), 6), dtype=np.int64)
+                out[:, :3] = name
+                out[:, 3] = windows + begin
+                out[:, 4:] = np.frombuffer(digests(words, windows.tolist()), "<i8").reshape(-1, 2)
                 held.append(out)
                 size += len(out)
                 if size >= BUFFER_WINDOWS:
@@ -303,7 +302,7 @@ def located_windows(texts: DataFrame) -> DataFrame:
         if held:
             yield compared(np.concatenate(held))
 
-    return texts.select("nil", "order", "t1", "t2", "text", "places").mapInArrow(run, WINDOW_SCHEMA)
+    return texts.select("nil", "order", "t1", "text", "places").mapInArrow(run, WINDOW_SCHEMA)
 
 
 def cut(text: bytes, places: np.ndarray, whole: bool) -> tuple[int, int, bytes]:
@@ -349,32 +348,30 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         **identity(whole_text),
     }
     source = docs.select(whole_text.alias("text"), *(c.alias(n) for n, c in row.items()))
+    at = F.struct("nil", "order")
+    known_texts = settle(source.groupBy("t1", "t2").agg(F.min(at).alias("at"), F.max(at).alias("last")), "texts")
     places = settle_compressed(representative_places(source), "places")
     # Copies of one text have the same places; what occurs at one place only does not recur.
-    spot = F.xxhash64("t1", "t2", "place")
+    spot = F.xxhash64("t1", "place")
     recurring = settle(
         places.groupBy("hash").agg(F.min(spot).alias("one"), F.max(spot).alias("other")).where("one <> other").select("hash"), "recurring"
     )
-    confirmed = settle(
-        places.join(recurring, "hash").groupBy("t1", "t2").agg(F.collect_set("place").alias("places")), "confirmed"
-    )
-    earliest = F.min(F.struct("nil", "order"))
-    firsts = source.groupBy("t1", "t2").agg(earliest.alias("at"), F.first("text").alias("text"))
-    texts = firsts.join(confirmed, ["t1", "t2"]).select("t1", "t2", F.col("at")["nil"].alias("nil"), F.col("at")["order"].alias("order"), "text", "places")
-    known = F.col("later").isNotNull()
-    among = Window.partitionBy("high", "low", known).orderBy("nil", "order", "place")
-    ranked = located_windows(texts).withColumn("rank", F.rank().over(among)).where(known | (F.col("rank") > 1))
+    confirmed = places.join(recurring, "hash").groupBy("t1").agg(F.collect_set("place").alias("places"))
+    spread = settle(confirmed.join(known_texts, "t1").select("t1", "t2", "at.*", "places"), "confirmed")
+    # Grouped by their identity, copies of a text are exchanged once a task.
+    texts = source.groupBy("t1", "t2").agg(F.first("text").alias("text")).join(spread, ["t1", "t2"])
+    packed = F.col("later").isNotNull()
+    among = Window.partitionBy("high", "low", packed).orderBy("nil", "order", "place")
+    later = located_windows(texts).withColumn("rank", F.rank().over(among)).where(packed | (F.col("rank") > 1))
     place = F.when(F.col("later").isNull(), F.col("place"))
-    copied = source.groupBy("t1", "t2").agg(earliest.alias("at"), F.max(F.struct("nil", "order")).alias("last")).where("at <> last")
-    gone = ranked.select("t1", "t2", place.alias("place"), "later", F.lit(None).cast("struct<nil: long, order: long>").alias("at")).unionByName(
-        copied.select("t1", "t2", F.lit(None).cast("long").alias("place"), F.lit(None).cast("binary").alias("later"), "at")
-    )
-    removed = gone.groupBy("t1", "t2").agg(
-        F.collect_set("place").alias("__places"), F.collect_set("later").alias("__packed"), F.max("at").alias("__first")
-    ).withColumnsRenamed({"t1": "__t1", "t2": "__t2"})
+    windows = later.groupBy("t1", "nil", "order").agg(F.collect_set(place).alias("__places"), F.collect_set("later").alias("__packed"))
+    # A text loses its windows, and its later copies all words.
+    removed = known_texts.select("t1", "t2", "at.*", "at", "last").join(windows, ["t1", "nil", "order"], "left").where(
+        "__places is not null or at <> last"
+    ).select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "__places", "__packed", F.col("at").alias("__first"))
     own = identity(whole_text)
     tied = docs.select(*names, own["t1"].alias("__t1"), own["t2"].alias("__t2")).join(removed, ["__t1", "__t2"], "left")
-    later = F.struct(row["nil"].alias("nil"), row["order"].alias("order")) > F.col("__first")
+    copied = F.struct(row["nil"].alias("nil"), row["order"].alias("order")) > F.col("__first")
     schema = T.StructType([
         *(docs.schema[c] for c in names), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType()),
@@ -398,4 +395,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 schema.names,
             )
 
-    return tied.select(*names, "__places", "__packed", later.alias("__whole")).mapInArrow(run, schema)
+    return tied.select(*names, "__places", "__packed", copied.alias("__whole")).mapInArrow(run, schema)

@@ -275,7 +275,7 @@ def test_each_window_is_in_one_stretch(monkeypatch):
 
 
 def test_first_windows_are_exchanged_once_and_copies_dealt_apart():
-    rows = np.array([[0, key, 7 + key, 8, place, place, 5] for key in range(1000) for place in range(2) for _ in range(2)])
+    rows = np.array([[0, key, 7 + key, place, place, 5] for key in range(1000) for place in range(2) for _ in range(2)])
     out = repeats.compared(rows).to_pandas()
     packed = out[out["later"].notna()]
     assert len(out) - len(packed) == 2 and len(packed) == 999 and packed["high"].nunique() == 999
