@@ -22,6 +22,12 @@ def draw_below(keys: Sequence[Column], seed: int | str, limit: int) -> Column:
     return F.pmod(head, F.lit(limit).cast("long"))
 
 
+def uniform(keys: Sequence[Column], seed: int | str) -> Column:
+    """A number between 0 and 1, neither of them, uniform over keys."""
+    head = F.conv(F.substring(order_hash(keys, seed), 1, 13), 16, 10).cast("double")
+    return (head + 0.5) / float(1 << 52)
+
+
 def pick(options: Sequence[str], keys: Sequence[Column], seed: int | str) -> Column:
     """One of ``options``, chosen by the key."""
     choice = draw_below(keys, seed, len(options)).cast("int") + 1

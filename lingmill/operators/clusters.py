@@ -1,8 +1,9 @@
-"""Mini-batch k-means for all languages in one job."""
+"""Mini-batch k-means for all languages in one job, seeded by k-means||."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,37 +15,235 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lingmill import fixed
+from lingmill.functions import draws
 from lingmill.operators import sampling
 from lingmill.operators.dedup import matrix
 from lingmill.session import settle
 
-# Centroids up to this size in total go to every executor; beyond it each task
-# gets only its own language's.
-BROADCAST_BYTES = 256 * 1024 * 1024
-CHUNK_ROWS = 20_000
+# Centres that tasks hold at a time; more are met block by block, a block holding whole groups.
+BLOCK_BYTES = 256 * 1024 * 1024
 # Rows whose distances to all centres are held at a time.
 TILE_ROWS = 1_024
+# Rounds of seeding, and rows that a round is expected to draw, as a multiple of k.
+SEED_ROUNDS = 3
+OVERSAMPLING = 2
+# Centres with less than this share of their group's largest weight are starved.
+STARVED_SHARE = 0.01
 
+Known = dict[object, tuple[np.ndarray, np.ndarray]]
+Work = Callable[[Iterator[pa.RecordBatch], Known], Iterator[pa.RecordBatch]]
 
-def nearest(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Index of the centre with the smallest Euclidean distance, first on ties."""
+
+def nearest(vectors: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the centre with the smallest Euclidean distance, first on ties, and its square."""
     halves = 0.5 * (centers * centers).sum(axis=1)
     found = np.empty(len(vectors), dtype=np.int64)
+    gaps = np.empty(len(vectors))
     for at in range(0, len(vectors), TILE_ROWS):
         rows = slice(at, at + TILE_ROWS)
         found[rows] = np.argmin(halves[None, :] - vectors[rows] @ centers.T, axis=1)
-    return found
+        gaps[rows] = ((vectors[rows] - centers[found[rows]]) ** 2).sum(axis=1)
+    return found, gaps
+
+
+def by_group(batch: pa.RecordBatch, group: str, known: Known) -> Iterator[tuple[object, np.ndarray]]:
+    """(group, row numbers) for the groups of a batch that have centres."""
+    coded = pc.dictionary_encode(batch.column(group))
+    codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    ends = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
+    for code, name in enumerate(coded.dictionary.to_pylist()):
+        if name in known:
+            yield name, order[ends[code] : ends[code + 1]]
+
+
+def against_centers(
+    df: DataFrame, centers: DataFrame, group: str, work: Work, schema: T.StructType, label: str, block_bytes: int
+) -> DataFrame:
+    """What ``work`` makes of the rows and the centres of their groups, written to a table.
+
+    The centres' total size is measured; groups are dealt into blocks of about
+    ``block_bytes`` of centres, usually one. A block is sent to the executors, meets the
+    rows of its groups where they are, and is taken back once the result is written.
+    """
+    cells = centers.agg(F.sum(F.size("center")).alias("n")).first()["n"] or 0
+    blocks = max(1, -(-cells * 8 // block_bytes))
+    out = []
+    for number in range(blocks):
+        here = F.pmod(F.xxhash64(group), F.lit(blocks)) == number
+        own, rows = (centers.where(here), df.where(here)) if blocks > 1 else (centers, df)
+        table = own.select(group, "label", "center").sort(group, "label").toArrow()
+        known: Known = {}
+        for name in table[group].unique().to_pylist():
+            part = table.filter(pc.equal(table[group], name))
+            known[name] = (part["label"].to_numpy(), matrix(part["center"]))
+        shared = df.sparkSession.sparkContext.broadcast(known)
+        out.append(settle(rows.mapInArrow(lambda batches, shared=shared: work(batches, shared.value), schema), label))
+        shared.unpersist()
+    return reduce(DataFrame.unionAll, out)
+
+
+def assign_clusters(
+    df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Rows of groups that have centroids, without their vector, with the nearest one's ``label``
+    and ``gap``, the squared distance to it. Rows without a vector have no nearest centroid
+    and are left out. The result is a written table; vectors stay where they are.
+    """
+    rest = [c for c in df.columns if c != vector]
+    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField("label", T.LongType()), T.StructField("gap", T.DoubleType())])
+
+    def work(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = np.full(batch.num_rows, -1, dtype=np.int64)
+            gaps = np.zeros(batch.num_rows)
+            met = np.zeros(batch.num_rows, dtype=bool)
+            for name, rows in by_group(batch, group, known):
+                ids, centers = known[name]
+                found, gaps[rows] = nearest(matrix(batch.column(vector).take(pa.array(rows))), centers)
+                labels[rows], met[rows] = ids[found], True
+            kept = batch.select(rest).append_column("label", pa.array(labels)).append_column("gap", pa.array(gaps))
+            yield kept.filter(pa.array(met))
+
+    return against_centers(df.where(F.col(vector).isNotNull()), centroids, group, work, schema, "assigned", block_bytes)
+
+
+def sums_per_center(df: DataFrame, centroids: DataFrame, group: str, vector: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``group, label, total, n``: the vectors nearest each centre added up, and their number.
+
+    A task hands on one row for each centre that its rows meet; no vector leaves it.
+    """
+    schema = T.StructType([
+        df.schema[group], T.StructField("label", T.LongType()), T.StructField("total", T.ArrayType(T.DoubleType())),
+        T.StructField("n", T.LongType()),
+    ])
+
+    def work(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.RecordBatch]:
+        totals: dict[object, np.ndarray] = {}
+        counts: dict[object, np.ndarray] = {}
+        kind = None
+        for batch in batches:
+            kind = batch.schema.field(group).type
+            for name, rows in by_group(batch, group, known):
+                _, centers = known[name]
+                vectors = matrix(batch.column(vector).take(pa.array(rows)))
+                found, _ = nearest(vectors, centers)
+                if name not in totals:
+                    totals[name], counts[name] = np.zeros_like(centers), np.zeros(len(centers), dtype=np.int64)
+                order = np.argsort(found, kind="stable")
+                heads = np.flatnonzero(np.diff(found[order], prepend=-1))
+                totals[name][found[order][heads]] += np.add.reduceat(vectors[order], heads, axis=0)
+                counts[name] += np.bincount(found, minlength=len(centers))
+        for name, total in totals.items():
+            met = np.flatnonzero(counts[name])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * len(met), kind), pa.array(known[name][0][met]),
+                    pa.array(list(total[met]), pa.list_(pa.float64())), pa.array(counts[name][met]),
+                ],
+                schema.names,
+            )
+
+    parts = against_centers(df.where(F.col(vector).isNotNull()), centroids, group, work, schema, "center-sums", block_bytes)
+    return parts.groupBy(group, "label").agg(
+        vector_to_array(Summarizer.sum(array_to_vector(F.col("total")))).alias("total"), F.sum("n").alias("n")
+    )
+
+
+def draw_candidates(df: DataFrame, key: str, group: str, vector: str, k: int, seed: int, rounds: int = SEED_ROUNDS) -> DataFrame:
+    """``key, group, label, center``: rows to choose centres from, by k-means||.
+
+    One row of each group is drawn by hash. Each round then draws every row on its own, with
+    probability ``OVERSAMPLING * k`` times its share of the squared distances of its group's
+    rows to what was drawn before. Groups that come out with fewer than k get k more by hash.
+    """
+    rows = df.select(key, group, F.col(vector).cast("array<double>").alias("center"))
+    drawn = sampling.sample_per_group(rows, [group], [key], 1, f"center-{seed}")
+    candidates = settle(drawn.withColumn("label", F.lit(0).cast("long")), "candidates")
+
+    def numbered(keys: DataFrame, start: int) -> DataFrame:
+        found = rows.join(settle(keys, "drawn-keys"), key, "left_semi")
+        return settle(sampling.with_row_index(found, [group, key], "label").withColumn("label", F.col("label") + start), "candidates")
+
+    for number in range(rounds):
+        gaps = assign_clusters(rows, candidates, key, group, "center")
+        sums = settle(gaps.groupBy(group).agg((F.sum("gap") / (OVERSAMPLING * k)).alias("_unit")), "gap-sums")
+        chance = draws.uniform([F.col(key)], f"round-{number}-{seed}") * F.col("_unit")
+        keys = gaps.join(sums, group).where(chance < F.col("gap")).select(key)
+        candidates = candidates.unionByName(numbered(keys, (number + 1) << 40))
+    short = candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < k).select(group)
+    lacking = rows.select(key, group).join(settle(short, "short-groups"), group, "left_semi")
+    extra = sampling.sample_per_group(lacking, [group], [key], k, f"center-{seed}").join(candidates.select(key), key, "left_anti")
+    return candidates.unionByName(numbered(extra.select(key), (rounds + 1) << 40))
+
+
+def chosen_centers(vectors: np.ndarray, weights: np.ndarray, waits: np.ndarray, k: int) -> list[int]:
+    """Row numbers of up to ``k`` different vectors, by weighted k-means++.
+
+    The next is the one whose exponential waiting time, at a rate of its weight
+    times its squared distance from those chosen, is over first.
+    """
+    rate = weights.astype(np.float64)
+    gaps = np.full(len(vectors), np.inf)
+    chosen: list[int] = []
+    while len(chosen) < min(k, len(vectors)):
+        with np.errstate(divide="ignore"):
+            times = np.where(rate > 0, waits / rate, np.inf)
+        best = int(np.argmin(times))
+        if not np.isfinite(times[best]):
+            break
+        chosen.append(best)
+        gaps = np.minimum(gaps, ((vectors - vectors[best]) ** 2).sum(axis=1))
+        rate = weights * gaps
+    return chosen
 
 
 def initial_centroids(df: DataFrame, key: str, group: str, vector: str, k: int, seed: int) -> DataFrame:
-    """``group, label, center``: k drawn rows of every group. Groups have k rows or more."""
-    drawn = sampling.sample_per_group(
-        df.select(group, key, vector), [group], [key], k, f"centers-{seed}", rank="_rank"
+    """``group, label, center``: k centres of every group, by k-means|| and weighted k-means++.
+
+    Candidates are weighted by the rows nearest them, and reduced to k in one task a
+    group, which holds about ``SEED_ROUNDS * OVERSAMPLING * k`` of them. A group of fewer
+    than k different vectors gets one centre each.
+    """
+    candidates = draw_candidates(df, key, group, vector, k, seed)
+    weighted = candidates.join(settle(sums_per_center(df, candidates, group, vector).select(group, "label", "n"), "candidate-weights"), [group, "label"])
+    wait = -F.log(draws.uniform([F.col(key)], f"wait-{seed}"))
+    schema = T.StructType([df.schema[group], T.StructField("label", T.LongType()), T.StructField("center", T.ArrayType(T.DoubleType()))])
+
+    def reduce_group(table: pa.Table) -> pa.Table:
+        table = table.sort_by("label")
+        rows = chosen_centers(matrix(table["center"]), table["n"].to_numpy(), table["wait"].to_numpy(), k)
+        return table.take(pa.array(rows)).select([group, "center"]).add_column(1, "label", pa.array(np.arange(len(rows))))
+
+    return weighted.select(group, "label", "center", "n", wait.alias("wait")).groupBy(group).applyInArrow(reduce_group, schema)
+
+
+def replace_starved(rows: DataFrame, centers: DataFrame, key: str, group: str, vector: str, tag: str) -> DataFrame:
+    """``centers`` with the starved ones moved to rows of the batch drawn by hash.
+
+    A moved centre gets the smallest weight among those of its group that stay. At most
+    half as many centres move as the batch has rows.
+    """
+    largest = settle(centers.groupBy(group).agg((F.max("weight") * STARVED_SHARE).alias("_bar")), "largest-weights")
+    marked = centers.join(largest, group).withColumn("_starved", F.col("weight") < F.col("_bar")).drop("_bar")
+    short = settle(
+        marked.groupBy(group).agg(F.sum(F.col("_starved").cast("int")).alias("_many"), F.min(F.when(~F.col("_starved"), F.col("weight"))).alias("_least"))
+        .where(F.col("_many") > 0), "starved-groups",
     )
-    return drawn.select(
-        group,
-        (F.col("_rank") - 1).cast("long").alias("label"),
-        F.col(vector).cast("array<double>").alias("center"),
+    if short.isEmpty():
+        return centers
+    halves = rows.join(short, group, "left_semi").groupBy(group).agg(F.floor(F.count(F.lit(1)) / 2).alias("_half"))
+    most = short.agg(F.max("_many")).first()[0]
+    drawn = sampling.sample_per_group(rows.select(group, key, vector).join(short.select(group), group, "left_semi"), [group], [key], most, tag, rank="_place")
+    starved = sampling.sample_per_group(marked.where("_starved"), [group], ["label"], most, tag, rank="_place")
+    starved = starved.join(settle(halves, "half-batches"), group).where(F.col("_place") <= F.col("_half"))
+    moved = starved.join(drawn.select(group, "_place", F.col(vector).cast("array<double>").alias("_center")), [group, "_place"]).join(short, group)
+    fresh = settle(moved.select(group, "label", "_center", "_least"), "moved-centers")
+    return settle(
+        centers.join(fresh, [group, "label"], "left").select(
+            group, "label", F.coalesce("_center", "center").alias("center"), F.coalesce("_least", "weight").alias("weight")
+        ),
+        "centroids",
     )
 
 
@@ -59,10 +258,16 @@ def fit_clusters(
 ) -> DataFrame:
     """Centroids per group: ``group, label, center, weight``.
 
-    Rows are split by key hash into ``batches`` disjoint batches, fewer for a
-    group whose batches would fall below k rows, so each row is used once. Each
-    batch moves every centre to the running mean of the rows assigned to it so
-    far. Groups of fewer than k rows get no centroids; rows without a vector are left out.
+    Rows are dealt by key hash into ``batches`` disjoint batches, fewer for a
+    group whose batches would fall below k rows, so each row is used once. The first batch
+    gives the initial centres (``initial_centroids``). Each batch moves every centre to the running
+    mean of the rows assigned to it so far, and then, but for the last one, centres that
+    hardly any row is near are moved to rows of the batch (``replace_starved``).
+    Groups of fewer than k rows get no centroids; rows without a vector are left out.
+
+    Filling a buffer file by file, and fitting whenever it holds k rows, would leave out what
+    remains at the end if it is less than k rows; here no row is left out, and a
+    group of k to 2k rows is one batch, whose rows are both the first and the last.
     """
     df = df.where(F.col(vector).isNotNull())
     sizes = settle(
@@ -75,126 +280,36 @@ def fit_clusters(
     usable = settle(
         df.select(key, group, vector)
         .join(sizes.where("_batches > 0"), group)
-        .withColumn("_batch", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.col("_batches")).cast("int"))
+        .withColumn("_batch", F.pmod(draws.draw_below([F.col(key)], f"batch-{seed}", 1 << 32), F.col("_batches")).cast("int"))
         .drop("_batches"),
         "cluster-rows",
         ["_batch"],
     )
-    centers = settle(
-        initial_centroids(usable, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)),
-        "centroids",
-    )
+    centers = None
     for batch in range(batches):
         rows = usable.where(F.col("_batch") == batch).select(key, group, vector)
-        moved = (
-            assign_clusters(rows, centers, key, group, vector)
-            .groupBy(group, "label")
-            .agg(
-                vector_to_array(Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))).alias("_mean"),
-                F.count(F.lit(1)).cast("double").alias("_n"),
-            )
-        )
-        share = F.coalesce(F.col("_n") / (F.col("weight") + F.col("_n")), F.lit(0.0))
-        moved_center = F.zip_with("center", "_mean", lambda old, new: old + (new - old) * share)
+        if centers is None:
+            centers = settle(initial_centroids(rows, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)), "centroids")
+        moved = sums_per_center(rows, centers, group, vector)
+        mean = F.transform("total", lambda x: x / F.col("n"))
+        share = F.coalesce(F.col("n") / (F.col("weight") + F.col("n")), F.lit(0.0))
+        moved_center = F.zip_with("center", mean, lambda old, new: old + (new - old) * share)
         centers = settle(
             centers.join(moved, [group, "label"], "left").select(
                 group,
                 "label",
                 F.coalesce(moved_center, F.col("center")).alias("center"),
-                (F.col("weight") + F.coalesce("_n", F.lit(0.0))).alias("weight"),
+                (F.col("weight") + F.coalesce("n", F.lit(0))).alias("weight"),
             ),
             "centroids",
         )
+        if batch < batches - 1:
+            centers = replace_starved(rows, centers, key, group, vector, f"starved-{batch}-{seed}")
     return centers
 
 
-def assign_clusters(
-    df: DataFrame,
-    centroids: DataFrame,
-    key: str,
-    group: str,
-    vector: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Rows of groups that have centroids, with the nearest one's ``label``.
-
-    The centroids' total size is measured. If it is small they travel to the
-    executors and rows stay where they are; otherwise rows of a group are split
-    into chunks by key hash and meet a copy of that group's centroids. Rows without a
-    vector have no nearest centroid and are left out.
-    """
-    df = df.where(F.col(vector).isNotNull())
-    cells = centroids.agg(F.sum(F.size("center")).alias("n")).first()["n"] or 0
-    if cells * 8 <= broadcast_bytes:
-        return _assign_with_broadcast(df, centroids, group, vector)
-    return _assign_with_chunks(df, centroids, key, group, vector, chunk_rows)
-
-
-def _assign_with_broadcast(df: DataFrame, centroids: DataFrame, group: str, vector: str) -> DataFrame:
-    table = centroids.select(group, "label", "center").toArrow()
-    by_group = {}
-    for name in table[group].unique().to_pylist():
-        own = table.filter(pc.equal(table[group], name)).sort_by("label")
-        by_group[name] = (own["label"].to_numpy(), matrix(own["center"]))
-    shared = df.sparkSession.sparkContext.broadcast(by_group)
-    schema = T.StructType(df.schema.fields + [T.StructField("label", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            groups = np.array(batch.column(group).to_pylist(), dtype=object)
-            labels = np.full(batch.num_rows, -1, dtype=np.int64)
-            present = set(groups.tolist()) & known.keys()
-            for name in present:
-                rows = np.flatnonzero(groups == name)
-                ids, centers = known[name]
-                vectors = matrix(batch.column(vector).take(pa.array(rows)))
-                labels[rows] = ids[nearest(vectors, centers)]
-            kept = batch.append_column("label", pa.array(labels))
-            yield kept.filter(pa.array(labels >= 0))
-
-    return df.mapInArrow(run, schema)
-
-
-def _assign_with_chunks(
-    df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str, chunk_rows: int
-) -> DataFrame:
-    sizes = settle(
-        df.groupBy(group).agg(
-            F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("_chunks")
-        ),
-        "cluster-chunks",
-    )
-    rows = df.join(sizes, group).withColumn(
-        "_chunk", F.pmod(F.xxhash64(key), F.col("_chunks")).cast("int")
-    )
-    copies = centroids.join(sizes, group).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    )
-    columns = df.columns
-    schema = T.StructType(df.schema.fields + [T.StructField("label", T.LongType())])
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return pa.Table.from_batches([], schema=left.select(columns).schema.append(
-                pa.field("label", pa.int64())
-            ))
-        own = right.sort_by("label")
-        ids = own["label"].to_numpy()
-        labels = ids[nearest(matrix(left[vector]), matrix(own["center"]))]
-        return left.select(columns).append_column("label", pa.array(labels))
-
-    return (
-        rows.select(*columns, "_chunk")
-        .groupBy(group, "_chunk")
-        .cogroup(copies.select(group, "_chunk", "label", "center").groupBy(group, "_chunk"))
-        .applyInArrow(run, schema)
-    )
-
-
 def label_rows(
-    df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str
+    df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Every row, without its vector, with a cluster ``label``.
 
@@ -202,9 +317,14 @@ def label_rows(
     from 0 over all such rows in (group, key) order. So are rows without a vector,
     numbered from -1 downwards, which no cluster is.
     """
-    assigned = assign_clusters(df, centroids, key, group, vector).drop(vector)
-    given = F.col(vector).isNotNull()
-    alone = df.where(given).drop(vector).join(centroids.select(group).distinct(), group, "left_anti")
-    numbered = sampling.with_row_index(alone, [group, key], "label")
-    blank = sampling.with_row_index(df.where(~given).drop(vector), [group, key], "label")
-    return assigned.unionByName(numbered).unionByName(blank.withColumn("label", -1 - F.col("label")))
+    assigned = assign_clusters(df, centroids, key, group, vector, block_bytes).drop("gap")
+    grouped = settle(centroids.select(group).distinct().withColumn("_grouped", F.lit(True)), "clustered-groups")
+    rest = df.withColumn("_blank", F.col(vector).isNull()).drop(vector).join(grouped, group, "left")
+    alone = settle(rest.where("_blank or _grouped is null").drop("_grouped"), "unclustered")
+    if alone.isEmpty():
+        return assigned
+    # Rows without a vector come last, so that one numbering serves both.
+    numbered = sampling.with_row_index(alone, ["_blank", group, key], "label")
+    given = alone.where("not _blank").count()
+    label = F.when(F.col("_blank"), given - 1 - F.col("label")).otherwise(F.col("label"))
+    return assigned.unionByName(numbered.withColumn("label", label).drop("_blank"))

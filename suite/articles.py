@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lingmill.operators import articles, clusters, inference
 from suite import fixtures as fx
+from suite.kmeans import sql_kmeans
 from suite.registry import query, table
 
 
@@ -56,30 +57,35 @@ def cluster_labels(spark, sf_dir):
 
 @query(f"{SQL_NEAREST} SELECT vec_id, grp, cluster FROM near")
 def cluster_labels_in_chunks(spark, sf_dir):
-    """The same assignment when centroids are too large to broadcast."""
+    """The same assignment when centroids go to the executors in several blocks."""
     labelled = clusters.assign_clusters(
-        _vectors(spark, sf_dir), _centers(spark, sf_dir), "vec_id", "grp", "embedding",
-        broadcast_bytes=0, chunk_rows=50,
+        _vectors(spark, sf_dir), _centers(spark, sf_dir), "vec_id", "grp", "embedding", block_bytes=6_000
     )
     return labelled.select("vec_id", "grp", F.col("label").alias("cluster"))
 
 
-@query()
+@query(f"""WITH r AS (SELECT vec_id AS key, label AS grp, embedding::DOUBLE[] AS v FROM embeddings),
+{sql_kmeans(5, 3)},
+fit AS (SELECT r.grp, arg_min(label, list_distance(v, center)) AS label, min(list_distance(v, center)) AS gap
+   FROM r JOIN centers USING (grp) GROUP BY key, r.grp)
+SELECT grp, label, count(*) AS n, round(sum(gap * gap), 3) AS inertia FROM fit GROUP BY ALL""")
 def fitted_clusters(spark, sf_dir):
     """Mini-batch k-means per label: cluster sizes and inertia."""
     vectors = _vectors(spark, sf_dir)
     centroids = clusters.fit_clusters(vectors, "vec_id", "grp", "embedding", k=5, batches=3)
     labelled = clusters.assign_clusters(vectors, centroids, "vec_id", "grp", "embedding")
-    gaps = F.zip_with("embedding", "center", lambda a, b: (a - b) * (a - b))
-    distance = F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)
-    return (
-        labelled.join(centroids, ["grp", "label"])
-        .groupBy("grp", "label")
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(distance), 3).alias("inertia"))
-    )
-
-
-@query()
+    return labelled.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("gap"), 3).alias("inertia"))
+
+
+@query(f"""WITH {fx.SQL_CHUNKS}, l AS (SELECT lang, id_stem FROM stems GROUP BY ALL HAVING count(*) > 1),
+heads AS (SELECT s.lang, s._id, s.title, s.url, embedding::DOUBLE[] AS v FROM stems s SEMI JOIN l USING (lang, id_stem)
+   JOIN embeddings e ON e.vec_id::VARCHAR = split_part(s._id, '_', 2) WHERE s._id LIKE '%\\_0' ESCAPE '\\'),
+r AS (SELECT _id AS key, lang AS grp, v FROM heads),
+{sql_kmeans(8, 2)},
+own AS (SELECT h._id, arg_min(label, list_distance(v, center)) AS label FROM heads h JOIN centers c ON c.grp = h.lang GROUP BY h._id),
+alone AS (SELECT _id, row_number() OVER (ORDER BY lang, _id) - 1 AS label FROM heads h
+   WHERE lang NOT IN (SELECT grp FROM centers))
+SELECT lang, title, label, url FROM heads JOIN (SELECT * FROM own UNION ALL SELECT * FROM alone) USING (_id)""")
 def clustered_titles(spark, sf_dir):
     """Long articles with vectors, clustered per language in one job."""
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("_v"), F.col("embedding").alias("emb"))

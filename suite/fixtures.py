@@ -26,6 +26,11 @@ def sql_hash(keys: str, seed: str = "0") -> str:
     return f"md5(concat_ws('|', {keys}, '{seed}'))"
 
 
+def sql_uniform(keys: str, seed: str) -> str:
+    """``draws.uniform`` as SQL."""
+    return f"((('0x' || substr(md5(concat_ws('|', {keys}, '{seed}')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
+
+
 def sql_bin(x: str, lo: str, width: str, bins: int) -> str:
     """Equal-width bin number as SQL, exact at the edges."""
     guess = f"least(floor(({x} - {lo}) / ({width})), {bins - 1})"

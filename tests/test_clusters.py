@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from lingmill.operators import articles, clusters
+from lingmill.operators import articles, clusters, sampling
 
 SCHEMA = "k long, g string, v array<float>"
 
@@ -22,9 +22,13 @@ def blobs(spark, per_blob=60):
 
 
 def inertia(df, centroids):
-    labelled = clusters.assign_clusters(df, centroids, "k", "g", "v").join(centroids, ["g", "label"])
-    gaps = F.zip_with("v", "center", lambda a, b: (a - b) * (a - b))
-    return labelled.agg(F.sum(F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x)).alias("i")).first().i
+    gaps = clusters.assign_clusters(df, centroids, "k", "g", "v").groupBy("g").agg(F.sum("gap").alias("i"))
+    return {r.g: r.i for r in gaps.collect()}
+
+
+def random_start(df, k, seed):
+    drawn = sampling.sample_per_group(df, ["g"], ["k"], k, f"random-{seed}", rank="_place")
+    return drawn.select("g", (F.col("_place") - 1).cast("long").alias("label"), F.col("v").cast("array<double>").alias("center"))
 
 
 def test_fit_uses_every_row_once_and_improves(spark):
@@ -33,8 +37,8 @@ def test_fit_uses_every_row_once_and_improves(spark):
     weights = {r.g: r.w for r in fitted.groupBy("g").agg(F.sum("weight").alias("w")).collect()}
     assert weights == {"aa": 180.0, "bb": 180.0}
     assert fitted.count() == 16
-    start = clusters.initial_centroids(df.where("g <> 'tiny'"), "k", "g", "v", 8, 0)
-    assert inertia(df, fitted) < inertia(df, start)
+    start = inertia(df, random_start(df.where("g <> 'tiny'"), 8, 0))
+    assert all(i < start[g] for g, i in inertia(df, fitted).items())
 
 
 def test_fit_is_repeatable(spark):
@@ -63,13 +67,70 @@ def test_labels_are_nearest_and_small_groups_stand_alone(spark):
             assert gaps[r.label] <= min(gaps.values()) + 1e-9
 
 
-def test_both_ways_of_assigning_agree(spark):
+def test_blocks_of_centres_change_nothing(spark):
     df = blobs(spark)
     fitted = clusters.fit_clusters(df, "k", "g", "v", k=5, batches=1)
-    near = clusters.assign_clusters(df, fitted, "k", "g", "v")
-    far = clusters.assign_clusters(df, fitted, "k", "g", "v", broadcast_bytes=0, chunk_rows=17)
-    assert {(r.k, r.label) for r in near.collect()} == {(r.k, r.label) for r in far.collect()}
-    assert near.columns == far.columns
+    one = clusters.assign_clusters(df, fitted, "k", "g", "v")
+    more = clusters.assign_clusters(df, fitted, "k", "g", "v", block_bytes=200)
+    assert {tuple(r) for r in one.collect()} == {tuple(r) for r in more.collect()}
+    assert one.columns == more.columns == ["k", "g", "label", "gap"]
+
+
+def test_seeding_is_no_worse_than_a_random_start_on_any_label(spark):
+    """Many blobs of unequal size: a random start misses small ones, k-means|| does not."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for g in "abcd":
+        for blob, size in enumerate([300, 120, 60, 30, 12, 6]):
+            center = rng.normal(scale=8, size=5)
+            rows += [(len(rows) + i, g, [float(x) for x in center + rng.normal(scale=0.3, size=5)]) for i in range(size)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    seeded = inertia(df, clusters.initial_centroids(df, "k", "g", "v", 8, 0))
+    for seed in range(3):
+        drawn = inertia(df, random_start(df, 8, seed))
+        assert all(seeded[g] <= drawn[g] for g in "abcd")
+
+
+def test_sums_add_up_in_the_task(spark):
+    df = blobs(spark)
+    centers = random_start(df.where("g <> 'tiny'"), 4, 1)
+    sums = {(r.g, r.label): (np.array(r.total), r.n) for r in clusters.sums_per_center(df, centers, "g", "v").collect()}
+    wanted = {}
+    vectors = {r.k: np.array(r.v) for r in df.collect()}
+    for r in clusters.assign_clusters(df, centers, "k", "g", "v").collect():
+        total, n = wanted.get((r.g, r.label), (0, 0))
+        wanted[r.g, r.label] = (total + vectors[r.k], n + 1)
+    assert sums.keys() == wanted.keys()
+    assert all(np.allclose(sums[c][0], wanted[c][0]) and sums[c][1] == wanted[c][1] for c in sums)
+
+
+def test_at_most_one_row_a_centre_leaves_a_task(spark):
+    df = blobs(spark, 400).coalesce(2)
+    centers = random_start(df.where("g <> 'tiny'"), 3, 1)
+    sums = clusters.sums_per_center(df, centers, "g", "v")
+    written = [p for p in sums._jdf.inputFiles()]
+    assert spark.read.parquet(*written).count() <= 2 * 2 * 3
+
+
+def test_starved_centres_move_to_rows_of_the_batch(spark):
+    rows = blobs(spark).where("g = 'aa'")
+    center = spark.createDataFrame(
+        [("aa", 0, [10.0, 0.0, 0.0, 0.0, 0.0, 0.0], 100.0), ("aa", 1, [0.0, 10.0, 0.0, 0.0, 0.0, 0.0], 20.0), ("aa", 2, [99.0] * 6, 0.0), ("bb", 0, [1.0] * 6, 5.0)],
+        "g string, label long, center array<double>, weight double",
+    )
+    moved = {(r.g, r.label): (r.center, r.weight) for r in clusters.replace_starved(rows, center, "k", "g", "v", "t").collect()}
+    vectors = {tuple(np.float64(np.float32(x)) for x in r.v) for r in rows.collect()}
+    assert tuple(moved["aa", 2][0]) in vectors and moved["aa", 2][1] == 20.0
+    assert moved["aa", 0] == ([10.0, 0.0, 0.0, 0.0, 0.0, 0.0], 100.0) and moved["bb", 0][1] == 5.0
+    few = rows.limit(1)
+    assert {tuple(r.center) for r in clusters.replace_starved(few, center, "k", "g", "v", "t").collect()} >= {(99.0,) * 6}
+
+
+def test_fewer_different_vectors_than_centres(spark):
+    df = spark.createDataFrame([(i, "a", [float(i % 3), 0.0]) for i in range(60)], SCHEMA)
+    fitted = clusters.fit_clusters(df, "k", "g", "v", k=5, batches=2)
+    assert sorted(tuple(np.round(r.center, 9)) for r in fitted.collect()) == [(0.0, 0.0), (1.0, 0.0), (2.0, 0.0)]
+    assert clusters.label_rows(df, fitted, "k", "g", "v").groupBy("label").count().count() == 3
 
 
 def test_from_chunks_to_articles(spark):
