@@ -138,10 +138,11 @@ def stretches(data: bytes) -> Iterator[tuple[int, bytes]]:
 
 
 def identity(text: Column) -> dict[str, Column]:
-    """Two halves of 128 bits of a text's SHA-256, by which equal texts are known."""
+    """Two halves of 128 bits of a text's SHA-256, by which equal texts are known; never null."""
     digest = F.sha2(text, 256)
     return {
-        f"t{half + 1}": F.conv(F.substring(digest, 16 * half + 1, 16), 16, -10).cast("long") for half in range(2)
+        f"t{half + 1}": F.coalesce(F.conv(F.substring(digest, 16 * half + 1, 16), 16, -10).cast("long"), F.lit(0))
+        for half in range(2)
     }
 
 
@@ -252,33 +253,41 @@ def compared(rows: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def located_windows(texts: DataFrame) -> DataFrame:
-    """The windows whose representative the automata locate; ``texts`` has nil, order, t1,
-    text and ``places``, the packed places of the text's confirmed representatives."""
+def located_windows(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """The windows whose representative the automata locate. ``rows`` have a text's identity
+    (__t1, __t2), its smallest key (__nil, __order), and ``__places``, the packed places of its confirmed
+    representatives. Of the rows of one text, those of the smallest key count, and once."""
 
-    def parts_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         """(identity, number of the first word, words, places, first windows, further windows)
         of every stretch that holds a confirmed representative."""
-        names = zip(*(batch.column(c).to_pylist() for c in ("nil", "order", "t1")))
-        for name, text, places in zip(names, batch.column("text"), batch.column("places")):
-            packed = np.sort(places.values.to_numpy())
-            number, back, more = packed >> 2 * BITS, packed >> BITS & (1 << BITS) - 1, packed & (1 << BITS) - 1
-            for begin, part in stretches(text.as_py().encode()):
-                words = part.split()
-                first = number - back - begin
-                here = (first >= 0) & (first + more + WINDOW <= len(words))
-                if here.any():
-                    yield name, begin, words, number[here] - begin, first[here], more[here]
+        before = None
+        for batch in slices(batches, text=text, size=SHARD_BYTES):
+            names = zip(*(batch.column(c).to_pylist() for c in ("__nil", "__order", "__t1", "__t2")))
+            for own, (nil, order, t1, t2), one, places in zip(
+                batch.column(key).to_pylist(), names, batch.column(text), batch.column("__places")
+            ):
+                # Rows of a text follow each other.
+                if (own is None) != bool(nil) or (own or 0) != order or (t1, t2) == before:
+                    continue
+                before = (t1, t2)
+                packed = np.sort(places.values.to_numpy())
+                number, back, more = packed >> 2 * BITS, packed >> BITS & (1 << BITS) - 1, packed & (1 << BITS) - 1
+                for begin, part in stretches((one.as_py() or "").encode()):
+                    words = part.split()
+                    first = number - back - begin
+                    here = (first >= 0) & (first + more + WINDOW <= len(words))
+                    if here.any():
+                        yield (nil, order, t1), begin, words, number[here] - begin, first[here], more[here]
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         held, size = [], 0
-        for batch in slices(batches, text="text", size=SHARD_BYTES):
-            for part in parts_of(batch):
-                held.append(part)
-                size += sum(map(len, part[2]))
-                if size >= SHARD_BYTES:
-                    yield held
-                    held, size = [], 0
+        for part in parts_of(batches):
+            held.append(part)
+            size += sum(map(len, part[2]))
+            if size >= SHARD_BYTES:
+                yield held
+                held, size = [], 0
         if held:
             yield held
 
@@ -302,7 +311,7 @@ def located_windows(texts: DataFrame) -> DataFrame:
         if held:
             yield compared(np.concatenate(held))
 
-    return texts.select("nil", "order", "t1", "text", "places").mapInArrow(run, WINDOW_SCHEMA)
+    return rows.mapInArrow(run, WINDOW_SCHEMA)
 
 
 def cut(text: bytes, places: np.ndarray, whole: bool) -> tuple[int, int, bytes]:
@@ -335,19 +344,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows that share a key count as one document: windows at the same place are neither's
     earlier one. Repeated rows give repeated results, an empty table none. Columns of
     ``docs`` named n_words, n_removed or kept are replaced; it may not have the names __t1, __t2,
-    __places, __packed, __first and __whole.
+    __nil, __order, __places, __packed, __first and __whole.
 
-    Texts are exchanged twice: one of each to the places of confirmed phrases, and every row to
-    what is removed from it. All work follows the size of the texts; a hot phrase or window is a partial
+    Rows are exchanged once, by their texts: to meet the places of confirmed phrases, and again
+    what is removed from them. All work follows the size of the texts; a hot phrase or window is a partial
     aggregate or a join that adaptive execution splits.
     """
     whole_text = F.coalesce(F.col(text), F.lit(""))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
-    row = {
-        "nil": F.when(F.col(key).isNull(), 1).otherwise(0).cast("long"), "order": F.coalesce(F.col(key).cast("long"), F.lit(0)),
-        **identity(whole_text),
-    }
-    source = docs.select(whole_text.alias("text"), *(c.alias(n) for n, c in row.items()))
+    nil = F.when(F.col(key).isNull(), 1).otherwise(0).cast("long")
+    order = F.coalesce(F.col(key).cast("long"), F.lit(0))
+    source = docs.select(whole_text.alias("text"), nil.alias("nil"), order.alias("order"), *(c.alias(n) for n, c in identity(whole_text).items()))
     at = F.struct("nil", "order")
     known_texts = settle(source.groupBy("t1", "t2").agg(F.min(at).alias("at"), F.max(at).alias("last")), "texts")
     places = settle_compressed(representative_places(source), "places")
@@ -358,20 +365,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
     confirmed = places.join(recurring, "hash").groupBy("t1").agg(F.collect_set("place").alias("places"))
     spread = settle(confirmed.join(known_texts, "t1").select("t1", "t2", "at.*", "places"), "confirmed")
-    # Grouped by their identity, copies of a text are exchanged once a task.
-    texts = source.groupBy("t1", "t2").agg(F.first("text").alias("text")).join(spread, ["t1", "t2"])
+    # Both joins below exchange the same rows by the same columns: Spark does so once.
+    rows = docs.select(*names, *(c.alias(f"__{n}") for n, c in identity(whole_text).items()))
+    texts = rows.join(spread.withColumnsRenamed({c: f"__{c}" for c in spread.columns}), ["__t1", "__t2"])
     packed = F.col("later").isNotNull()
     among = Window.partitionBy("high", "low", packed).orderBy("nil", "order", "place")
-    later = located_windows(texts).withColumn("rank", F.rank().over(among)).where(packed | (F.col("rank") > 1))
+    later = located_windows(texts, key, text).withColumn("rank", F.rank().over(among)).where(packed | (F.col("rank") > 1))
     place = F.when(F.col("later").isNull(), F.col("place"))
     windows = later.groupBy("t1", "nil", "order").agg(F.collect_set(place).alias("__places"), F.collect_set("later").alias("__packed"))
     # A text loses its windows, and its later copies all words.
     removed = known_texts.select("t1", "t2", "at.*", "at", "last").join(windows, ["t1", "nil", "order"], "left").where(
         "__places is not null or at <> last"
     ).select(F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), "__places", "__packed", F.col("at").alias("__first"))
-    own = identity(whole_text)
-    tied = docs.select(*names, own["t1"].alias("__t1"), own["t2"].alias("__t2")).join(removed, ["__t1", "__t2"], "left")
-    copied = F.struct(row["nil"].alias("nil"), row["order"].alias("order")) > F.col("__first")
+    tied = rows.join(removed, ["__t1", "__t2"], "left")
+    copied = F.struct(nil.alias("nil"), order.alias("order")) > F.col("__first")
     schema = T.StructType([
         *(docs.schema[c] for c in names), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("kept", T.StringType()),
