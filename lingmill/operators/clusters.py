@@ -2,87 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lingmill import fixed
 from lingmill.functions import draws
 from lingmill.operators import sampling
-from lingmill.operators.dedup import matrix
+from lingmill.operators.vectors import BLOCK_BYTES, Known, against_centers, by_group, matrix, nearest
 from lingmill.session import settle
 
-# Centres that tasks hold at a time; more are met block by block, a block holding whole groups.
-BLOCK_BYTES = 256 * 1024 * 1024
-# Rows whose distances to all centres are held at a time.
-TILE_ROWS = 1_024
 # Rounds of seeding, and rows that a round is expected to draw, as a multiple of k.
 SEED_ROUNDS = 3
 OVERSAMPLING = 2
 # Centres with less than this share of their group's largest weight are starved.
 STARVED_SHARE = 0.01
 
-Known = dict[object, tuple[np.ndarray, np.ndarray]]
-Work = Callable[[Iterator[pa.RecordBatch], Known], Iterator[pa.RecordBatch]]
-
-
-def nearest(vectors: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the centre with the smallest Euclidean distance, first on ties, and its square."""
-    halves = 0.5 * (centers * centers).sum(axis=1)
-    found = np.empty(len(vectors), dtype=np.int64)
-    gaps = np.empty(len(vectors))
-    for at in range(0, len(vectors), TILE_ROWS):
-        rows = slice(at, at + TILE_ROWS)
-        found[rows] = np.argmin(halves[None, :] - vectors[rows] @ centers.T, axis=1)
-        gaps[rows] = ((vectors[rows] - centers[found[rows]]) ** 2).sum(axis=1)
-    return found, gaps
-
-
-def by_group(batch: pa.RecordBatch, group: str, known: Known) -> Iterator[tuple[object, np.ndarray]]:
-    """(group, row numbers) for the groups of a batch that have centres."""
-    coded = pc.dictionary_encode(batch.column(group))
-    codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-    order = np.argsort(codes, kind="stable")
-    ends = np.searchsorted(codes[order], np.arange(len(coded.dictionary) + 1))
-    for code, name in enumerate(coded.dictionary.to_pylist()):
-        if name in known:
-            yield name, order[ends[code] : ends[code + 1]]
-
-
-def against_centers(
-    df: DataFrame, centers: DataFrame, group: str, work: Work, schema: T.StructType, label: str, block_bytes: int
-) -> DataFrame:
-    """What ``work`` makes of the rows and the centres of their groups, written to a table.
-
-    The centres' total size is measured; groups are dealt into blocks of about
-    ``block_bytes`` of centres, usually one. A block is sent to the executors, meets the
-    rows of its groups where they are, and is taken back once the result is written.
-    """
-    cells = centers.agg(F.sum(F.size("center")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-cells * 8 // block_bytes))
-    out = []
-    for number in range(blocks):
-        here = F.pmod(F.xxhash64(group), F.lit(blocks)) == number
-        own, rows = (centers.where(here), df.where(here)) if blocks > 1 else (centers, df)
-        table = own.select(group, "label", "center").sort(group, "label").toArrow()
-        known: Known = {}
-        for name in table[group].unique().to_pylist():
-            part = table.filter(pc.equal(table[group], name))
-            known[name] = (part["label"].to_numpy(), matrix(part["center"]))
-        shared = df.sparkSession.sparkContext.broadcast(known)
-        out.append(settle(rows.mapInArrow(lambda batches, shared=shared: work(batches, shared.value), schema), label))
-        shared.unpersist()
-    return reduce(DataFrame.unionAll, out)
-
-
 def assign_clusters(
     df: DataFrame, centroids: DataFrame, key: str, group: str, vector: str, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -162,8 +103,10 @@ def draw_candidates(df: DataFrame, key: str, group: str, vector: str, k: int, se
     candidates = settle(drawn.withColumn("label", F.lit(0).cast("long")), "candidates")
 
     def numbered(keys: DataFrame, start: int) -> DataFrame:
+        # About OVERSAMPLING * k rows of a group.
+        place = F.row_number().over(Window.partitionBy(group).orderBy(key))
         found = rows.join(settle(keys, "drawn-keys"), key, "left_semi")
-        return settle(sampling.with_row_index(found, [group, key], "label").withColumn("label", F.col("label") + start), "candidates")
+        return settle(found.withColumn("label", place.cast("long") + start), "candidates")
 
     for number in range(rounds):
         gaps = assign_clusters(rows, candidates, key, group, "center")
@@ -171,8 +114,10 @@ def draw_candidates(df: DataFrame, key: str, group: str, vector: str, k: int, se
         chance = draws.uniform([F.col(key)], f"round-{number}-{seed}") * F.col("_unit")
         keys = gaps.join(sums, group).where(chance < F.col("gap")).select(key)
         candidates = candidates.unionByName(numbered(keys, (number + 1) << 40))
-    short = candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < k).select(group)
-    lacking = rows.select(key, group).join(settle(short, "short-groups"), group, "left_semi")
+    short = settle(candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < k).select(group), "short-groups")
+    if short.isEmpty():
+        return candidates
+    lacking = rows.select(key, group).join(short, group, "left_semi")
     extra = sampling.sample_per_group(lacking, [group], [key], k, f"center-{seed}").join(candidates.select(key), key, "left_anti")
     return candidates.unionByName(numbered(extra.select(key), (rounds + 1) << 40))
 
