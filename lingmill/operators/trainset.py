@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, insort
+from collections.abc import Iterator, Mapping, Sequence
+from heapq import heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lingmill import fixed
 from lingmill.functions import draws, messages
-
-PACK_ROWS = 50_000
+from lingmill.operators import sampling
 
 
 def is_validation(key: Sequence[str], seed: int | str = 0, percent: int = fixed.VALIDATION_PERCENT) -> Column:
@@ -84,56 +85,77 @@ def with_problems(
     )
 
 
-def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Bin number per item; items longer than the capacity get bins of their own.
+def pack_lengths(counts: Mapping[int, int], capacity: int) -> list[tuple[int, int, int]]:
+    """How rows of each length go into bins, best fit first, without looking at any row.
 
-    Items must come longest first. A max-tree over the bins' free space finds the
-    first bin that fits in logarithmic time.
+    ``counts`` holds the number of rows per length, from 1 to ``capacity``. The result has
+    (rows, rows a bin, first bin) in the order of the rows, longest first: the next
+    ``rows`` of them fill bins from ``first bin`` on, so many a bin. A row goes to the bin with the least
+    space that still takes it, the first of equal ones. Bins of equal space are moved together,
+    so the work follows the number of different lengths, not of rows.
     """
-    count = len(lengths)
-    width = 1 << max(0, (count - 1).bit_length())
-    free = np.full(2 * width, capacity, dtype=np.int64)
-    bins = np.empty(count, dtype=np.int64)
-    for i, length in enumerate(np.minimum(lengths, capacity)):
-        node = 1
-        while node < width:
-            node *= 2
-            if free[node] < length:
-                node += 1
-        bins[i] = node - width
-        free[node] -= length
-        while node > 1:
-            node //= 2
-            free[node] = max(free[2 * node], free[2 * node + 1])
-    return bins
-
-
-def pack(
-    df: DataFrame,
-    key: str,
-    tokens: str,
-    capacity: int = fixed.PACK_LENGTHS[0],
-    rows_per_bucket: int = PACK_ROWS,
-    buckets: int | None = None,
-) -> DataFrame:
-    """``key, tokens, bucket, bin``: rows assigned to sequences of ``capacity`` tokens.
-
-    Rows fall into ``buckets`` by key hash; each bucket is packed first-fit-decreasing in
-    one task. Give their number to keep rows where they are as the table grows; otherwise
-    rows are counted and a bucket has about ``rows_per_bucket``. A row longer than the
-    capacity gets a bin of its own.
+    spaces: list[int] = []
+    open_bins: dict[int, list[tuple[int, int]]] = {}
+
+    def leave(space: int, first: int, many: int) -> None:
+        if space and many:
+            if space not in open_bins:
+                insort(spaces, space)
+                open_bins[space] = []
+            heappush(open_bins[space], (first, many))
+
+    plan, used = [], 0
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect_left(spaces, length)
+            if at < len(spaces):
+                space = spaces[at]
+                first, many = heappop(open_bins[space])
+                if not open_bins[space]:
+                    del open_bins[space], spaces[at]
+            else:
+                space, first = capacity, used
+                many = -(-left // (capacity // length))
+                used += many
+            each = space // length
+            full = min(left // each, many)
+            rest = min(left - full * each, each - 1) if full < many else 0
+            if full:
+                plan.append((full * each, each, first))
+                leave(space - each * length, first, full)
+            if rest:
+                plan.append((rest, rest, first + full))
+                leave(space - rest * length, first + full, 1)
+            done = full + (1 if rest else 0)
+            leave(space, first + done, many - done)
+            left -= full * each + rest
+    return plan
+
+
+def pack(df: DataFrame, key: str, tokens: str, capacity: int = fixed.PACK_LENGTHS[0], seed: int | str = 0) -> DataFrame:
+    """``key, tokens, bin``: rows assigned to sequences of ``capacity`` tokens.
+
+    No two bins would fit into one. Rows are counted by length, at most ``capacity`` lengths; these counts
+    are packed (``pack_lengths``), and rows of one length take the places planned for
+    it in the order of a hash of their keys. A row longer than the capacity gets a bin of its
+    own; one of no tokens, or of an unknown number, takes the place of one token.
     """
-    rows = df.select(key, F.col(tokens).cast("long").alias(tokens))
-    if buckets is None:
-        buckets = max(1, -(-rows.count() // rows_per_bucket))
-    spread = rows.withColumn("bucket", draws.draw_below([F.col(key)], "pack", buckets))
-    schema = T.StructType(
-        [*spread.schema.fields, T.StructField("bin", T.LongType())]
+    size = F.least(F.greatest(F.coalesce(F.col("_tokens"), F.lit(0)), F.lit(1)), F.lit(capacity))
+    rows = df.select(key, F.col(tokens).cast("long").alias("_tokens")).select(key, "_tokens", (-size).alias("_size"))
+    counts = {-r["_size"]: r["n"] for r in rows.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
+    plan = np.array(pack_lengths(counts, capacity), dtype=np.int64).reshape(-1, 3)
+    starts = np.cumsum(plan[:, 0]) - plan[:, 0]
+    ordered = sampling.with_row_index(
+        rows.withColumn("_hash", draws.order_hash([F.col(key)], f"pack-{seed}")), ["_size", "_hash", key], "_index"
     )
+    schema = T.StructType([df.schema[key], T.StructField(tokens, T.LongType()), T.StructField("bin", T.LongType())])
 
-    def place(bucket: pd.DataFrame) -> pd.DataFrame:
-        ordered = bucket.sort_values([tokens, key], ascending=[False, True], kind="stable")
-        ordered["bin"] = first_fit_decreasing(ordered[tokens].to_numpy(), capacity)
-        return ordered
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index = batch.column("_index").to_numpy()
+            step = np.searchsorted(starts, index, side="right") - 1
+            bins = plan[step, 2] + (index - starts[step]) // plan[step, 1]
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("_tokens"), pa.array(bins)], schema.names)
 
-    return spread.groupBy("bucket").applyInPandas(place, schema)
+    return ordered.select(key, "_tokens", "_index").mapInArrow(place, schema)

@@ -58,18 +58,54 @@ def first_exchange_problems(spark, sf_dir):
     return judged.select("conv_id", F.col("conversation")[0]["role"].alias("first_role"), "problem")
 
 
-@query()
+SQL_TOKENS = r"docs AS (SELECT doc_id, len(regexp_extract_all(text, '\w+|[^\w\s]'))::BIGINT AS tokens FROM documents)"
+CAPACITY = fixed.PACK_LENGTHS[0]
+# Best fit, one row after the other: the space left in each bin is carried along.
+SQL_PACKED = f"""{SQL_TOKENS},
+rows AS MATERIALIZED (SELECT doc_id, tokens, least(greatest(tokens, 1), {CAPACITY}) AS size,
+   row_number() OVER (ORDER BY least(greatest(tokens, 1), {CAPACITY}) DESC, {fx.sql_hash('doc_id', 'pack-0')}, doc_id) AS n FROM docs),
+packing(n, free, bin) AS (SELECT 0::BIGINT, []::BIGINT[], 0::BIGINT UNION ALL
+   SELECT n, CASE WHEN best IS NULL THEN list_append(free, {CAPACITY} - size)
+     ELSE list_concat(free[:bin], [best - size], free[bin + 2:]) END, bin
+   FROM (SELECT n, size, free, best, CASE WHEN best IS NULL THEN len(free) ELSE list_position(free, best) - 1 END AS bin
+     FROM (SELECT r.n, r.size, p.free, list_min(list_filter(p.free, lambda x: x >= r.size)) AS best
+       FROM packing p JOIN rows r ON r.n = p.n + 1))),
+bins AS (SELECT doc_id, tokens, bin FROM rows JOIN packing USING (n))"""
+
+
+def _packed(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("tokens"))
+    return trainset.pack(docs, "doc_id", "tokens", CAPACITY)
+
+
+@query(f"WITH RECURSIVE {SQL_PACKED} SELECT doc_id, tokens, bin FROM bins")
 def packed_sequences(spark, sf_dir):
     """Documents packed into 8,192-token sequences."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("tokens"))
-    return trainset.pack(docs, "doc_id", "tokens")
+    return _packed(spark, sf_dir)
 
 
-@query(r"""SELECT doc_id, len(regexp_extract_all(text, '\w+|[^\w\s]'))::BIGINT AS tokens FROM documents""")
+@query(f"WITH RECURSIVE {SQL_PACKED} SELECT bin, count(*) AS n_rows, sum(tokens)::BIGINT AS n_tokens FROM bins GROUP BY bin")
 def packed_rows(spark, sf_dir):
-    """Packing keeps every row and its length."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("tokens"))
-    return trainset.pack(docs, "doc_id", "tokens", rows_per_bucket=200).select("doc_id", "tokens")
+    """Rows and tokens of every bin."""
+    return _packed(spark, sf_dir).groupBy("bin").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("tokens").alias("n_tokens"))
+
+
+@query(f"""WITH {SQL_TOKENS} SELECT count(*) AS n_rows, sum(tokens)::BIGINT AS n_tokens, 0::BIGINT AS n_overfull,
+false AS mergeable FROM docs""")
+def packed_bins(spark, sf_dir):
+    """What packing promises: no bin of several rows overflows, no two bins fit into one."""
+    bins = _packed(spark, sf_dir).groupBy("bin").agg(
+        F.sum("tokens").alias("tokens"), F.sum(F.greatest("tokens", F.lit(1))).alias("used"), F.count(F.lit(1)).alias("n")
+    )
+    # If any two bins fit into one, the two emptiest do.
+    emptiest = bins.orderBy("used", "bin").limit(2).agg(F.sum("used").alias("least"), F.count(F.lit(1)).alias("two"))
+    totals = bins.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("tokens").alias("n_tokens"),
+        F.count_if((F.col("used") > CAPACITY) & (F.col("n") > 1)).alias("n_overfull"),
+    )
+    mergeable = (F.col("two") == 2) & (F.col("least") <= CAPACITY)
+    return totals.join(emptiest).select("n_rows", "n_tokens", "n_overfull", mergeable.alias("mergeable"))
 
 
 @query("""SELECT conv_id, turn, role = 'assistant' AS train, length(text) AS n FROM conversations""")
@@ -82,28 +118,6 @@ def turn_loss_mask(spark, sf_dir):
     return masked.select("conv_id", "turn", "m.train", F.length("m.value").cast("long").alias("n"))
 
 
-@query(f"""SELECT {fx.sql_draw('doc_id', 'pack', 16)} AS bucket, count(*) AS n_rows,
-sum(len(regexp_extract_all(text, '\\w+|[^\\w\\s]')))::BIGINT AS n_tokens, 0::BIGINT AS n_overfull, 0::BIGINT AS n_mergeable
-FROM documents GROUP BY 1""")
-def packed_bins(spark, sf_dir):
-    """What packing promises per bucket: no bin of several rows overflows, no two bins fit into one."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", text.word_count(F.col("text")).alias("tokens"))
-    capacity = fixed.PACK_LENGTHS[0]
-    bins = trainset.pack(docs, "doc_id", "tokens", capacity, buckets=16).groupBy("bucket", "bin").agg(
-        F.sum("tokens").alias("used"), F.count(F.lit(1)).alias("n")
-    )
-    emptiest = Window.partitionBy("bucket").orderBy("used", "bin")
-    # If any two bins fit into one, the two emptiest do.
-    together = F.col("used") + F.lag("used").over(emptiest)
-    second = F.row_number().over(emptiest) == 2
-    return bins.withColumn("mergeable", second & (together <= capacity)).groupBy("bucket").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum("used").alias("n_tokens"),
-        F.count_if((F.col("used") > capacity) & (F.col("n") > 1)).alias("n_overfull"),
-        F.count_if("mergeable").alias("n_mergeable"),
-    )
-
-
 @query("""SELECT doc_id, length(text)::DOUBLE AS n_chars, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS n_e
 FROM documents""")
 def embedded_texts(spark, sf_dir):

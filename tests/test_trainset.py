@@ -1,5 +1,9 @@
+import time
+from collections import Counter
+
 import numpy as np
-import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lingmill.operators import trainset
@@ -7,38 +11,58 @@ from lingmill.sources import nesting
 
 
 def naive(lengths, capacity):
+    """Best fit, one length after the other."""
     free, bins = [], []
-    for n in (min(x, capacity) for x in lengths):
-        for b, room in enumerate(free):
-            if room >= n:
-                break
-        else:
-            b = len(free)
+    for n in lengths:
+        rooms = [(room, b) for b, room in enumerate(free) if room >= n]
+        b = min(rooms)[1] if rooms else len(free)
+        if not rooms:
             free.append(capacity)
         free[b] -= n
         bins.append(b)
     return bins
 
 
-@pytest.mark.parametrize("count", [0, 1, 2, 7, 64, 500])
-def test_first_fit_equals_the_naive_search(count):
-    rng = np.random.default_rng(count)
-    lengths = np.sort(rng.integers(0, 130, count))[::-1]
-    assert trainset.first_fit_decreasing(lengths, 100).tolist() == naive(lengths, 100)
+def planned(lengths, capacity):
+    plan = trainset.pack_lengths(Counter(lengths), capacity)
+    return [first + i // each for rows, each, first in plan for i in range(rows)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=60), st.integers(30, 40))
+def test_packing_counts_equals_packing_rows(lengths, capacity):
+    lengths = sorted(lengths, reverse=True)
+    assert planned(lengths, capacity) == naive(lengths, capacity)
+
+
+def test_ten_million_lengths_are_packed_by_their_counts():
+    rng = np.random.default_rng(1)
+    lengths, counts = np.unique(np.minimum(rng.geometric(1 / 900, 10_000_000), 8192), return_counts=True)
+    before = time.monotonic()
+    plan = np.array(trainset.pack_lengths(dict(zip(lengths.tolist(), counts.tolist())), 8192))
+    assert time.monotonic() - before < 20
+    assert plan[:, 0].sum() == 10_000_000
+    used = np.zeros(int((plan[:, 2] + -(-plan[:, 0] // plan[:, 1])).max()), dtype=np.int64)
+    sizes = np.repeat(lengths[::-1], counts[::-1])
+    bins = np.repeat(plan[:, 2], plan[:, 0]) + (np.arange(10_000_000) - np.repeat(np.cumsum(plan[:, 0]) - plan[:, 0], plan[:, 0])) // np.repeat(plan[:, 1], plan[:, 0])
+    np.add.at(used, bins, sizes)
+    assert used.max() <= 8192 and np.sort(used)[:2].sum() > 8192
+    assert used.sum() / (8192 * len(used)) > 0.99
 
 
 def test_packing_keeps_rows_and_capacity(spark):
-    df = spark.range(3000).select("id", (F.pmod(F.xxhash64("id"), F.lit(900)) + 1).alias("n"))
-    packed = trainset.pack(df, "id", "n", 800, rows_per_bucket=400).collect()
-    assert sorted((r.id, r.n) for r in packed) == sorted((r.id, r.n) for r in df.collect())
+    size = F.when(F.col("id") < 1000, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(900)))
+    df = spark.range(3000).select("id", F.when(F.col("id") % 500 > 0, size).alias("n"))
+    packed = trainset.pack(df, "id", "n", 800).collect()
+    assert Counter((r.id, r.n) for r in packed) == Counter((r.id, r.n) for r in df.collect())
     bins = {}
     for r in packed:
-        bins.setdefault((r.bucket, r.bin), []).append(r.n)
+        bins.setdefault(r.bin, []).append(max(r.n or 0, 1))
     assert all(sum(ns) <= 800 or len(ns) == 1 for ns in bins.values())
-    used = sum(min(n, 800) for ns in bins.values() for n in ns)
-    assert used / (800 * len(bins)) > 0.9
-    again = trainset.pack(df.repartition(9), "id", "n", 800, rows_per_bucket=400).collect()
-    assert sorted(again) == sorted(packed)
+    assert sum(sorted(sum(ns) for ns in bins.values())[:2]) > 800
+    again = trainset.pack(df.repartition(9), "id", "n", 800).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, packed), key=repr)
+    assert trainset.pack(df.limit(0), "id", "n", 800).count() == 0
 
 
 def test_split_is_disjoint_and_about_one_percent(spark):
