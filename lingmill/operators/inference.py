@@ -8,6 +8,7 @@ in the result and never fail the job.
 from __future__ import annotations
 
 import hashlib
+import random
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,10 +21,13 @@ from pyspark.sql import types as T
 from lingmill import fixed, schemas
 from lingmill.functions import messages, templates, text
 from lingmill.operators import ballots, sampling
-from lingmill.session import settle
+from lingmill.sources.journal import Journal
 
 Call = Callable[[Mapping], Mapping]
 
+# By how much of its length a paced wait may be longer.
+JITTER = 0.2
+
 _FIELDS = [f.name for f in schemas.CALL_RESULT.fields]
 _RESULT_TYPE = pa.struct(
     [
@@ -60,14 +64,25 @@ def failing_echo(seed: int = 0, tenths: int = 1) -> Call:
     return call
 
 
-def attempt(call: Call, row: Mapping) -> dict:
-    """One call as a complete result record."""
-    try:
-        got = dict(call(row) or {})
-    except RejectedRequest as refused:
-        got = {"bad_request": str(refused)}
-    except Exception as failed:
-        got = {"error": str(failed)}
+def attempt(call: Call, row: Mapping, retries: int = 0, backoff: float = 1.0) -> dict:
+    """One call as a complete result record.
+
+    A call that fails is tried again up to ``retries`` times, after about ``backoff`` seconds,
+    then twice as many, and so on, each time between half and one and a half of that,
+    so that callers turned away together do not come back together. A refused
+    request is not tried again.
+    """
+    for number in range(retries + 1):
+        try:
+            got = dict(call(row) or {})
+        except RejectedRequest as refused:
+            got = {"bad_request": str(refused)}
+        except Exception as failed:
+            got = {"error": str(failed)}
+            if number < retries:
+                time.sleep(backoff * 2**number * random.uniform(0.5, 1.5))
+                continue
+        break
     return {name: got.get(name) for name in _FIELDS}
 
 
@@ -81,19 +96,28 @@ def run_calls(
     partitions: int | None = None,
     result: str = "result",
     carry: Sequence[str] = (),
+    retries: int = 0,
+    backoff: float = 1.0,
 ) -> DataFrame:
     """``key, carry, result`` for every row; ``call`` sees ``inputs`` and ``key``.
 
     Columns in ``carry`` pass through, which saves a join when the inputs are
     wanted next to their results.
 
-    Each task keeps ``workers`` calls in flight and starts at most ``per_second``
-    of them a second. ``partitions`` spreads rows evenly first, by key.
-    The output is recomputed if read twice: write it, or ``settle`` it, first.
+    Each task keeps ``workers`` calls in flight. ``partitions`` spreads rows evenly first, by
+    key. ``per_second`` bounds the calls that the whole job starts in a second, however
+    many executors it has: rows are spread over ``partitions`` tasks, by default one a core, and each
+    starts its share, every call after a wait of its own length. ``retries`` of a failed call (``attempt``) are
+    not paced, and hold one of the ``workers``. The output is recomputed if read twice: write it, or ``settle`` it, first.
     """
     kept = list(dict.fromkeys([*key, *carry]))
     seen = list(dict.fromkeys([*key, *inputs]))
     narrow = df.select(*dict.fromkeys([*kept, *inputs]))
+    wait = 0.0
+    if per_second:
+        # Never more tasks than shares, so their sum is the limit.
+        partitions = partitions or max(1, df.sparkSession.sparkContext.defaultParallelism)
+        wait = partitions / per_second
     if partitions:
         narrow = sampling.scatter(narrow, key, partitions)
     schema = T.StructType(
@@ -104,15 +128,15 @@ def run_calls(
         if "key" not in row:
             parts = [str(row[k]) for k in key]
             row = {**row, "key": "|".join(parts)}
-        return attempt(call, row)
+        return attempt(call, row, retries, backoff)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for batch in batches:
                 pending = []
                 for row in batch.select(seen).to_pylist():
-                    if per_second:
-                        time.sleep(1.0 / per_second)
+                    if wait:
+                        time.sleep(wait * random.uniform(1.0, 1.0 + JITTER))
                     pending.append(pool.submit(one, row))
                 results = pa.array([p.result() for p in pending], type=_RESULT_TYPE)
                 # Columns that pass through stay Arrow arrays, untouched.
@@ -140,34 +164,55 @@ def fill_failures(first: DataFrame, second: DataFrame, key: Sequence[str], resul
     ).drop("_again")
 
 
+def run_stored(
+    df: DataFrame,
+    key: Sequence[str],
+    call: Call,
+    journal: Journal | None = None,
+    result: str = "result",
+    entry: str = "calls",
+    **options,
+) -> DataFrame:
+    """``run_calls`` through a journal: answers are stored part by part, and read from there.
+
+    Given the journal of a run that did not end, only what is not stored yet is asked.
+    """
+    journal = journal or Journal.fresh(df.sparkSession, entry)
+    return journal.answers(df, key, lambda rows: run_calls(rows, key, call, result=result, **options), entry)
+
+
 def run_with_retry(
-    df: DataFrame, key: Sequence[str], calls: Sequence[Call], result: str = "result", **options
+    df: DataFrame, key: Sequence[str], calls: Sequence[Call], result: str = "result", journal: Journal | None = None, **options
 ) -> DataFrame:
     """One pass per call in ``calls``; each later pass sees only failed rows.
 
-    Every pass is written out, so no call is repeated when results are read.
+    Every pass is an entry of the journal, so no call is repeated when results are read.
     """
-    done = settle(run_calls(df, key, calls[0], result=result, **options), "calls")
-    for call in calls[1:]:
+    journal = journal or Journal.fresh(df.sparkSession, "calls")
+    done = run_stored(df, key, calls[0], journal, result, "pass-1", **options)
+    for number, call in enumerate(calls[1:], 2):
         open_rows = df.join(done.where(failed(result)).select(*key), list(key), "left_semi")
-        again = settle(run_calls(open_rows, key, call, result=result, **options), "calls")
+        again = run_stored(open_rows, key, call, journal, result, f"pass-{number}", **options)
         done = fill_failures(done, again, key, result)
     return done
 
 
 def run_routed(
-    df: DataFrame, key: Sequence[str], model: str, hosted: Call, local: Call, **options
+    df: DataFrame, key: Sequence[str], model: str, hosted: Call, local: Call, journal: Journal | None = None, **options
 ) -> DataFrame:
     """Calls of models with "gpt" in their name go to one function, others to another.
 
-    The input is read once; rows without a model are left out.
+    The input is read once; rows without a model are left out. With a journal, answers are stored in it.
     """
     inputs = (*options.pop("inputs", ("prompt",)), model)
 
     def call(row: Mapping) -> Mapping:
         return hosted(row) if fixed.HOSTED_MODEL_SUBSTRING in row[model] else local(row)
 
-    return run_calls(df.where(F.col(model).isNotNull()), key, call, inputs=inputs, **options)
+    asked = df.where(F.col(model).isNotNull())
+    if journal is None:
+        return run_calls(asked, key, call, inputs=inputs, **options)
+    return run_stored(asked, key, call, journal, inputs=inputs, **options)
 
 
 def answer_map(results: DataFrame, key: Sequence[str], model: str, result: str = "result") -> DataFrame:
@@ -335,11 +380,13 @@ def score_generated(
     call: Call,
     reply: str = "generated_prompt_response",
     template: Mapping[str, str] | None = None,
+    journal: Journal | None = None,
     **options,
 ) -> DataFrame:
     """Add ``filter_response``: the score call's result, or the parse error.
 
-    Rows that did not parse are never sent. One call per row.
+    Rows that did not parse are never sent. One call per row. With a journal, results are
+    stored in it.
     """
     requests = (
         parse_generated(df, reply)
@@ -360,15 +407,10 @@ def score_generated(
             return {"error": row["parse_error"]}
         return call({**row, "system": row["_system"], "prompt": row["_body"]})
 
-    return run_calls(
-        requests,
-        key,
-        guarded,
-        inputs=("_system", "_body", "parse_error"),
-        result="filter_response",
-        carry=df.columns,
-        **options,
-    )
+    work = dict(inputs=("_system", "_body", "parse_error"), result="filter_response", carry=df.columns, **options)
+    if journal is None:
+        return run_calls(requests, key, guarded, **work)
+    return run_stored(requests, key, guarded, journal, entry="scores", **work)
 
 
 def score_fields(content: Column) -> Column:

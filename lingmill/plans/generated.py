@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lingmill.functions import messages
 from lingmill.operators import dedup, detect, filters, inference, prompt_lists
 from lingmill.session import settle
+from lingmill.sources.journal import Journal
 
 
 def request_prompt_lists(
@@ -19,15 +20,16 @@ def request_prompt_lists(
     english_seeds: Sequence[str],
     times: int = 1,
     seed: int = 0,
+    journal: Journal | None = None,
     **options,
 ) -> DataFrame:
     """``language, gen_prompts, finish_reason`` of all requests that succeeded.
 
-    One pass per call; the later ones retry what failed.
+    One pass per call; the later ones retry what failed. Each is an entry of the journal.
     """
     requests = inference.prompt_list_requests(languages, japanese_seeds, english_seeds, times, seed)
     results = inference.run_with_retry(
-        requests, ["language", "repeat_id"], calls, inputs=("system", "shots", "prompt"), **options
+        requests, ["language", "repeat_id"], calls, inputs=("system", "shots", "prompt"), journal=journal, **options
     )
     return inference.flatten_results(results, ["language", "repeat_id"]).withColumnRenamed(
         "content", "gen_prompts"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lingmill import fixed
 from lingmill.operators import articles, inference
 from lingmill.session import settle
+from lingmill.sources.journal import Journal
 
 
 def select_articles(
@@ -32,20 +33,23 @@ def generate_pairs(
     kind: str = "article_pair_by_category",
     key: Sequence[str] = ("language_code", "title"),
     seed: int = 0,
+    journal: Journal | None = None,
     **options,
 ) -> DataFrame:
-    """Articles with ``generated_prompt_response``.
+    """Articles with ``generated_prompt_response``, stored part by part in the journal.
 
     Articles whose language has no name cannot be asked about; ``unnamed_articles`` holds them.
     """
     inputs = articles.generation_inputs(selected, names, key, seed).where("language_name is not null")
     requests = inference.article_requests(inputs, kind)
-    return inference.run_calls(
+    return inference.run_stored(
         requests,
         key,
         call,
+        journal,
         inputs=("system", "prompt"),
         result="generated_prompt_response",
+        entry="pairs",
         carry=inputs.columns,
         **options,
     )
@@ -59,14 +63,19 @@ def unnamed_articles(selected: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def revise_pairs(
-    pairs: DataFrame, key: Sequence[str], call: inference.Call, **options
+    pairs: DataFrame, key: Sequence[str], call: inference.Call, journal: Journal | None = None, **options
 ) -> DataFrame:
-    """Input/target pairs with ``gen_input_outputs`` and ``finish_reason``; nulls on failure."""
+    """Input/target pairs with ``gen_input_outputs`` and ``finish_reason``; nulls on failure.
+
+    Answers are stored part by part in the journal.
+    """
     requests = inference.revision_requests(pairs)
-    results = inference.run_calls(
+    results = inference.run_stored(
         requests,
         key,
         call,
+        journal,
+        entry="revisions",
         inputs=("system", "prompt", "max_tokens"),
         carry=pairs.columns,
         **options,

@@ -10,6 +10,7 @@ from lingmill.functions import messages
 from lingmill.operators import inference, ranking, sampling
 from lingmill.session import new_table_path, settle
 from lingmill.sources import writers
+from lingmill.sources.journal import COMMITS, Journal
 
 
 def prompts_to_judge(
@@ -25,11 +26,12 @@ def collect_answers(
     hosted: inference.Call,
     local: inference.Call,
     key: str = "conversation_id",
+    journal: Journal | None = None,
     **options,
 ) -> DataFrame:
     """Every model's answer to every prompt, as the ``llm_responses`` map.
 
-    Where ``prompts`` has that map already, models whose answer it holds are not asked again.
+    Answers are stored part by part in the journal; given it again, a second run asks for the rest only. Where ``prompts`` has that map already, models whose answer it holds are not asked again.
     """
     first = messages.first_message(F.col("conversation"))
     resumed = "llm_responses" in prompts.columns
@@ -43,9 +45,9 @@ def collect_answers(
     if resumed:
         asked = asked.where(F.try_element_at("_known", F.col("model"))["content"].isNull())
     # Calls are written before anything is exchanged, so that no lost executor repeats them.
-    results = settle(
-        inference.run_routed(asked.drop("_known"), [key, "model"], "model", hosted, local, inputs=("prompt",), **options),
-        "answer-calls",
+    results = inference.run_routed(
+        asked.drop("_known"), [key, "model"], "model", hosted, local,
+        journal or Journal.fresh(prompts.sparkSession, "answer-calls"), inputs=("prompt",), **options,
     )
     answers = settle(inference.answer_map(results, [key], "model"), "answers")
     if not resumed:
@@ -68,7 +70,7 @@ def judge_answers(
     rounds: int = fixed.JUDGE_ROUNDS,
     seed: int = 0,
     path: str | None = None,
-    commits: int = 1,
+    commits: int = COMMITS,
     **options,
 ) -> DataFrame:
     """Rows with all answers present plus their ``model_evals``.

@@ -1,5 +1,10 @@
+import hashlib
 import sys
+import time
+import uuid
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -7,6 +12,7 @@ from pyspark.sql import functions as F
 from lingmill.operators import detect, filters, inference, tokens
 from lingmill.plans import generated, grounded, preference
 from lingmill.sources import writers
+from lingmill.sources.journal import Journal
 from tests.conftest import plan_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -278,3 +284,114 @@ def test_stored_judge_rounds_are_not_judged_again(spark, tmp_path):
     got = preference.judge_answers(df, second, "judge", rounds=3, path=path).collect()
     assert len(got) == 6
     assert all([e.eval_response for e in r.model_evals] == ["first", "first", "second"] for r in got)
+
+
+def logged(log, stop, name):
+    """A model that notes what it is asked, and takes its whole process down where told to."""
+    def call(row):
+        if row["key"] in stop:
+            raise SystemExit("lost")
+        (log / f"{name}-{hashlib.md5(row['key'].encode()).hexdigest()}-{uuid.uuid4().hex}").touch()
+        return {"content": "1. x" if name == "lists" else "<<PROMPT>> a <<RESPONSE>> b", "finish_reason": "stop"}
+
+    return call
+
+
+def answered_plan(spark):
+    df = spark.createDataFrame([(i, [(f"q{i}", "user")]) for i in range(30)], "conversation_id int, conversation array<struct<content:string,role:string>>")
+    asked = df.select("conversation_id", F.explode(F.array(F.lit("gpt"), F.lit("b"))).alias("model"))
+    return asked, ["conversation_id", "model"], lambda call, journal: preference.collect_answers(df, ["gpt", "b"], call, call, journal=journal)
+
+
+def lists_plan(spark):
+    names = spark.createDataFrame([(n,) for n in ("French", "Thai", "Greek")], "language string")
+    seeds = [f"s{i}" for i in range(60)]
+    asked = names.withColumn("repeat_id", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    return asked, ["language", "repeat_id"], lambda call, journal: generated.request_prompt_lists(names, [call], seeds, seeds, times=20, journal=journal)
+
+
+def pairs_plan(spark):
+    rows = spark.createDataFrame([(f"T{i}", "text", "fr") for i in range(60)], "title string, text string, language_code string")
+    names = spark.createDataFrame([("fr", "French")], "language_code string, language_name string")
+    return rows, ["language_code", "title"], lambda call, journal: grounded.generate_pairs(rows, names, call, journal=journal)
+
+
+def revisions_plan(spark):
+    rows = spark.createDataFrame([(i, "in", "out", "Thai") for i in range(60)], "id int, inputs string, targets string, language string")
+    return rows, ["id"], lambda call, journal: grounded.revise_pairs(rows, ["id"], call, journal=journal)
+
+
+def scores_plan(spark):
+    reply = F.struct(F.lit("<<PROMPT>> a <<RESPONSE>> b").alias("content"), F.lit("stop").alias("finish_reason"))
+    rows = spark.range(60).select("id", F.lit("Thai").alias("language_name"), F.lit("question").alias("prompt_type"), reply.alias("generated_prompt_response"))
+    return rows, ["id"], lambda call, journal: inference.score_generated(rows, ["id"], call, journal=journal)
+
+
+def judge_plan(spark):
+    answer = "struct<content:string,finish_reason:string>"
+    df = spark.createDataFrame(
+        [(i, [("q", "user")], {"a": ("x", "stop"), "b": ("y", "stop")}) for i in range(60)],
+        f"conversation_id int, conversation array<struct<content:string,role:string>>, llm_responses map<string,{answer}>",
+    )
+    return df.withColumn("round", F.lit(1)), ["conversation_id"], lambda call, journal: preference.judge_answers(
+        df, call, "judge", rounds=1, path=journal.path, commits=journal.commits
+    )
+
+
+@pytest.mark.parametrize("plan", [answered_plan, lists_plan, pairs_plan, revisions_plan, scores_plan, judge_plan])
+def test_a_lost_third_part_leaves_the_first_two(spark, tmp_path, plan):
+    log = tmp_path / "log"
+    log.mkdir()
+    asked, key, run = plan(spark)
+    journal = Journal(str(tmp_path / "journal"), 4)
+    named = [F.concat_ws("|", *key, *(["round"] if plan is judge_plan else [])).alias("name"), F.pmod(F.xxhash64(*key), F.lit(4)).alias("part")]
+    part_of = {r.name: r.part for r in asked.select(*named).collect()}
+    assert set(part_of.values()) == {0, 1, 2, 3} and len(part_of) == 60
+    kind = plan.__name__.split("_")[0]
+    stop = {name for name, part in part_of.items() if part == 2}
+    with pytest.raises(Exception, match="SystemExit|exited|Job aborted|Python worker"):
+        run(logged(log, stop, kind), journal).collect()
+    seen = Counter(p.name.split("-")[1] for p in log.iterdir())
+    early = {hashlib.md5(n.encode()).hexdigest() for n, part in part_of.items() if part < 2}
+    assert early <= set(seen) and not {hashlib.md5(n.encode()).hexdigest() for n, part in part_of.items() if part == 3} & set(seen)
+    rows = run(logged(log, set(), kind), journal).collect()
+    assert len(rows) == (30 if plan is answered_plan else 60)
+    after = Counter(p.name.split("-")[1] for p in log.iterdir())
+    assert set(after) == {hashlib.md5(n.encode()).hexdigest() for n in part_of}
+    assert all(after[name] == seen[name] for name in early)
+
+
+def test_the_rate_is_that_of_the_whole_job(spark, tmp_path):
+    def call(row):
+        (tmp_path / f"{time.time():.6f}-{row['id']}").touch()
+        return inference.echo(row)
+
+    assert len(inference.run_calls(prompts(spark, 60), ["id"], call, per_second=20, partitions=4).collect()) == 60
+    times = sorted(float(p.name.split("-")[0]) for p in tmp_path.iterdir())
+    assert len(times) == 60 and times[-1] - times[0] > 60 / 20 * 0.7
+    # In any second at most the limit, but for the calls that tasks begin together.
+    assert max(sum(t <= u < t + 1 for u in times) for t in times) <= 20 + 4
+    alone = inference.run_calls(prompts(spark, 8), ["id"], inference.echo, per_second=1000)
+    assert alone.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_failed_calls_back_off_and_try_again():
+    seen = []
+
+    def call(row):
+        seen.append(time.monotonic())
+        if len(seen) < 4:
+            raise RuntimeError("busy")
+        return {"content": "there"}
+
+    assert inference.attempt(call, {}, retries=3, backoff=0.02)["content"] == "there"
+    gaps = np.diff(seen)
+    assert all(0.01 * 2**n <= g for n, g in enumerate(gaps)) and len(gaps) == 3
+    assert inference.attempt(lambda row: 1 / 0, {}, retries=1, backoff=0.001)["error"] == "division by zero"
+    seen.clear()
+
+    def refused(row):
+        seen.append(0)
+        raise inference.RejectedRequest("no")
+
+    assert inference.attempt(refused, {}, retries=5)["bad_request"] == "no" and len(seen) == 1
