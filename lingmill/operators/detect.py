@@ -16,6 +16,9 @@ from lingmill.functions import text
 Detector = Callable[[Sequence[str]], list]
 
 PROFILE_CELLS = 1 << 12
+# Texts, and characters of them, that are counted together.
+SLICE_TEXTS = 256
+SLICE_CHARS = 1 << 21
 # --- fixed values: multipliers of the three-character hash
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], dtype=np.uint32)
 
@@ -75,17 +78,33 @@ def with_detection(
     )
 
 
-def _cells(item: str) -> np.ndarray:
-    """Hash cells of all three-character runs of the whole text."""
-    points = np.frombuffer(f" {item.lower()} ".encode("utf-32-le"), dtype=np.uint32)
-    if len(points) < 3:
-        points = np.pad(points, (0, 3 - len(points)))
+def _slices(texts: Sequence[str]) -> Iterator[list[str]]:
+    """The texts in lists that are short enough to look at together."""
+    held, size = [], 0
+    for item in texts:
+        held.append(item)
+        size += len(item)
+        if len(held) == SLICE_TEXTS or size >= SLICE_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _cell_counts(texts: list[str]) -> np.ndarray:
+    """How often each hash cell occurs among all three-character runs of each whole text."""
+    spelled = [f" {item.lower()} ".ljust(3, "\0") for item in texts]
+    points = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     mixed = points[:-2] * _MIX[0]
     mixed += points[1:-1] * _MIX[1]
     mixed += points[2:] * _MIX[2]
     # The top 12 bits are the best mixed ones and number the 4,096 cells.
     mixed >>= 20
-    return mixed
+    owner = np.repeat(np.arange(len(texts)), [len(s) for s in spelled])
+    # Runs across two texts are none.
+    inside = owner[:-2] == owner[2:]
+    cells = owner[:-2][inside] * PROFILE_CELLS + mixed[inside]
+    return np.bincount(cells, minlength=len(texts) * PROFILE_CELLS).reshape(len(texts), PROFILE_CELLS)
 
 
 def learn_profiles(df: DataFrame, value: str, language: str) -> DataFrame:
@@ -98,10 +117,10 @@ def learn_profiles(df: DataFrame, value: str, language: str) -> DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, item in zip(batch["lang"], batch["text"]):
-                if lang is not None and item is not None:
-                    own = totals.setdefault(lang, np.zeros(PROFILE_CELLS, dtype=np.int64))
-                    own += np.bincount(_cells(item), minlength=PROFILE_CELLS)
+            for lang, items in batch.dropna().groupby("lang")["text"]:
+                own = totals.setdefault(lang, np.zeros(PROFILE_CELLS, dtype=np.int64))
+                for held in _slices(items.tolist()):
+                    own += _cell_counts(held).sum(axis=0)
         for lang, own in totals.items():
             used = np.flatnonzero(own)
             yield pd.DataFrame({"lang": lang, "cell": used, "n": own[used]})
@@ -129,17 +148,17 @@ def profile_detector(profiles: DataFrame) -> Callable[[], Detector]:
 
     def load() -> Detector:
         def detector(texts: Sequence[str]) -> list:
-            out = []
-            for item in texts:
-                if not item.strip():
-                    out.append(None)
-                    continue
-                seen = np.bincount(_cells(item), minlength=PROFILE_CELLS)
-                total = seen @ logs / np.sqrt(seen.sum())
-                total -= total.max()
-                weights = np.exp(total)
-                best = int(weights.argmax())
-                out.append((languages[best], float(weights[best] / weights.sum())))
+            out: list = []
+            for held in _slices(texts):
+                seen = _cell_counts(held)
+                # All texts of a slice against all languages at once.
+                total = seen.astype(np.float64) @ logs / np.sqrt(seen.sum(axis=1, keepdims=True))
+                weights = np.exp(total - total.max(axis=1, keepdims=True))
+                best = weights.argmax(axis=1)
+                scores = weights[np.arange(len(held)), best] / weights.sum(axis=1)
+                out += [
+                    (languages[k], score) if item.strip() else None for item, k, score in zip(held, best.tolist(), scores.tolist())
+                ]
             return out
 
         return detector

@@ -7,9 +7,11 @@ import hashlib
 from pyspark.sql import functions as F
 
 from lingmill import fixed
+from lingmill.functions import draws
 from lingmill.operators import inference, stats
 from lingmill.plans import grounded
-from lingmill.session import settle
+from lingmill.session import new_table_path, settle
+from lingmill.streaming import incremental
 from suite import draws as draw_queries
 from suite import fixtures as fx
 from suite.registry import query, table
@@ -48,6 +50,21 @@ def retried_calls(spark, sf_dir):
     return results.select("doc_id", "result.content")
 
 
+@query(f"""SELECT doc_id, CASE WHEN {FAILED} THEN NULL ELSE text END AS content FROM documents""")
+def streamed_calls(spark, sf_dir):
+    """Calls on files as they arrive: the stream stops between two arrivals and goes on from its checkpoint."""
+    prompts, folder = _prompts(spark, sf_dir), new_table_path(spark, "stream")
+    for arrival in range(2):
+        own = prompts.where(draws.draw_below([F.col("doc_id")], "arrival", 2) == arrival)
+        own.write.mode("append").parquet(f"{folder}/in")
+        stream = incremental.read_new_files(spark, f"{folder}/in", prompts.schema)
+        incremental.run_available(
+            stream, f"{folder}/out", f"{folder}/offsets",
+            lambda rows: inference.run_calls(rows, ["doc_id"], inference.failing_echo()),
+        ).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("doc_id", "result.content")
+
+
 def _named(prefix):
     def call(row):
         return {"content": prefix + row["prompt"], "finish_reason": "stop"}

@@ -1,6 +1,10 @@
 import os
+import uuid
+from collections import Counter
+from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from lingmill import schemas
@@ -90,6 +94,33 @@ def test_whole_curation(spark):
     assert sorted((r.conversation_id, r.first_exchange_len_tokens) for r in got.collect()) == [("1", 2), ("6", 2)]
 
 
+def test_a_stream_that_fails_goes_on_from_its_offsets(spark, tmp_path):
+    given, out, mark, log = (str(tmp_path / n) for n in ("in", "out", "mark", "log"))
+    Path(log).mkdir()
+    prompts = spark.range(40).select("id", F.concat(F.lit("p"), "id").alias("prompt"))
+    for part in range(4):
+        prompts.where(F.col("id") % 4 == part).coalesce(1).write.mode("append").parquet(given)
+
+    def run(limit):
+        def call(row):
+            if len(list(Path(log).iterdir())) >= limit:
+                raise SystemExit("lost")
+            Path(log, f"{row['id']}-{uuid.uuid4().hex}").touch()
+            return inference.echo(row)
+
+        rows = incremental.read_new_files(spark, given, prompts.schema, 1)
+        incremental.run_available(rows, out, mark, lambda d: inference.run_calls(d, ["id"], call, workers=1)).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run(25)  # in the third file
+    kept = {r.id for r in spark.read.parquet(out).collect()}
+    assert len(kept) == 20
+    run(1000)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+    asked = Counter(int(p.name.split("-")[0]) for p in Path(log).iterdir())
+    assert all(asked[i] == 1 for i in kept) and set(asked) == set(range(40))
+
+
 def test_filters_and_calls_on_a_stream(spark, tmp_path):
     given, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
 
