@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from lingmill import fixed
 from lingmill.functions import draws, text
 from lingmill.session import settle
 
-# Up to this many rows per group Spark's own map-side group limit is enough.
-DIRECT_SAMPLE = 10
+# Standard deviations by which a sample's threshold exceeds what is needed on average, and by
+# how much it grows for groups that still fall short.
+SLACK = 6.0
+WIDER = 4.0
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
@@ -25,47 +28,39 @@ def sample_per_group(
     key: Sequence[str],
     n: int,
     seed: int | str = 0,
-    digits: int = 4,
     rank: str | None = None,
 ) -> DataFrame:
-    """min(n, group size) rows of every group, chosen by a hash of ``key``.
+    """min(n, group size) rows of every group, those of smallest hash of ``key``.
 
     Rows with a null group are left out. ``rank`` names a column for the row's
     place (from 1) in its group's random order.
 
-    Small ``n``: a window whose rank filter Spark applies before the shuffle too.
-    Large ``n``: rows are counted per group and hash prefix; the prefix at which
-    a group reaches ``n`` cuts everything beyond it before the window. About
-    ``n + group size / 16**digits`` rows of a group meet in one task, however
-    large the group is.
+    Groups are counted; the share of a group that has ``n`` rows, and some more, gives a
+    threshold for its hashes, and rows beyond it are neither exchanged nor kept. Groups in
+    which fewer than min(n, size) are below theirs, which is very rare, are looked at again
+    with a higher one. So about ``n`` rows of a group meet in one task, however large it is.
     """
-    order = draws.order_hash(_columns(key), seed)
-    keyed = df.where(_no_nulls(groups)).withColumn("_order", order)
-    if n > DIRECT_SAMPLE:
-        prefix = F.substring("_order", 1, digits)
-        cells = keyed.groupBy(*groups, prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
-        before = (
-            Window.partitionBy(*groups)
-            .orderBy("_prefix")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        cuts = (
-            cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-            .where(F.col("_before") < n)
-            .groupBy(*groups)
-            .agg(F.max("_prefix").alias("_cut"))
-        )
-        keyed = (
-            keyed.join(settle(cuts, "sample-cuts"), list(groups))
-            .where(prefix <= F.col("_cut"))
-            .drop("_cut")
-        )
+    keyed = df.where(_no_nulls(groups)).withColumn("_order", draws.order_hash(_columns(key), seed))
+    at = F.conv(F.substring("_order", 1, 13), 16, 10).cast("double") / float(1 << 52)
+    ample = n + SLACK * (n**0.5 + SLACK)
+    sizes = keyed.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+    wanted = settle(sizes.withColumn("_share", F.lit(float(ample)) / F.col("_size")), "group-sizes")
+    kept = []
+    while True:
+        below = keyed.join(wanted.select(*groups, "_share"), list(groups)).where(at < F.col("_share")).drop("_share")
+        found = settle(below, "sample")
+        counts = found.groupBy(*groups).agg(F.count(F.lit(1)).alias("_found"))
+        few = F.coalesce("_found", F.lit(0)) < F.least(F.lit(n), F.col("_size"))
+        short = wanted.join(counts, list(groups), "left").where(few)
+        if short.isEmpty():
+            kept.append(found)
+            break
+        wanted = settle(short.select(*groups, "_size", (F.col("_share") * WIDER).alias("_share")), "short-groups")
+        kept.append(found.join(wanted.select(*groups), list(groups), "left_anti"))
     place = Window.partitionBy(*groups).orderBy("_order", *key)
-    ranked = keyed.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= n)
-    out = ranked.drop("_order", "_place")
-    if rank:
-        out = ranked.drop("_order").withColumnRenamed("_place", rank)
-    return out
+    ranked = reduce(DataFrame.unionByName, kept).withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= n)
+    ranked = ranked.select(*df.columns, "_place")
+    return ranked.withColumnRenamed("_place", rank) if rank else ranked.drop("_place")
 
 
 def _no_nulls(names: Sequence[str]) -> Column:

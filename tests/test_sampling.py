@@ -34,10 +34,16 @@ def test_sample_is_exact_and_independent_of_partitions(spark, n):
         assert all(r.payload == f"p{r.id}" for r in got)
 
 
-@pytest.mark.parametrize("digits", [1, 2, 6])
-def test_sample_does_not_depend_on_the_cut_resolution(spark, digits):
-    got = sampling.sample_per_group(skewed(spark, 4), ["g"], ["id"], 200, 1, digits=digits).collect()
+@pytest.mark.parametrize("slack", [-8.0, -2.0])
+def test_groups_that_fall_short_are_looked_at_again(spark, monkeypatch, slack):
+    """Thresholds that are far too low at first."""
+    monkeypatch.setattr(sampling, "SLACK", slack)
+    rounds = []
+    settle = sampling.settle
+    monkeypatch.setattr(sampling, "settle", lambda df, label: rounds.append(label) or settle(df, label))
+    got = sampling.sample_per_group(skewed(spark, 4), ["g"], ["id"], 200, 1).collect()
     assert {(r.g, r.id) for r in got} == expected(skewed(spark, 4).collect(), 200, 1)
+    assert rounds.count("short-groups") >= 1
 
 
 def test_sample_ranks_are_places(spark):
@@ -46,9 +52,20 @@ def test_sample_ranks_are_places(spark):
         assert sorted(r.place for r in got if r.g == g) == list(range(1, size + 1))
 
 
-def test_small_samples_are_limited_before_the_shuffle(spark):
-    plan = plan_of(sampling.sample_per_group(skewed(spark, 4), ["g"], ["id"], 5))
-    assert "row_number(), 5, Partial" in plan
+@pytest.mark.parametrize("n", [5, 1000])
+def test_rows_beyond_the_threshold_are_not_kept(spark, monkeypatch, n):
+    """Of 300,000 rows in one group about n are written and exchanged; the rest stays where it is."""
+    written = []
+    settle = sampling.settle
+    monkeypatch.setattr(sampling, "settle", lambda df, label: written.append((label, settle(df, label))) or written[-1][1])
+    df = spark.range(300_000).select("id", F.lit("hot").alias("g"))
+    got = sampling.sample_per_group(df, ["g"], ["id"], n)
+    assert got.count() == n
+    rows = {label: table.count() for label, table in written}
+    assert rows["group-sizes"] == 1 and n <= rows["sample"] <= n + 6 * (n**0.5 + 6) * 2
+    assert [label for label, _ in written] == ["group-sizes", "sample"]
+    plan = plan_of(got)
+    assert plan.count("Exchange") <= 1 and "range" not in plan.lower()
 
 
 @pytest.mark.parametrize("parts", [1, 7])
