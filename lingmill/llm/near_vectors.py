@@ -18,14 +18,16 @@ from lingmill.llm.components import components
 from lingmill.session import settle
 
 THRESHOLD = 0.9
-# Shards at least, and vectors of one at most.
+# Shards at least, and bytes of the vectors of one, about.
 LEAST_SHARDS = 4
-SHARD_VECTORS = 100_000
+SHARD_BYTES = 256 * 1024 * 1024
 FIRST_BEAM = 32
 LAST_BEAM = 256
-# Queries that an audit also answers by comparing with all vectors of the shard, and the
-# share of their links that a beam must find.
+# Queries that an audit also answers by comparing with all vectors of the shard, at first and at
+# most; how many of their links tell good from bad, and the share that a beam must find.
 AUDIT_QUERIES = 512
+MOST_AUDIT_QUERIES = 2048
+AUDIT_LINKS = 200
 AUDIT_RECALL = 0.98
 QUERIES_AT_ONCE = 256
 # Cosines that a task holds at a time.
@@ -81,21 +83,55 @@ def beam_pairs(
     return np.concatenate(left), np.concatenate(right), np.concatenate(full)
 
 
+def audit_sample(graph: hnsw.Graph, queries: np.ndarray, threshold: float, own: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Queries spread over all, and how many links each has; a query's match with itself is none.
+
+    There are more of them until they have ``AUDIT_LINKS`` links.
+    """
+    size = AUDIT_QUERIES
+    while True:
+        sample = np.unique(np.linspace(0, len(queries) - 1, min(size, len(queries))).astype(np.int64))
+        true = np.concatenate([near.sum(axis=1) for _, near in link_rows(graph, queries[sample], threshold)]) - own
+        if true.sum() >= AUDIT_LINKS or size >= MOST_AUDIT_QUERIES or len(sample) == len(queries):
+            return sample, true
+        size *= 2
+
+
 def found_pairs(
-    graph: hnsw.Graph, queries: np.ndarray, threshold: float
+    graph: hnsw.Graph, queries: np.ndarray, threshold: float, own: bool
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``beam_pairs`` of the first beam that an audit accepts; without one, every query
-    needs the whole shard."""
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT_QUERIES, len(queries))).astype(np.int64))
-    true = np.concatenate([near.sum(axis=1) for _, near in link_rows(graph, queries[sample], threshold)])
-    beam = FIRST_BEAM
+    needs the whole shard. ``own`` tells that the queries are the graph's nodes.
+
+    The audit compares a sample's links with those of all vectors. Where links are so rare that
+    a sample tells little, a beam is also compared with one twice as wide, over all
+    queries: what the wider one found is accepted if the other had found its share of that.
+    """
+
+    def links(a: np.ndarray, b: np.ndarray, asked: np.ndarray) -> int:
+        apart = b != asked[a] if own else np.ones(len(a), dtype=bool)
+        return len(np.unique(a[apart] * graph.size + b[apart]))
+
+    sample, true = audit_sample(graph, queries, threshold, own)
+    every = np.arange(len(queries))
+    rare = true.sum() < AUDIT_LINKS
+    beam, before = FIRST_BEAM, None
     while beam <= LAST_BEAM:
-        a, b, full = beam_pairs(graph, queries[sample], threshold, beam)
-        if len(np.unique(a * graph.size + b)) + true[full].sum() >= AUDIT_RECALL * true.sum():
-            return beam_pairs(graph, queries, threshold, beam)
+        if rare:
+            a, b, full = before or beam_pairs(graph, queries, threshold, beam)
+            before = beam_pairs(graph, queries, threshold, 2 * beam)
+            there = np.isin(before[0], sample)
+            known = links(before[0][there], before[1][there], every) + true[np.isin(sample, before[2])].sum()
+            settled = links(a, b, every) >= AUDIT_RECALL * links(*before[:2], every) and len(full) >= len(before[2])
+            if settled and known >= AUDIT_RECALL * true.sum():
+                return before
+        else:
+            a, b, full = beam_pairs(graph, queries[sample], threshold, beam)
+            if links(a, b, sample) + true[full].sum() >= AUDIT_RECALL * true.sum():
+                return beam_pairs(graph, queries, threshold, beam)
         beam *= 2
     none = np.empty(0, dtype=np.int64)
-    return none, none, np.arange(len(queries))
+    return none, none, every
 
 
 class Tally:
@@ -173,7 +209,7 @@ def matched(first: hnsw.Graph, second: hnsw.Graph | None, threshold: float) -> p
     pairs, rows = [], []
     for asked in {0, len(graphs) - 1}:
         other = len(graphs) - 1 - asked
-        a, b, rest = found_pairs(graphs[other], graphs[asked].vectors, threshold)
+        a, b, rest = found_pairs(graphs[other], graphs[asked].vectors, threshold, asked == other)
         pairs.append((numbers[asked][a], numbers[other][b]))
         rows.append((asked, other, rest))
         tally.dense[numbers[asked][rest]] = True
@@ -205,7 +241,7 @@ def near_duplicates(
     lengths. A repeated key is a row each time; null keys never name a component. An
     empty table gives an empty one.
 
-    A task holds the graphs of two shards of at most ``SHARD_VECTORS``, and hands on a row
+    A task holds the graphs of two shards, of about ``SHARD_BYTES`` of vectors each, and hands on a row
     for each linked node, never pairs. It holds at most half a beam of links for a node;
     denser ones are counted and connected from blocks of whole rows.
     """
@@ -221,7 +257,8 @@ def near_duplicates(
     nodes = settle(
         grouped.withColumns({"node": F.monotonically_increasing_id(), "length": F.size("vector")}), "nodes"
     )
-    shards = max(least_shards, -(-nodes.count() // SHARD_VECTORS))
+    cells = nodes.agg(F.sum("length")).first()[0] or 0
+    shards = max(least_shards, -(-cells * 8 // SHARD_BYTES))
     dealt = nodes.select(
         "node", "weight", "vector", "length", F.pmod(F.xxhash64("high", "low"), F.lit(shards)).cast("int").alias("shard")
     )
@@ -240,20 +277,22 @@ def near_duplicates(
         ),
         "graphs",
     )
-    a = graphs.select("length", F.col("shard").alias("a"), F.col("graph").alias("first"))
-    b = graphs.select("length", F.col("shard").alias("b"), F.col("graph").alias("second"))
-    count = shards * (shards + 1) // 2
-    pairs = a.join(b, "length").where("a <= b").select(
-        "length", "a", "b", "first", F.when(F.col("a") < F.col("b"), F.col("second")).alias("second")
-    ).repartitionByRange(count, "length", "a", "b")
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                first, second = (batch.column(c)[row].as_py() for c in ("first", "second"))
-                yield matched(hnsw.Graph.load(first), hnsw.Graph.load(second) if second else None, threshold)
-
-    found = settle(pairs.mapInArrow(match, "node long, links long, root long"), "matches")
+    # Every graph goes to the tasks of its pairs, and no two pairs share a key.
+    other = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    sides = graphs.withColumn("other", other).select(
+        "length", F.least("shard", "other").alias("a"), F.greatest("shard", "other").alias("b"), "shard", "graph"
+    )
+    schema = "node long, links long, root long"
+
+    def match(table: pa.Table) -> pa.Table:
+        # The shards of one pair, or one of them where the other has no vector of this length.
+        held = [hnsw.Graph.load(graph) for graph in table.sort_by("shard")["graph"].to_pylist()]
+        alone = table["a"][0].as_py() == table["b"][0].as_py()
+        if len(held) == 1 and not alone:
+            return pa.table({name: pa.array([], pa.int64()) for name in ("node", "links", "root")})
+        return pa.Table.from_batches([matched(held[0], None if alone else held[1], threshold)])
+
+    found = settle(sides.groupBy("length", "a", "b").applyInArrow(match, schema), "matches")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(found, "node", "root")
     named = settle(

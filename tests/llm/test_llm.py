@@ -429,6 +429,45 @@ def test_a_dense_group_is_counted_in_blocks(two_shards, monkeypatch):
     assert all(root[a] == root[b] for a, b in zip(*np.nonzero(true)))
 
 
+def rare_links(vectors, links, width, seed):
+    """Random directions, a few of them with a near copy."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(vectors, width))
+    copies = rows[:links] + rng.normal(size=(links, width)) * 0.3
+    rows = rng.permutation(np.concatenate([rows, copies]))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_rare_links_are_audited_on_real_links(monkeypatch):
+    rows = rare_links(6000, 60, 384, 3)
+    graph = hnsw.Graph.load(hnsw.build(np.arange(len(rows)), np.ones(len(rows), dtype=int), rows).dump())
+    sample, true = near_vectors.audit_sample(graph, graph.vectors, 0.9, own=True)
+    assert len(sample) == 2048 and 0 < true.sum() < near_vectors.AUDIT_LINKS
+    got = near_vectors.matched(graph, None, 0.9).to_pandas()
+    assert len(got) >= 0.98 * 120 and (got["links"] == 1).all()
+    # A beam that finds nothing but the queries themselves is not accepted.
+    beams = []
+    plain = near_vectors.beam_pairs
+
+    def poor(graph, queries, threshold, beam):
+        beams.append(beam)
+        a, b, full = plain(graph, queries, threshold, beam)
+        keep = (a == b) | (beam > 100)
+        return a[keep], b[keep], full
+
+    monkeypatch.setattr(near_vectors, "beam_pairs", poor)
+    assert len(near_vectors.matched(graph, None, 0.9)) >= 0.98 * 120
+    assert max(beams) > 100
+
+
+def test_graphs_meet_by_pair_and_not_by_length(spark):
+    rows = rare_links(200, 20, 16, 4)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)] + [(900 + i, [1.0, float(i)]) for i in range(2)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors.near_duplicates(df, least_shards=3).collect()}
+    true = rows @ rows.T >= 0.9
+    assert sum(got.values()) >= 0.98 * (true.sum() - len(rows)) and len(got) == 222
+
+
 def test_graph_recall():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 24))
