@@ -15,8 +15,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lingmill.llm.common import slices, texts_of
 
-# Test items of one pass: bounds what is sent to the executors. Larger sets take more passes.
+# Test items of one pass, and bytes of their texts: bounds what is sent to the executors. Larger sets
+# take more passes.
 ITEMS_AT_ONCE = 20_000
+BYTES_AT_ONCE = 1 << 24
 SEED_WORDS = 3
 # Share of an item's n-grams, rarest first, that serve as seeds.
 SEED_SHARE = 0.75
@@ -89,7 +91,7 @@ class Items:
 
         ``frequency`` counts the corpus's words by number. A passage that leaked into many
         documents makes its own n-grams common, so n-grams are ranked by their words and
-        not by their own counts. Items shorter than an n-gram are one seed.
+        not by their own counts. Items shorter than an n-gram have no seed.
         """
         surprise = -np.log((frequency + 1.0) / (frequency.sum() + len(frequency)))
         keys, owners, offsets = [], [], []
@@ -181,7 +183,10 @@ def contaminated(
     Null and empty texts and items of fewer than three words match nothing; repeated
     rows give repeated results; an empty table on either side gives no rows.
 
-    The benchmark is sent to the executors in passes of at most 20,000 items, and each
+    A passage is found if it holds one of the rarest three quarters of an item's 3-grams unchanged,
+    as nearly all do that score enough.
+
+    The benchmark is sent to the executors in passes of about 20,000 items or 16 MB, and each
     pass is two scans of the corpus without a shuffle of texts.
     """
     named = benchmark.select(F.col(item).alias("__item"), F.col(item_text).alias("__text")).where("__text is not null")
@@ -190,7 +195,8 @@ def contaminated(
         T.StructField("score", T.DoubleType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         *(docs.schema[c] for c in keep),
     ])
-    passes = max(1, -(-named.count() // ITEMS_AT_ONCE))
+    size = named.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("__text")).alias("bytes")).first()
+    passes = max(1, -(-size["rows"] // ITEMS_AT_ONCE), -(-(size["bytes"] or 0) // BYTES_AT_ONCE))
     dealt = named.withColumn("__pass", F.pmod(F.xxhash64("__item", "__text"), F.lit(passes)))
     found = []
     for number in range(passes):

@@ -228,11 +228,11 @@ def learn(
 
     Line features are computed where the texts are; only they reach the driver. Rows
     without a label or key are not learned from; of rows that share a key, however many,
-    the least text is.
+    the least text and the least label are.
     """
     drawn = settle(
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
-        .select(key, F.col(label).cast("int").alias("__label")).dropDuplicates([key])
+        .groupBy(key).agg(F.min(F.col(label).cast("int")).alias("__label"))
         .orderBy(F.xxhash64(key, F.lit("fit")), key).limit(rows),
         "fit-rows",
     )

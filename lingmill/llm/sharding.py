@@ -20,6 +20,8 @@ from lingmill.session import settle
 # Standard deviations on either side of the mode that a draw considers; what lies beyond
 # has less than 1e-30 of the probability.
 REACH = 12
+# Tasks that draw the matrix at most.
+MATRIX_TASKS = 1024
 # Rows of a shard that one task orders.
 SLOT_ROWS = 1 << 17
 
@@ -123,7 +125,8 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
 
     ``sizes`` has (part, n), one row per input partition. The parts are halved again and
     again: each half draws its share of every shard's places from what both have, and
-    the halves go on side by side, so all but the first few steps run in parallel.
+    the halves go on side by side. Every few steps they are written, spread over as many
+    tasks as there are halves, up to ``MATRIX_TASKS``; the first steps are one task's.
     """
     ordered = sizes.agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("parts"), F.sum("n").alias("rows"))
     room = F.array(*[F.floor(F.col("rows") / shards) + F.when(F.col("rows") % shards > j, 1).otherwise(0) for j in range(shards)])
@@ -145,7 +148,9 @@ def communication_matrix(sizes: DataFrame, shards: int, seed: int) -> DataFrame:
         same = F.array(F.struct(F.col("parts"), F.col("room")))
         nodes = nodes.select(F.explode(F.when(F.size("parts") > 1, split).otherwise(same)).alias("node")).select("node.*")
         if level % 4 == 3:
-            nodes = settle(nodes, "matrix")
+            # A number of its own, which adaptive execution leaves as it is.
+            spread = nodes.repartition(min(2 ** (level + 1), MATRIX_TASKS), F.col("parts")[0]["part"])
+            nodes = settle(spread, "matrix")
     return nodes.select(F.col("parts")[0]["part"].alias("part"), F.col("room").alias("counts"))
 
 

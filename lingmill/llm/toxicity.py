@@ -133,11 +133,11 @@ def learn(
 
     The chain is the categories, then ``other``, then the label itself. Rows without a
     key or label are not learned from; of rows that share a key, however many, the least
-    text is. Without rows every probability is one half.
+    text and the least label are. Without rows every probability is one half.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
-        key, F.col(label).cast("int").alias("__label")
-    ).dropDuplicates([key])
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(
+        F.min(F.col(label).cast("int")).alias("__label")
+    )
     draws = [
         known.where(F.col("__label") == value).orderBy(F.xxhash64(key, F.lit("toxic")), key).limit(rows)
         for value in (0, 1)

@@ -202,6 +202,37 @@ def test_shards_are_exact_and_uniform(spark, no_docs):
     assert sorted(sharding.shuffle_into_shards(spark.range(3), 24).toPandas()["slot"]) == [0, 0, 0]
 
 
+def test_the_matrix_is_drawn_by_many_tasks_and_exact(spark):
+    sizes = spark.range(300).select(F.col("id").alias("part"), (F.col("id") % 7 * 3).alias("n"))
+    matrix = sharding.communication_matrix(sizes, 24, 1)
+    counts = {r["part"]: r["counts"] for r in matrix.collect()}
+    given = {r["part"]: r["n"] for r in sizes.collect()}
+    assert {p: sum(c) for p, c in counts.items()} == given
+    totals = np.array(list(counts.values())).sum(axis=0)
+    assert totals.sum() == sum(given.values()) and totals.max() - totals.min() <= 1
+    # The halves of the last written step lie in many partitions.
+    assert matrix.select(F.spark_partition_id()).distinct().count() > 1
+    files = sharding.settle(spark.range(64).repartition(16, "id"), "spread").inputFiles()
+    assert len(files) > 8
+
+
+def test_sharding_query_keeps_its_law(spark):
+    from lingmill.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in queries.QUERIES["op1_hypergeometric_shards"](spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for doc in docs:
+        row, text = got[doc["doc_id"]], (doc["text"] or "").encode()
+        assert row["size"] == len(text) + 8 and row["text_crc32"] == zlib.crc32(text)
+        assert row["law"] == "rows" and row["grown_shard"] is None
+    shards = Counter(r["shard"] for r in got.values())
+    assert set(shards) == set(range(24)) and max(shards.values()) - min(shards.values()) <= 1
+    for shard in range(24):
+        assert sorted(r["slot"] for r in got.values() if r["shard"] == shard) == list(range(shards[shard]))
+
+
 def test_hypergeometric_draws_follow_the_law(spark):
     draws = spark.range(4000).select(
         sharding.hypergeometric(F.lit(30), F.lit(20), F.lit(50), sharding.uniform(F.lit(9), F.col("id"))).alias("x")
@@ -314,6 +345,49 @@ def test_edited_benchmark_passages_are_found(spark, odd_docs, no_docs):
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_seeds_find_nearly_all_edited_copies():
+    """Of edited copies that align well enough, the share that has a seed."""
+    rng = np.random.default_rng(7)
+    texts = [prose(300 + i, 40) for i in range(30)]
+    items = decontamination.Items(list(range(30)), texts)
+    items.choose_seeds(rng.integers(1, 1000, len(items.number) + 1).astype(float))
+    good = found = 0
+    for trial in range(900):
+        which = trial % 30
+        swap, insert = [(0.1, 0.0), (0.3, 0.0), (0.2, 0.2)][trial % 3]
+        passage = []
+        for word in items.items[which].tolist():
+            passage.append(0 if rng.random() < swap else word)
+            if rng.random() < insert:
+                passage.append(0)
+        numbers = np.array([0] * 20 + passage + [0] * 20, dtype=np.int64)
+        if decontamination.align(items.items[which], numbers)[0] >= decontamination.THRESHOLD * 40:
+            good += 1
+            found += any(owner == which for owner, _, _ in decontamination.windows(items, numbers))
+    assert good > 700 and found >= 0.99 * good
+
+
+def test_benchmarks_of_many_bytes_take_more_passes(spark, monkeypatch):
+    items = [(i, prose(700 + i, 30)) for i in range(6)]
+    docs = spark.createDataFrame([(i, prose(i, 20) + " " + t) for i, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, decontamination.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontamination, "BYTES_AT_ONCE", 300)
+    assert sorted(map(tuple, decontamination.contaminated(docs, bench).collect())) == one and len(one) == 6
+
+
+def test_of_conflicting_labels_the_least_is_learned(spark):
+    rows = [(i, prose(i, 12) + (" idiot." if i % 2 else ".")) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, i % 2, i % 2) for i in range(40)]
+    plain_labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    more = spark.createDataFrame(labels + [(i, 1, 1) for i in range(40)], "doc_id long, quality int, toxic int").repartition(7)
+    one, other = (toxicity.learn(docs, d) for d in (plain_labels, more))
+    assert one.features.tolist() == other.features.tolist()
+    one, other = (line_quality.learn(docs, d) for d in (plain_labels, more))
+    assert np.array_equal(one.weights, other.weights)
+
+
 def test_toxic_documents_are_caught(spark, odd_docs, no_docs):
     rows = [(i, prose(i, 40) + (" you idiot " if i % 5 == 0 else " ") + prose(i + 900, 9)) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
