@@ -92,3 +92,22 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIG
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM docs LEFT JOIN places USING (row) LEFT JOIN kept USING (row)
 """
+
+ORACLES["op6_hnsw"] = r"""
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS v,
+    coalesce(len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0, false) AS usable
+  FROM embeddings),
+units AS (
+  SELECT row, vec_id, len(v) AS size, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v
+  FROM vectors WHERE usable),
+links AS MATERIALIZED (
+  SELECT a.row AS a, b.row AS b FROM units a JOIN units b ON a.size = b.size AND a.row <> b.row
+  WHERE list_inner_product(a.v, b.v) >= 0.9),
+reach(a, b) AS (SELECT row, row FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+groups AS (SELECT a AS row, min(vec_id) AS component_id FROM reach JOIN vectors ON vectors.row = b GROUP BY a),
+counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN groups USING (row) LEFT JOIN counts USING (row)
+"""
