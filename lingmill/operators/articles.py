@@ -87,6 +87,14 @@ def sampled_articles(
     return articles_by_title(articles, titles)
 
 
+def article_sets(titles: DataFrame, articles: DataFrame, seed: int = 0) -> dict[str, DataFrame]:
+    """One article a cluster in every language, and ten in those of ``fixed.POPULAR_LANGUAGE_CODES``."""
+    return {
+        "every": sampled_articles(titles, articles, 1, seed=seed),
+        "popular": sampled_articles(titles, articles, 10, fixed.POPULAR_LANGUAGE_CODES, seed),
+    }
+
+
 def generation_inputs(
     articles: DataFrame,
     names: DataFrame,

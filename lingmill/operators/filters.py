@@ -30,6 +30,11 @@ def keep_languages(df: DataFrame, language: str, names: Sequence[str]) -> DataFr
     return df.where(F.col(language).isin(list(names)))
 
 
+def requested_languages(df: DataFrame, language: str = "language") -> DataFrame:
+    """The languages, by name, that prompt lists are asked for; each once."""
+    return keep_languages(df.select(language), language, fixed.REQUESTED_LANGUAGES).distinct()
+
+
 def drop_blocked(
     df: DataFrame, prompt: Column, words: Sequence[str] = tuple(fixed.BLOCKED_SUBSTRINGS)
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lingmill import fixed
 from lingmill.operators import articles, clusters, inference
 from suite import fixtures as fx
 from suite.kmeans import sql_kmeans
@@ -124,6 +125,26 @@ def articles_of_sampled_titles(spark, sf_dir):
     return out.select("doc_id", "language_code")
 
 
+def _sql_articles(per_cluster: int, languages: str) -> str:
+    drawn = SQL_TITLES.replace("place <= 2", f"place <= {per_cluster}")
+    return f"SELECT doc_id, lang AS language_code FROM (WITH {drawn} SELECT * FROM titles SEMI JOIN drawn USING (lang, title)) WHERE {languages}"
+
+
+POPULAR = ", ".join(f"'{c}'" for c in fixed.POPULAR_LANGUAGE_CODES)
+
+
+@query(f"""SELECT 'every' AS article_set, * FROM ({_sql_articles(1, 'true')}) UNION ALL
+SELECT 'popular', * FROM ({_sql_articles(10, f'lang IN ({POPULAR})')})""")
+def article_sets(spark, sf_dir):
+    """One title a cluster in every language, ten in the popular ones."""
+    texts = table(spark, sf_dir, "documents").select(
+        "doc_id", F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("language_code")
+    )
+    sets = articles.article_sets(_titles(spark, sf_dir), texts)
+    every, popular = (rows.select(F.lit(name).alias("article_set"), "doc_id", "language_code") for name, rows in sets.items())
+    return every.unionByName(popular)
+
+
 def _names(spark):
     """A name table that lacks Spanish."""
     rows = [(code, name) for code, name in fx.CODE_NAMES.items() if code != "es"]

@@ -179,6 +179,14 @@ def selected_language_codes(spark, sf_dir):
     return filters.keep_languages(docs, "lang", fixed.SELECTED_LANGUAGE_CODES)
 
 
+@query(f"SELECT DISTINCT {fx.SQL_NAME} AS language FROM documents WHERE {fx.SQL_NAME} IN (" + ", ".join(
+    f"'{name}'" for name in fixed.REQUESTED_LANGUAGES) + ")")
+def requested_languages(spark, sf_dir):
+    """The languages of the documents that prompt lists are asked for."""
+    named = table(spark, sf_dir, "documents").select(fx.declared_name(F.col("lang")).alias("language"))
+    return filters.requested_languages(named)
+
+
 @query("""SELECT doc_id, quality, toxic FROM documents JOIN labels USING (doc_id)
 WHERE quality IS NOT NULL AND toxic IS NOT NULL""")
 def drop_null_rows(spark, sf_dir):

@@ -322,10 +322,10 @@ def judge_requests(spark, sf_dir):
     return _block(requests, "round", F.array_join(pairs, ",").alias("lettered"), "prompt")
 
 
-@query(f"""WITH {B} SELECT block, count(*) FILTER (WHERE n_letters > 0) AS n_letters FROM
-(SELECT block, unnest(range(count(*))) + 1 AS n_letters FROM models GROUP BY block) GROUP BY block""")
+@query(f"""WITH {B}, l AS (SELECT block, chr((64 + unnest(range(1, count(*) + 1)))::INT) AS letter FROM models GROUP BY block)
+SELECT block, string_agg(letter, ', ' ORDER BY {fx.sql_hash('block, letter', 'order-0')}, letter) AS letter_order FROM l GROUP BY block""")
 def judge_letter_orders(spark, sf_dir):
-    """The drawn letter order names every letter once."""
+    """The letters in the order drawn for each block."""
     chats = fx.judged_chats(spark, sf_dir)
     order = ballots.letter_order(F.size("llm_responses"), [F.col("conversation_id")])
-    return _block(chats, F.size(F.array_distinct(F.split(order, ", "))).cast("long").alias("n_letters"))
+    return _block(chats, order.alias("letter_order"))

@@ -1,4 +1,3 @@
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,34 +54,30 @@ def test_render_then_parse(spark):
 
 
 @pytest.mark.parametrize(
-    "reply",
+    "reply, prompt, response",
     [
-        "<<PROMPT>>\np\n<<RESPONSE>>\nr",
-        "x <<PROMPT>>p<<RESPONSE>>r1<<RESPONSE>>r2",
-        "<<PROMPT>>p<<RESPONSE>>r<<RESPONSE>>",
-        "<<PROMPT>><<RESPONSE>>r",
-        "<<PROMPT>> \n <<RESPONSE>>r",
-        "<<RESPONSE>>r<<PROMPT>>p",
-        "<<PROMPT>>a<<PROMPT>>b<<RESPONSE>>c",
-        "nothing",
-        "",
-        None,
+        ("<<PROMPT>>\np\n<<RESPONSE>>\nr", "p", "r"),
+        ("x <<PROMPT>>p<<RESPONSE>>r1<<RESPONSE>>r2", "p<<RESPONSE>>r1", "r2"),
+        ("<<PROMPT>>p<<RESPONSE>>r<<RESPONSE>>", "p", "r<<RESPONSE>>"),
+        ("<<PROMPT>><<RESPONSE>>r", None, None),
+        ("<<PROMPT>> \n <<RESPONSE>>r", "", "r"),
+        ("<<RESPONSE>>r<<PROMPT>>p", None, None),
+        ("<<PROMPT>>a<<PROMPT>>b<<RESPONSE>>c", "a<<PROMPT>>b", "c"),
+        ("nothing", None, None),
+        ("", None, None),
+        (None, None, None),
     ],
 )
-def test_marked_reply(spark, reply):
-    found = re.search(r"<<PROMPT>>([\s\S]+)<<RESPONSE>>([\s\S]+)", reply or "")
-    want = (found.group(1).strip(), found.group(2).strip()) if found else (None, None)
+def test_marked_reply(spark, reply, prompt, response):
     df = spark.createDataFrame([(reply,)], "x string")
     got = df.select(text.marked_prompt(F.col("x")).alias("p"), text.marked_response(F.col("x")).alias("r")).first()
-    assert (got.p, got.r) == want
+    assert (got.p, got.r) == (prompt, response)
 
 
 def test_id_parts(spark):
     ids = ["en_12_0", "a_b_c_10", "plain", "_x", "x_"]
-    stems = values(spark, ids, text.id_stem(F.col("x")))
-    tails = values(spark, ids, text.id_tail(F.col("x")))
-    assert stems == ["_".join(i.split("_")[:-1]) for i in ids]
-    assert tails == [i.split("_")[-1] for i in ids]
+    assert values(spark, ids, text.id_stem(F.col("x"))) == ["en_12", "a_b_c", "", "", "x"]
+    assert values(spark, ids, text.id_tail(F.col("x"))) == ["0", "10", "plain", "x", ""]
 
 
 def test_zero_padding_keeps_long_numbers(spark):
