@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lingmill.llm.common import slices, texts_of
+from lingmill.llm.common import slices, texts_of, unchanged
 
 # Entries kept by each memo of a task; a full memo starts anew.
 MEMO_ENTRIES = 400_000
@@ -154,9 +154,10 @@ def encode(
     ``ids`` is binary: little-endian unsigned 32-bit integers, as the tiktoken library
     would give for the text without special tokens; each match of ``pattern`` is
     encoded by itself. A null or empty text has no ids. Rows are independent: repeated
-    rows and keys, and null keys, come through as they are. One scan, no shuffle.
+    rows and keys, and null keys, come through as they are; a kept column of the ids'
+    name is replaced. One scan, no shuffle.
     """
-    keep = list(keep)
+    keep = [c for c in keep if c != ids]
     source = docs.select(*keep, docs[text].alias("__text"))
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(ids, T.BinaryType())])
 
@@ -175,9 +176,9 @@ def encode(
 def decode(
     encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
-    """Adds the bytes that the ids stand for; null ids give null."""
-    names = encoded.columns
-    schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())])
+    """Adds the bytes that the ids stand for, in place of a column of that name; null ids give null."""
+    names = unchanged(encoded, decoded)
+    schema = T.StructType([*(encoded.schema[c] for c in names), T.StructField(decoded, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(ranks_path)
@@ -192,7 +193,7 @@ def decode(
                 for code in batch.column(ids).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.binary())], [*names, decoded]
+                [*(batch.column(c) for c in names), pa.array(out, pa.binary())], [*names, decoded]
             )
 
     return encoded.mapInArrow(run, schema)

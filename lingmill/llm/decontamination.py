@@ -181,7 +181,8 @@ def contaminated(
     a copy, 1/2 and more counts. ``start`` and ``end`` are word numbers in the whole
     text. Each document and item is one row, for its best passage (the first of equals).
     Null and empty texts and items of fewer than three words match nothing; repeated
-    rows give repeated results; an empty table on either side gives no rows.
+    rows give repeated results; an empty table on either side gives no rows. Kept
+    columns of the names above are left out.
 
     A passage is found if it holds one of the rarest three quarters of an item's 3-grams unchanged,
     as nearly all do that score enough.
@@ -189,6 +190,7 @@ def contaminated(
     The benchmark is sent to the executors in passes of about 20,000 items or 16 MB, and each
     pass is two scans of the corpus without a shuffle of texts.
     """
+    keep = [c for c in keep if c not in (key, item, "score", "start", "end")]
     named = benchmark.select(F.col(item).alias("__item"), F.col(item_text).alias("__text")).where("__text is not null")
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField(item, benchmark.schema[item].dataType),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lingmill.llm.common import slices, texts_of
+from lingmill.llm.common import slices, texts_of, unchanged
 from lingmill.session import settle
 
 # Labelled documents that a fit uses, drawn by hash. The bound of the fit's memory.
@@ -263,14 +263,15 @@ def with_score(
 ) -> DataFrame:
     """``docs`` with the quality of every whole text, in one scan without a shuffle.
 
-    Only the text is looked at. A null or empty text is one empty line.
+    Only the text is looked at. A null or empty text is one empty line. A column of the
+    score's name is replaced.
     """
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
+    names = unchanged(docs, score)
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, SCORE_ROWS, text):
-            found = model.score(texts_of(batch.column(names.index(text))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*names, score])
+            found = model.score(texts_of(batch.column(text)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found)], [*names, score])
 
     return docs.mapInArrow(run, schema)

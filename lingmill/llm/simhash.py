@@ -182,8 +182,10 @@ def near_duplicates(
     key among the group's rows. Equal fingerprints are one node of the graph, so groups of
     copies cost nothing beyond their count; null and empty texts have fingerprint zero
     and are linked like any other. A repeated key is a row each time; a component is null
-    only if all its keys are. An empty table gives an empty one.
+    only if all its keys are. An empty table gives an empty one. Kept columns of the names above
+    are left out.
     """
+    keep = [c for c in keep if c not in (key, "fingerprint", "group", "component")]
     printed = settle(with_fingerprint(docs, key, text, words, keep), "fingerprints")
     labels = components(links(printed, distance), "a", "b")
     smallest = printed.groupBy("fingerprint").agg(F.min(key).alias("first"))

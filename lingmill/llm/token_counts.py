@@ -15,7 +15,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lingmill.llm.common import slices, texts_of
+from lingmill.llm.common import slices, texts_of, unchanged
 
 # The marker put before each word; the penalty of an unknown character below the worst score.
 SPACE = "▁"
@@ -140,15 +140,18 @@ def with_token_count(
 
     Words end at white space and get a marker in front; each is segmented by itself, with
     the tie rules of the tokenizers library's unigram model. Null and empty texts have
-    none. Rows are independent; one scan, no shuffle. The vocabulary travels with the job.
+    none. A column of the count's name is replaced. Rows are independent; one scan, no shuffle. The
+    vocabulary travels with the job.
     """
-    names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(count, T.LongType())])
+    names = unchanged(docs, count)
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(count, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = WordCounts(pieces, byte_fallback)
         for batch in slices(batches):
-            found = [count_text(t, counts) for t in texts_of(batch.column(names.index(text)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*names, count])
+            found = [count_text(t, counts) for t in texts_of(batch.column(text))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array(found, pa.int64())], [*names, count]
+            )
 
     return docs.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lingmill.llm.common import slices, texts_of
+from lingmill.llm.common import slices, texts_of, unchanged
 from lingmill.session import settle
 
 # Labelled documents of either label that a fit uses, drawn by hash: the fit's bound.
@@ -175,18 +175,18 @@ def with_toxicity(docs: DataFrame, chain: Chain, text: str = "text") -> DataFram
     """``docs`` with a column ``p_<category>`` for each link of the chain.
 
     The whole text counts. Null and empty texts have no words and get the chain's base
-    rates. Rows are independent; one scan, no shuffle.
+    rates. Columns of these names are replaced. Rows are independent; one scan, no shuffle.
     """
-    names = docs.columns
     added = [f"p_{name}" for name in chain.names]
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.DoubleType()) for c in added)])
+    names = unchanged(docs, *added)
+    schema = T.StructType([*(docs.schema[c] for c in names), *(T.StructField(c, T.DoubleType()) for c in added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = {int(number): i for i, number in enumerate(chain.features)}
         memo: dict[str, tuple[int, ...]] = {}
         for batch in slices(batches):
             present = np.zeros((batch.num_rows, len(column)))
-            for row, one in enumerate(texts_of(batch.column(names.index(text)))):
+            for row, one in enumerate(texts_of(batch.column(text))):
                 for word in set(WORD.findall(one.lower())):
                     hit = memo.get(word)
                     if hit is None:
@@ -197,7 +197,7 @@ def with_toxicity(docs: DataFrame, chain: Chain, text: str = "text") -> DataFram
                         present[row, place] = 1
             scores = chain.score(present)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(scores[:, k]) for k in range(len(added)))], [*names, *added]
+                [*(batch.column(c) for c in names), *(pa.array(scores[:, k]) for k in range(len(added)))], [*names, *added]
             )
 
     return docs.mapInArrow(run, schema)

@@ -542,6 +542,26 @@ def test_graphs_meet_by_pair_and_not_by_length(spark):
     assert sum(got.values()) >= 0.98 * (true.sum() - len(rows)) and len(got) == 222
 
 
+def test_columns_of_the_results_names_are_replaced(spark, odd_docs):
+    clash = odd_docs.withColumns({c: F.lit("x") for c in ("n_tokens", "score", "p_toxic", "ids", "decoded", "start", "group", "component")})
+    labels = spark.createDataFrame([(1, 1, 0), (7, 0, 1)], "doc_id long, quality int, toxic int")
+    others = set(clash.columns)
+    scored = line_quality.with_score(clash, line_quality.learn(clash, labels))
+    toxic = toxicity.with_toxicity(clash, toxicity.learn(clash, labels))
+    counted = token_counts.with_token_count(clash, token_counts.read_pieces(PIECES))
+    encoded = byte_bpe.encode(clash, RANKS, public_tokenizers.PATTERN, keep=clash.columns)
+    decoded = byte_bpe.decode(encoded, RANKS)
+    leaks = decontamination.contaminated(clash, spark.createDataFrame([(1, prose(1, 60))], "item_id long, text string"), keep=["score", "start", "lang"])
+    near = simhash.near_duplicates(clash, keep=["fingerprint", "group", "component", "lang"])
+    for made, name, kind in (
+        (scored, "score", "double"), (toxic, "p_toxic", "double"), (counted, "n_tokens", "bigint"), (encoded, "ids", "binary"),
+        (decoded, "decoded", "binary"), (leaks, "score", "double"), (near, "fingerprint", "bigint"),
+    ):
+        assert dict(made.dtypes)[name] == kind and len(made.columns) == len(set(made.columns))
+        assert made.count() > 0
+    assert all(set(made.columns) >= others for made in (scored, toxic, counted, decoded))
+
+
 def test_graph_recall():
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(3000, 24))
