@@ -192,6 +192,17 @@ def replace_starved(rows: DataFrame, centers: DataFrame, key: str, group: str, v
     )
 
 
+def seeding_rows(usable: DataFrame, first: DataFrame, sizes: DataFrame, group: str, k: int) -> DataFrame:
+    """The rows of the first batch; all rows of groups of which it holds fewer than k."""
+    held = first.groupBy(group).agg(F.count(F.lit(1)).alias("_held"))
+    short = sizes.where("_batches > 0").join(held, group, "left").where(F.coalesce("_held", F.lit(0)) < k).select(group)
+    if short.isEmpty():
+        return first
+    short = settle(short, "short-batches")
+    names = first.columns
+    return first.join(short, group, "left_anti").select(names).unionByName(usable.join(short, group, "left_semi").select(names))
+
+
 def fit_clusters(
     df: DataFrame,
     key: str,
@@ -204,8 +215,8 @@ def fit_clusters(
     """Centroids per group: ``group, label, center, weight``.
 
     Rows are dealt by key hash into ``batches`` disjoint batches, fewer for a
-    group whose batches would fall below k rows, so each row is used once. The first batch
-    gives the initial centres (``initial_centroids``). Each batch moves every centre to the running
+    group whose batches would fall below k rows, so each row is used once. The first batch,
+    or all rows where it has fewer than k, gives the initial centres (``initial_centroids``). Each batch moves every centre to the running
     mean of the rows assigned to it so far, and then, but for the last one, centres that
     hardly any row is near are moved to rows of the batch (``replace_starved``).
     Groups of fewer than k rows get no centroids; rows without a vector are left out.
@@ -234,7 +245,8 @@ def fit_clusters(
     for batch in range(batches):
         rows = usable.where(F.col("_batch") == batch).select(key, group, vector)
         if centers is None:
-            centers = settle(initial_centroids(rows, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)), "centroids")
+            first = seeding_rows(usable, rows, sizes, group, k).select(key, group, vector)
+            centers = settle(initial_centroids(first, key, group, vector, k, seed).withColumn("weight", F.lit(0.0)), "centroids")
         moved = sums_per_center(rows, centers, group, vector)
         mean = F.transform("total", lambda x: x / F.col("n"))
         share = F.coalesce(F.col("n") / (F.col("weight") + F.col("n")), F.lit(0.0))

@@ -20,7 +20,8 @@ def sql_kmeans(k: int, batches: int, seed: int = 0) -> str:
         f"sizes AS MATERIALIZED (SELECT grp, least({batches}, count(*) // {k}) AS nb FROM r GROUP BY grp HAVING count(*) >= {k})",
         f"""dealt AS MATERIALIZED (SELECT key, grp, v, {fx.sql_draw('key', f'batch-{seed}', 1 << 32)} % nb AS batch
    FROM r JOIN sizes USING (grp))""",
-        "b0 AS MATERIALIZED (SELECT key, grp, v FROM dealt WHERE batch = 0)",
+        f"""b0 AS MATERIALIZED (SELECT key, grp, v FROM dealt WHERE batch = 0 OR grp IN (SELECT grp FROM dealt
+   GROUP BY grp HAVING count(*) FILTER (WHERE batch = 0) < {k}))""",
         f"""c0 AS MATERIALIZED (SELECT key, grp, v FROM (SELECT *, row_number() OVER (PARTITION BY grp
    ORDER BY {fx.sql_hash('key', f'center-{seed}')}, key) AS place FROM b0) WHERE place = 1)""",
     ]
