@@ -281,7 +281,7 @@ def label_rows(
     if alone.isEmpty():
         return assigned
     # Rows without a vector come last, so that one numbering serves both.
-    numbered = sampling.with_row_index(alone, ["_blank", group, key], "label")
+    numbered = sampling.numbered(alone, ["_blank", group, key], "label")
     given = alone.where("not _blank").count()
     label = F.when(F.col("_blank"), given - 1 - F.col("label")).otherwise(F.col("label"))
     return assigned.unionByName(numbered.withColumn("label", label).drop("_blank"))

@@ -70,8 +70,8 @@ def _no_nulls(names: Sequence[str]) -> Column:
     return ok
 
 
-def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Number rows from 0 in ``order_by`` order (which must be unique).
+def numbered(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
+    """Number rows from 0 in ``order_by`` order (which must be unique); for narrow rows.
 
     Range-partitions and sorts once, writes that out, and adds each partition's
     offset; no task sees more than one range.
@@ -99,16 +99,28 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_inde
     )
 
 
+def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
+    """Number rows from 0 in ``order_by`` order, which must be unique; nulls come first.
+
+    Only the columns of the order are sorted and written; the rows meet their numbers by them.
+    """
+    keys = [f"_k{i}" for i in range(len(order_by))]
+    narrow = df.select(*(F.col(c).alias(k) for c, k in zip(order_by, keys)))
+    numbers = settle(numbered(narrow, keys, name), "row-numbers")
+    same = [df[c].eqNullSafe(numbers[k]) for c, k in zip(order_by, keys)]
+    return df.join(numbers, same).drop(*keys)
+
+
 def with_chunks(
-    df: DataFrame, order_by: Sequence[str], size: int, digits: int = 6, shift: int = 0
+    df: DataFrame, order_by: Sequence[str], size: int, digits: int = 6, shift: int = 0, index: str | None = None
 ) -> DataFrame:
-    """Add ``chunk_id``: the zero-padded index of the chunk's first row plus ``shift``."""
+    """Add ``chunk_id``: the zero-padded index of the chunk's first row plus ``shift``.
+
+    ``index`` names a column for the row's own index, if wanted.
+    """
     start = F.col("_index") - F.pmod(F.col("_index"), F.lit(size)) + F.lit(shift)
-    return (
-        with_row_index(df, order_by, "_index")
-        .withColumn("chunk_id", text.zero_padded(start, digits))
-        .drop("_index")
-    )
+    chunked = with_row_index(df, order_by, "_index").withColumn("chunk_id", text.zero_padded(start, digits))
+    return chunked.withColumnRenamed("_index", index) if index else chunked.drop("_index")
 
 
 def not_done(df: DataFrame, done: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -146,7 +146,7 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int = fixed.PACK_LENGTH
     counts = {-r["_size"]: r["n"] for r in rows.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     plan = np.array(pack_lengths(counts, capacity), dtype=np.int64).reshape(-1, 3)
     starts = np.cumsum(plan[:, 0]) - plan[:, 0]
-    ordered = sampling.with_row_index(
+    ordered = sampling.numbered(
         rows.withColumn("_hash", draws.order_hash([F.col(key)], f"pack-{seed}")), ["_size", "_hash", key], "_index"
     )
     schema = T.StructType([df.schema[key], T.StructField(tokens, T.LongType()), T.StructField("bin", T.LongType())])

@@ -26,11 +26,13 @@ def write_chunks(
 ) -> None:
     """One directory per ``size`` consecutive rows, named by the first row's index.
 
-    Rows are in order already, so each task writes its own chunks; one that spans
-    two tasks gets a file from each. Choose ``size`` so that a chunk is worth a file.
+    Rows are numbered by their order alone, and written once, by ranges of their numbers: each
+    task writes its own chunks, in order; one that spans two tasks gets a file from each.
+    Choose ``size`` so that a chunk is worth a file.
     """
-    chunked = sampling.with_chunks(df, order_by, size, digits, shift)
-    chunked.write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+    chunked = sampling.with_chunks(df, order_by, size, digits, shift, "_index")
+    ranged = chunked.repartitionByRange("_index").sortWithinPartitions("_index").drop("_index")
+    ranged.write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
 def write_per_source_file(df: DataFrame, path: str, file_column: str = "source_file") -> None:

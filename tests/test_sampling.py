@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lingmill.functions import draws
 from lingmill.operators import sampling
+from lingmill.sources import writers
 from tests.conftest import plan_of
 
 
@@ -76,6 +77,27 @@ def test_row_index_is_contiguous_and_ordered(spark, parts):
     assert [r.id for r in rows] == sorted(r.id for r in rows)
 
 
+def test_row_index_with_nulls_and_two_columns(spark):
+    rows = [(None, 2, "a"), (None, 1, "b"), ("x", None, "c"), ("x", 1, "d"), ("w", 9, "e")]
+    df = spark.createDataFrame(rows, "g string, n int, payload string").repartition(3)
+    got = {r.payload: r.row_index for r in sampling.with_row_index(df, ["g", "n"]).collect()}
+    assert got == {"b": 0, "a": 1, "e": 2, "c": 3, "d": 4}
+
+
+def test_wide_rows_are_written_once(spark, monkeypatch, tmp_path):
+    """Only keys and numbers are written on the way to chunk files, which keep the order."""
+    written = []
+    settle = sampling.settle
+    monkeypatch.setattr(sampling, "settle", lambda df, label: written.append(df.columns) or settle(df, label))
+    df = spark.range(5000).select("id", F.concat(F.lit("wide "), "id").alias("payload")).repartition(7)
+    writers.write_chunks(df, str(tmp_path / "chunks"), ["id"], 700)
+    assert written and all("payload" not in columns for columns in written)
+    stored = spark.read.parquet(str(tmp_path / "chunks"))
+    assert stored.count() == 5000 and stored.select("chunk_id").distinct().count() == 8
+    one = spark.read.parquet(f"{tmp_path}/chunks/chunk_id=000700").select("id").collect()
+    assert sorted(r.id for r in one) == list(range(700, 1400))
+
+
 def test_chunks_are_named_by_their_first_row(spark):
     rows = sampling.with_chunks(spark.range(1234), ["id"], 500, 7, shift=217_000).collect()
     assert Counter(r.chunk_id for r in rows) == {"0217000": 500, "0217500": 500, "0218000": 234}
