@@ -19,7 +19,7 @@ from lingmill.operators.vectors import BLOCK_BYTES, Known, against_centers, by_g
 from lingmill.session import settle
 
 # Rounds of seeding, and rows that a round is expected to draw, as a multiple of k.
-SEED_ROUNDS = 3
+SEED_ROUNDS = 2
 OVERSAMPLING = 2
 # Centres with less than this share of their group's largest weight are starved.
 STARVED_SHARE = 0.01
@@ -99,8 +99,9 @@ def draw_candidates(df: DataFrame, key: str, group: str, vector: str, k: int, se
     rows to what was drawn before. Groups that come out with fewer than k get k more by hash.
     """
     rows = df.select(key, group, F.col(vector).cast("array<double>").alias("center"))
-    drawn = sampling.sample_per_group(rows, [group], [key], 1, f"center-{seed}")
-    candidates = settle(drawn.withColumn("label", F.lit(0).cast("long")), "candidates")
+    place = F.struct(draws.order_hash([F.col(key)], f"center-{seed}"), F.col(key))
+    drawn = rows.groupBy(group).agg(F.min_by(F.struct(key, "center"), place).alias("_row")).select("_row.*", group)
+    candidates = settle(drawn.withColumn("label", F.lit(0).cast("long")).select(key, group, "center", "label"), "candidates")
 
     def numbered(keys: DataFrame, start: int) -> DataFrame:
         # About OVERSAMPLING * k rows of a group.
@@ -110,14 +111,14 @@ def draw_candidates(df: DataFrame, key: str, group: str, vector: str, k: int, se
 
     for number in range(rounds):
         gaps = assign_clusters(rows, candidates, key, group, "center")
-        sums = settle(gaps.groupBy(group).agg((F.sum("gap") / (OVERSAMPLING * k)).alias("_unit")), "gap-sums")
+        sums = gaps.groupBy(group).agg((F.sum("gap") / (OVERSAMPLING * k)).alias("_unit"))
         chance = draws.uniform([F.col(key)], f"round-{number}-{seed}") * F.col("_unit")
         keys = gaps.join(sums, group).where(chance < F.col("gap")).select(key)
         candidates = candidates.unionByName(numbered(keys, (number + 1) << 40))
-    short = settle(candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < k).select(group), "short-groups")
+    short = candidates.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < k).select(group)
     if short.isEmpty():
         return candidates
-    lacking = rows.select(key, group).join(short, group, "left_semi")
+    lacking = rows.select(key, group).join(settle(short, "short-groups"), group, "left_semi")
     extra = sampling.sample_per_group(lacking, [group], [key], k, f"center-{seed}").join(candidates.select(key), key, "left_anti")
     return candidates.unionByName(numbered(extra.select(key), (rounds + 1) << 40))
 
@@ -169,14 +170,14 @@ def replace_starved(rows: DataFrame, centers: DataFrame, key: str, group: str, v
     A moved centre gets the smallest weight among those of its group that stay. At most
     half as many centres move as the batch has rows.
     """
-    largest = settle(centers.groupBy(group).agg((F.max("weight") * STARVED_SHARE).alias("_bar")), "largest-weights")
+    largest = centers.groupBy(group).agg((F.max("weight") * STARVED_SHARE).alias("_bar"))
     marked = centers.join(largest, group).withColumn("_starved", F.col("weight") < F.col("_bar")).drop("_bar")
-    short = settle(
-        marked.groupBy(group).agg(F.sum(F.col("_starved").cast("int")).alias("_many"), F.min(F.when(~F.col("_starved"), F.col("weight"))).alias("_least"))
-        .where(F.col("_many") > 0), "starved-groups",
-    )
+    short = marked.groupBy(group).agg(
+        F.sum(F.col("_starved").cast("int")).alias("_many"), F.min(F.when(~F.col("_starved"), F.col("weight"))).alias("_least")
+    ).where(F.col("_many") > 0)
     if short.isEmpty():
         return centers
+    short = settle(short, "starved-groups")
     halves = rows.join(short, group, "left_semi").groupBy(group).agg(F.floor(F.count(F.lit(1)) / 2).alias("_half"))
     most = short.agg(F.max("_many")).first()[0]
     drawn = sampling.sample_per_group(rows.select(group, key, vector).join(short.select(group), group, "left_semi"), [group], [key], most, tag, rank="_place")

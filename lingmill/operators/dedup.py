@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lingmill import fixed
-from lingmill.operators import filters, sampling, vectors
+from lingmill.operators import filters, vectors
 from lingmill.session import settle
 
 # Rows of one similarity block, and the tile of it multiplied at a time.
 BLOCK_ROWS = 8_192
 TILE_ROWS = 1_024
-# Rows of a group whose angles to all others help to skip pairs of blocks.
+# Rows of a group, at most, whose angles to all others help to skip pairs of blocks.
 PIVOTS = 16
 SLACK = 1e-6
 
@@ -64,7 +64,7 @@ def distinct_vectors(rows: DataFrame, pivots: DataFrame, orders: list[str]) -> D
                 norms[here] = np.linalg.norm(own, axis=1)
                 scale = np.linalg.norm(centers, axis=1)[None, :] * norms[here, None]
                 found = np.arccos(np.clip(np.divide(own @ centers.T, scale, out=np.zeros_like(scale), where=scale > 0), -1, 1))
-                # A group of fewer rows than pivots has fewer.
+                # A small group may have fewer pivots.
                 angles[here, : found.shape[1]] = found
                 home[here] = found.argmin(axis=1)
             shell = np.degrees(angles[np.arange(len(home)), home]).astype(np.int32)
@@ -96,13 +96,10 @@ def block_pairs(blocked: DataFrame, threshold: float) -> DataFrame:
     The angle between vectors is at least the difference of their angles to any pivot,
     and their product at most the product of their norms times its cosine.
     """
-    blocks = settle(
-        blocked.groupBy("_group", "_block").agg(
-            F.count(F.lit(1)).alias("_size"), F.max("_norm").alias("_norm"),
-            F.array(*[F.min(F.col("_angles")[p]) for p in range(PIVOTS)]).alias("_low"),
-            F.array(*[F.max(F.col("_angles")[p]) for p in range(PIVOTS)]).alias("_high"),
-        ),
-        "vector-blocks",
+    blocks = blocked.groupBy("_group", "_block").agg(
+        F.count(F.lit(1)).alias("_size"), F.max("_norm").alias("_norm"),
+        F.array(*[F.min(F.col("_angles")[p]) for p in range(PIVOTS)]).alias("_low"),
+        F.array(*[F.max(F.col("_angles")[p]) for p in range(PIVOTS)]).alias("_high"),
     )
     a, b = (blocks.select("_group", *(F.col(c).alias(f"{c}_{side}") for c in ("_block", "_size", "_norm", "_low", "_high"))) for side in "ab")
     apart = F.greatest(*[
@@ -143,8 +140,9 @@ def _prepared(
         F.col(key).alias("_key"), F.col(group).alias("_group"), F.col(vector).alias("_vec"),
         F.sha2(F.col(vector).cast("string"), 256).alias("_vid"), *(F.col(c).alias(o) for c, o in zip(order_by, orders)),
     )
-    drawn = sampling.sample_per_group(rows.select("_group", "_vid", "_vec"), ["_group"], ["_vid"], PIVOTS, "pivots", rank="_place")
-    pivots = settle(drawn.select("_group", F.col("_place").cast("long").alias("label"), F.col("_vec").alias("center")), "pivots")
+    # A row of each of so many parts of a group; a task hands on one each.
+    part = F.pmod(F.xxhash64("_vid"), F.lit(PIVOTS)).alias("label")
+    pivots = settle(rows.groupBy("_group", part).agg(F.min_by("_vec", "_vid").alias("center")), "pivots")
     blocked = blocks_of(distinct_vectors(rows, pivots, orders), block_rows)
     return rows, orders, blocked, block_pairs(blocked, threshold)
 
