@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from lingmill import fixed
 from lingmill.functions import draws, messages
 from lingmill.operators import sampling
+from lingmill.session import settle
 
 
 def is_validation(key: Sequence[str], seed: int | str = 0, percent: int = fixed.VALIDATION_PERCENT) -> Column:
@@ -142,7 +143,9 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int = fixed.PACK_LENGTH
     own; one of no tokens, or of an unknown number, takes the place of one token.
     """
     size = F.least(F.greatest(F.coalesce(F.col("_tokens"), F.lit(0)), F.lit(1)), F.lit(capacity))
-    rows = df.select(key, F.col(tokens).cast("long").alias("_tokens")).select(key, "_tokens", (-size).alias("_size"))
+    lengths = df.select(key, F.col(tokens).cast("long").alias("_tokens")).select(key, "_tokens", (-size).alias("_size"))
+    # Stored, so that what the lengths are taken from is read once.
+    rows = settle(lengths, "lengths")
     counts = {-r["_size"]: r["n"] for r in rows.groupBy("_size").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
     plan = np.array(pack_lengths(counts, capacity), dtype=np.int64).reshape(-1, 3)
     starts = np.cumsum(plan[:, 0]) - plan[:, 0]
