@@ -42,7 +42,7 @@ def distinct_vectors(rows: DataFrame, pivots: DataFrame, orders: list[str]) -> D
 
     ``_first`` is the smallest order among its rows, ``_copied`` whether it has several, ``_angles``
     those to the group's pivots, ``_home`` the nearest pivot and ``_shell`` the whole
-    degrees to it. A vector is known by the SHA-256 of its written numbers.
+    degrees to it. A vector is known by 128 bits of hash.
     """
     order = F.struct(*orders)
     distinct = rows.groupBy("_group", "_vid").agg(
@@ -138,7 +138,7 @@ def _prepared(
     orders = [f"_o{i}" for i in range(len(order_by))]
     rows = df.where(F.col(vector).isNotNull() & F.col(group).isNotNull()).select(
         F.col(key).alias("_key"), F.col(group).alias("_group"), F.col(vector).alias("_vec"),
-        F.sha2(F.col(vector).cast("string"), 256).alias("_vid"), *(F.col(c).alias(o) for c, o in zip(order_by, orders)),
+        F.concat_ws(":", F.xxhash64(vector), F.xxhash64(F.lit(1), F.col(vector))).alias("_vid"), *(F.col(c).alias(o) for c, o in zip(order_by, orders)),
     )
     # A row of each of so many parts of a group; a task hands on one each.
     part = F.pmod(F.xxhash64("_vid"), F.lit(PIVOTS)).alias("label")
