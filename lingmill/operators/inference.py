@@ -10,8 +10,9 @@ from __future__ import annotations
 import hashlib
 import random
 import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,12 @@ Call = Callable[[Mapping], Mapping]
 # By how much of its length a paced wait may be longer.
 JITTER = 0.2
 
+# Rows and bytes of the inputs that a task has as Python rows at once, a single larger row apart.
+PART_ROWS = 1024
+PART_BYTES = 1 << 20
+# Calls handed to each worker before the oldest answers are waited for.
+CALLS_AHEAD = 8
+
 _FIELDS = [f.name for f in schemas.CALL_RESULT.fields]
 _RESULT_TYPE = pa.struct(
     [
@@ -86,6 +93,16 @@ def attempt(call: Call, row: Mapping, retries: int = 0, backoff: float = 1.0) ->
     return {name: got.get(name) for name in _FIELDS}
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in order, halved until a part is small or one row."""
+    if batch.num_rows <= 1 or (batch.num_rows <= PART_ROWS and batch.nbytes <= PART_BYTES):
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _parts(batch.slice(0, half))
+    yield from _parts(batch.slice(half))
+
+
 def run_calls(
     df: DataFrame,
     key: Sequence[str],
@@ -104,7 +121,8 @@ def run_calls(
     Columns in ``carry`` pass through, which saves a join when the inputs are
     wanted next to their results.
 
-    Each task keeps ``workers`` calls in flight. ``partitions`` spreads rows evenly first, by
+    Each task keeps ``workers`` calls in flight, and hands on answers part by part of an Arrow batch, so that
+    its memory is that of the batch and a few parts. ``partitions`` spreads rows evenly first, by
     key. ``per_second`` bounds the calls that the whole job starts in a second, however
     many executors it has: rows are spread over ``partitions`` tasks, by default one a core, and each
     starts its share, every call after a wait of its own length. ``retries`` of a failed call (``attempt``) are
@@ -130,18 +148,36 @@ def run_calls(
             row = {**row, "key": "|".join(parts)}
         return attempt(call, row, retries, backoff)
 
+    def submit(pool: ThreadPoolExecutor, part: pa.RecordBatch) -> list[Future]:
+        pending = []
+        for row in part.select(seen).to_pylist():
+            if wait:
+                time.sleep(wait * random.uniform(1.0, 1.0 + JITTER))
+            pending.append(pool.submit(one, row))
+        return pending
+
+    def answered(part: pa.RecordBatch, pending: list[Future]) -> pa.RecordBatch:
+        results = pa.array([p.result() for p in pending], type=_RESULT_TYPE)
+        # Columns that pass through stay Arrow arrays, untouched.
+        return pa.RecordBatch.from_arrays([*(part.column(name) for name in kept), results], [*kept, result])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ahead = CALLS_AHEAD * workers
         with ThreadPoolExecutor(max_workers=workers) as pool:
             for batch in batches:
-                pending = []
-                for row in batch.select(seen).to_pylist():
-                    if wait:
-                        time.sleep(wait * random.uniform(1.0, 1.0 + JITTER))
-                    pending.append(pool.submit(one, row))
-                results = pa.array([p.result() for p in pending], type=_RESULT_TYPE)
-                # Columns that pass through stay Arrow arrays, untouched.
-                columns = [batch.column(name) for name in kept]
-                yield pa.RecordBatch.from_arrays([*columns, results], [*kept, result])
+                # Only some parts of a batch are held as Python rows and answers. The oldest one
+                # is waited for when enough later calls are there to keep the workers busy.
+                waiting, calls = deque(), 0
+                for part in _parts(batch):
+                    waiting.append((part, submit(pool, part)))
+                    calls += part.num_rows
+                    while calls - waiting[0][0].num_rows >= ahead:
+                        calls -= waiting[0][0].num_rows
+                        yield answered(*waiting.popleft())
+                while waiting:
+                    yield answered(*waiting.popleft())
+                # The next batch is read without this one in memory.
+                batch = part = None
 
     return narrow.mapInArrow(run, schema)
 

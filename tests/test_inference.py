@@ -1,10 +1,12 @@
 import hashlib
 import sys
+import threading
 import time
 import uuid
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -395,3 +397,44 @@ def test_failed_calls_back_off_and_try_again():
         raise inference.RejectedRequest("no")
 
     assert inference.attempt(refused, {}, retries=5)["bad_request"] == "no" and len(seen) == 1
+
+
+def in_one_task(spark, monkeypatch, batch, **options):
+    """What a task of ``run_calls`` hands on for one Arrow batch, part by part."""
+    tasks = []
+    df = spark.createDataFrame([], "id long, prompt string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: tasks.append(run) or self)
+    inference.run_calls(df, ["id"], **options)
+    return tasks[0](iter([batch]))
+
+
+@pytest.mark.parametrize("size", [0, 3000])
+def test_answers_leave_a_task_part_by_part(spark, monkeypatch, size):
+    asked = []
+
+    def call(row):
+        asked.append(row["id"])
+        return inference.echo(row)
+
+    batch = pa.RecordBatch.from_pydict({"id": list(range(5000)), "prompt": [f"{i:{size}}" for i in range(5000)]})
+    parts = in_one_task(spark, monkeypatch, batch, call=call)
+    first = next(parts)
+    assert len(asked) < 2500
+    parts = [first, *parts]
+    assert all(p.num_rows <= inference.PART_ROWS and p.nbytes <= 2 * inference.PART_BYTES for p in parts)
+    rows = [row for p in parts for row in p.to_pylist()]
+    assert [(r["id"], r["result"]["content"]) for r in rows] == list(zip(*batch.to_pydict().values()))
+    assert sorted(asked) == list(range(5000))
+
+
+def test_parts_of_one_row_keep_all_workers_busy(spark, monkeypatch):
+    together = threading.Barrier(4)
+
+    def call(row):
+        together.wait(20)
+        return {"content": str(len(row["prompt"]))}
+
+    batch = pa.RecordBatch.from_pydict({"id": list(range(8)), "prompt": ["x" * (2 * inference.PART_BYTES)] * 8})
+    parts = list(in_one_task(spark, monkeypatch, batch, call=call, workers=4))
+    assert [p.num_rows for p in parts] == [1] * 8
+    assert all(p.column("result")[0]["content"].as_py() == str(2 * inference.PART_BYTES) for p in parts)
