@@ -30,6 +30,8 @@ BLOCK_BYTES = 1 << 20
 TREE_ITEMS = 256
 # Coordinates of the documents that a task holds at once.
 CELLS = 1 << 21
+# Documents whose strongest coordinates are sought at once.
+NEAR_ROWS = 64
 # Documents and items of a node, from the top; documents of one batch share the uppermost node.
 DOC_RUNS = (1 << 30, 64, 8, 1)
 ITEM_RUNS = (64, 16, 4, 1)
@@ -171,37 +173,46 @@ class Items:
         if len(best) == self.top:
             self.weakest[item] = max(scores[best[-1]], 1)
 
+    def near(self, points: np.ndarray) -> np.ndarray:
+        """An order of documents in which those of the same strongest coordinates are neighbours."""
+        weights = self.levels[0].max(axis=1)
+        strongest, where = np.empty(len(points), self.kind), np.empty(len(points), np.int64)
+        # Some rows at a time: the products of all are as large as the points.
+        for start in range(0, len(points), NEAR_ROWS):
+            products = points[start : start + NEAR_ROWS] * weights
+            strongest[start : start + NEAR_ROWS] = products.max(axis=1)
+            where[start : start + NEAR_ROWS] = products.argmax(axis=1)
+        return np.lexsort((strongest, where))
+
     def search(self, points: np.ndarray, docs: np.ndarray) -> None:
         """Offer every document of a batch that may be among an item's best."""
-        # Neighbours in the tree are documents of the same strongest coordinates.
-        strongest = points * self.levels[0].max(axis=1)
-        order = np.lexsort((strongest.max(axis=1), strongest.argmax(axis=1)))
+        order = self.near(points)
         points, docs = points[order], docs[order]
         nodes = [maxima(points, run) for run in DOC_RUNS]
-
-        def visit(level: int, begin: int, end: int, asked: np.ndarray) -> None:
-            """Compare nodes begin to end of a level with the item nodes asked for."""
-            bounds = nodes[level][begin:end] @ self.levels[level][:, asked]
-            reach = bounds >= self.bars(level)[asked]
-            if level == len(DOC_RUNS) - 1:
-                for column in np.flatnonzero(reach.any(axis=0)).tolist():
-                    at = np.flatnonzero(reach[:, column])
-                    self.offer(int(asked[column]), bounds[at, column], docs[begin + at])
-                return
-            fan = DOC_RUNS[level] // DOC_RUNS[level + 1] if level else len(nodes[1])
-            fan_items = ITEM_RUNS[level] // ITEM_RUNS[level + 1]
-            # Strong nodes first: they raise the bar for the others.
-            for node in np.argsort(-bounds.max(axis=1), kind="stable").tolist():
-                # The bars may be higher by now.
-                open_nodes = asked[reach[node] & (bounds[node] >= self.bars(level)[asked])]
-                if not len(open_nodes):
-                    continue
-                below = (open_nodes[:, None] * fan_items + np.arange(fan_items)).ravel()
-                below = below[below < self.levels[level + 1].shape[1]]
-                first = (begin + node) * fan
-                visit(level + 1, first, min(first + fan, len(nodes[level + 1])), below)
-
-        visit(0, 0, len(nodes[0]), np.arange(self.levels[0].shape[1]))
+        self.visit(nodes, docs, 0, 0, len(nodes[0]), np.arange(self.levels[0].shape[1]))
+
+    # Not a function inside search(): one that calls itself is a cycle, which keeps a batch until Python looks for cycles.
+    def visit(self, nodes: list[np.ndarray], docs: np.ndarray, level: int, begin: int, end: int, asked: np.ndarray) -> None:
+        """Compare nodes begin to end of a level with the item nodes asked for."""
+        bounds = nodes[level][begin:end] @ self.levels[level][:, asked]
+        reach = bounds >= self.bars(level)[asked]
+        if level == len(DOC_RUNS) - 1:
+            for column in np.flatnonzero(reach.any(axis=0)).tolist():
+                at = np.flatnonzero(reach[:, column])
+                self.offer(int(asked[column]), bounds[at, column], docs[begin + at])
+            return
+        fan = DOC_RUNS[level] // DOC_RUNS[level + 1] if level else len(nodes[1])
+        fan_items = ITEM_RUNS[level] // ITEM_RUNS[level + 1]
+        # Strong nodes first: they raise the bar for the others.
+        for node in np.argsort(-bounds.max(axis=1), kind="stable").tolist():
+            # The bars may be higher by now.
+            open_nodes = asked[reach[node] & (bounds[node] >= self.bars(level)[asked])]
+            if not len(open_nodes):
+                continue
+            below = (open_nodes[:, None] * fan_items + np.arange(fan_items)).ravel()
+            below = below[below < self.levels[level + 1].shape[1]]
+            first = (begin + node) * fan
+            self.visit(nodes, docs, level + 1, first, min(first + fan, len(nodes[level + 1])), below)
 
     def best(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for item in range(len(self.numbers)):

@@ -1,7 +1,9 @@
 """Dual-tree search against scoring every pair."""
 
+import gc
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -103,3 +105,24 @@ def test_large_weights_are_summed_as_integers():
     assert items.kind is np.int64
     items.search(np.array([[999_999, 3]]), np.array([[0, 8]]))
     assert [s.tolist() for _, s, _ in items.best()] == [[999_999 * 10**10 + 3]]
+
+
+def test_batches_are_let_go_once_searched():
+    """A task holds one batch of documents, however many it reads, also before Python looks for cycles."""
+    rng = np.random.default_rng(5)
+    items = lexical_search.Items([frozenset([i, i + 1]) for i in range(200)], np.full(201, 10), 201, 3)
+    points = rng.integers(0, 1000, (1000, 201)).astype(items.kind)
+    docs = np.stack([np.zeros(1000, np.int64), np.arange(1000)], axis=1)
+    items.search(points, docs)
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for _ in range(6):
+            items.search(points, docs)
+        now, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert now < points.nbytes / 2
+    assert most < 2 * points.nbytes
